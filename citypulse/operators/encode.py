@@ -11,23 +11,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from citypulse.operators.ordered import ordered_index
 
 
 def dense_codes(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     """Pandas ``astype('category').cat.codes``: rank of the value among the
     sorted distinct values, from 0; missing -> -1.
 
-    The distinct values are numbered with ``ordered_index`` (distributed), and
-    the code table (one row per distinct value) is joined back; AQE
-    broadcasts it when its measured size is small.
+    The rank runs over the distinct key set (bounded by the key's
+    cardinality - a zone, line or mode dimension - the same set Spark's
+    ``StringIndexer`` gathers), never over the fact; the code table is
+    joined back (AQE broadcasts it from its measured size).
     """
     out = out or f"{col}_encoded"
     keys = df.select(col).where(F.col(col).isNotNull()).distinct()
-    codes = ordered_index(keys, [col], name=out).select(col, F.col(out).cast("int").alias(out))
+    codes = keys.select(col, (F.dense_rank().over(Window.orderBy(col)) - 1).cast("int").alias(out))
     return (df.join(codes, on=col, how="left")
               .withColumn(out, F.coalesce(F.col(out), F.lit(-1))))
 

@@ -24,16 +24,16 @@ reproduces the same blocks.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_BLK = "_cp_blk"
-
+from citypulse.operators.materialize import materialize
 
-def _cols(xs: Sequence[str | Column]) -> list[Column]:
-    return [F.col(x) if isinstance(x, str) else x for x in xs]
+_BLK = "_cp_blk"
+_SAMPLE_PER_BLOCK = 32
 
 
 def _num_blocks(df: DataFrame, num_blocks: int | None) -> int:
@@ -42,27 +42,69 @@ def _num_blocks(df: DataFrame, num_blocks: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def running_totals(df: DataFrame, order: Sequence[str | Column], values: Sequence[str],
+def with_block(df: DataFrame, keys: Sequence[str], num_blocks: int | None = None,
+               name: str = _BLK) -> DataFrame:
+    """Add a deterministic block number, monotone in the ``keys`` tuple, that
+    cuts ``df`` into about ``num_blocks`` equally sized contiguous ranges.
+
+    Boundaries are one scalar subquery: a hash-based sample of the key tuples
+    (a pure function of the row; about ``32 x num_blocks`` tuples, the budget
+    Spark's own range partitioner samples), sorted, every
+    ``len/num_blocks``-th one kept. Being deterministic, every consumer and
+    every recomputation after a lost executor sees the same blocks. A row's
+    block is a fixed-depth binary search over the sorted boundaries
+    (``aggregate`` over log2(num_blocks) steps). Balance depends on the
+    sample; correctness does not. Nothing runs until the query does.
+    """
+    keys = list(keys)
+    n_blocks = _num_blocks(df, num_blocks)
+    if n_blocks <= 1:
+        return df.withColumn(name, F.lit(0))
+    from citypulse.operators.splits import hash_unit
+    key = F.struct(*[F.col(k) for k in keys])
+    n = df.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
+    rate = F.least(F.lit(1.0), F.lit(float(_SAMPLE_PER_BLOCK * n_blocks)) / F.greatest(n, F.lit(1)))
+    sample = df.select(key.alias("k")).where(hash_unit(F.abs(F.xxhash64(*keys)), 7) < rate)
+    picked = sample.agg(F.array_sort(F.collect_list("k")).alias("a")).select(
+        F.filter(F.transform(F.sequence(F.lit(1), F.lit(n_blocks - 1)),
+                             lambda i: F.try_element_at(
+                                 F.col("a"), (F.floor(i * F.size("a") / n_blocks) + 1).cast("int"))),
+                 lambda b: b.isNotNull()).alias("b"))
+    bounds = "_cp_bounds"
+    depth = max(1, math.ceil(math.log2(n_blocks)) + 1)
+
+    def step(acc, _):
+        mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
+        le = F.coalesce(F.try_element_at(F.col(bounds), mid + 1) <= key, F.lit(False))
+        go = F.when(le, F.struct((mid + 1).alias("lo"), acc["hi"].alias("hi"))).otherwise(
+            F.struct(acc["lo"].alias("lo"), mid.alias("hi")))
+        return F.when(acc["lo"] < acc["hi"], go).otherwise(acc)
+
+    init = F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi"))
+    return (df.withColumn(bounds, picked.select("b").scalar())
+              .withColumn(name, F.aggregate(F.sequence(F.lit(1), F.lit(depth)), init, step)["lo"])
+              .drop(bounds))
+
+
+def running_totals(df: DataFrame, order: Sequence[str], values: Sequence[str],
                    by: Sequence[str] = (), inclusive: bool = True,
                    prefix: str = "cum_", num_blocks: int | None = None) -> DataFrame:
     """Add ``<prefix><v>``: sum of ``v`` over the rows up to this one (``inclusive``)
-    or strictly before it, along ``order`` within ``by``.
+    or strictly before it, along ascending ``order`` within ``by``.
 
-    ``order`` must be a total order inside each group for row-exact results
-    (ties are numbered in an arbitrary but consistent way).
+    ``order`` must be a total order inside each group (include a unique id).
     """
-    by = list(by)
-    order_c = _cols(order)
-    n = _num_blocks(df, num_blocks)
-    ranged = df.repartitionByRange(n, *_cols(by), *order_c).withColumn(_BLK, F.spark_partition_id())
+    by, order = list(by), list(order)
+    blocked = with_block(df, [*by, *order], num_blocks)
     w_blk = Window.partitionBy(_BLK, *by)
-    w_run = w_blk.orderBy(*order_c).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = ranged
+    w_run = w_blk.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = blocked
     for v in values:
         local = (local.withColumn(f"_cp_loc_{v}", F.sum(v).over(w_run))
                       .withColumn(f"_cp_tot_{v}", F.sum(v).over(w_blk)))
     tot_cols = [f"_cp_tot_{v}" for v in values]
     blocks = local.groupBy(*by, _BLK).agg(*[F.max(c).alias(c) for c in tot_cols])
+    # at most (#groups + #blocks) rows: each group's blocks are few
     w_off = Window.partitionBy(*by).orderBy(_BLK).rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select(
         *by, _BLK,
@@ -77,13 +119,12 @@ def running_totals(df: DataFrame, order: Sequence[str | Column], values: Sequenc
     return out.drop(_BLK, *[f"_cp_off_{v}" for v in values], *[f"_cp_loc_{v}" for v in values])
 
 
-def ordered_index(df: DataFrame, order: Sequence[str | Column], by: Sequence[str] = (),
+def ordered_index(df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
                   name: str = "pos", num_blocks: int | None = None) -> DataFrame:
-    """0-based position of each row within ``by`` along ``order``.
-
-    Equals ``row_number() - 1`` over ``Window.partitionBy(by).orderBy(order)``
-    (pandas ``cumcount``) without putting a group in one task.
-    """
+    """0-based position of each row within ``by`` along ``order`` (a total
+    order). Equals ``row_number() - 1`` over
+    ``Window.partitionBy(by).orderBy(order)`` (pandas ``cumcount``) without
+    putting a group in one task."""
     one = "_cp_one"
     out = running_totals(df.withColumn(one, F.lit(1).cast("long")), order, [one], by,
                          inclusive=False, prefix="_cp_idx_", num_blocks=num_blocks)
@@ -96,13 +137,21 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float],
     DuckDB ``quantile_cont``) per ``by`` group; one output column per entry
     of ``probs`` (name -> probability). NULL and NaN values are skipped.
 
-    Built on ``ordered_index``: no group's values are ever buffered in a
-    single task, unlike ``percentile``'s per-group value map.
+    The rows are first counted per (group, distinct value) - partial
+    aggregation collapses repeated values map-side - then the position range
+    of each distinct value is a prefix sum of those counts
+    (``running_totals``), and the values at the needed positions are found
+    by a range lookup against a table of (group x 2 x #probs) targets.
+    No group's values are ever buffered in one task.
     """
     by = list(by)
     v = df.select(*by, F.col(value).cast("double").alias("_q_v"))
     v = v.where(F.col("_q_v").isNotNull() & ~F.isnan("_q_v"))
-    counts = v.groupBy(*by).agg(F.count(F.lit(1)).alias("_q_n"))
+    distinct = v.groupBy(*by, "_q_v").agg(F.count(F.lit(1)).alias("_q_c"))
+    cum = running_totals(distinct, ["_q_v"], ["_q_c"], by, inclusive=True, prefix="_cum",
+                         num_blocks=num_blocks)
+    # rows [_cum_q_c - _q_c, _cum_q_c) hold this value
+    counts = distinct.groupBy(*by).agg(F.sum("_q_c").alias("_q_n"))
     specs = F.array(*[F.struct(F.lit(k).alias("qname"), F.lit(float(p)).alias("p"))
                       for k, p in probs.items()])
     targets = (counts.select(*by, "_q_n", F.explode(specs).alias("s"))
@@ -110,22 +159,28 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float],
                .select(*by, "qname", "h",
                        F.floor("h").cast("long").alias("lo"),
                        F.ceil("h").cast("long").alias("hi")))
-    need = (targets.select(*by, F.col("lo").alias("_q_pos"))
-            .union(targets.select(*by, F.col("hi").alias("_q_pos"))).distinct())
-    idx = ordered_index(v, ["_q_v"], by, name="_q_pos", num_blocks=num_blocks)
-    picked = idx.join(need, on=[*by, "_q_pos"])
-    lo_v = picked.select(*by, F.col("_q_pos").alias("lo"), F.col("_q_v").alias("v_lo"))
-    hi_v = picked.select(*by, F.col("_q_pos").alias("hi"), F.col("_q_v").alias("v_hi"))
-    res = (targets.join(lo_v, on=[*by, "lo"]).join(hi_v, on=[*by, "hi"])
+    ends = (targets.select(*by, "qname", F.lit("lo").alias("end"), F.col("lo").alias("_q_pos"))
+            .union(targets.select(*by, "qname", F.lit("hi").alias("end"), F.col("hi").alias("_q_pos"))))
+    hit = (F.col("_cum_q_c") - F.col("_q_c") <= F.col("_q_pos")) & (F.col("_q_pos") < F.col("_cum_q_c"))
+    if by:
+        found = cum.join(ends, on=by).where(hit)
+    else:
+        # no group key: the target table has 2 x #probs rows; attach it as
+        # literals through a single-key join on a constant
+        found = cum.withColumn("_k", F.lit(0)).join(ends.withColumn("_k", F.lit(0)), "_k").where(hit)
+    vals = found.groupBy(*by, "qname").agg(
+        F.max(F.when(F.col("end") == "lo", F.col("_q_v"))).alias("v_lo"),
+        F.max(F.when(F.col("end") == "hi", F.col("_q_v"))).alias("v_hi"))
+    res = (targets.join(vals, on=[*by, "qname"])
            .select(*by, "qname",
                    (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * (F.col("h") - F.col("lo")))
                    .alias("q")))
     wide = res.groupBy(*by).pivot("qname", list(probs)).agg(F.first("q"))
     if not by:
         # one row even for an empty input, like a global aggregate
-        spark = df.sparkSession
-        return spark.range(1).select(
-            *[wide.select(F.max(k)).scalar().alias(k) for k in probs])
+        st = wide.select(F.struct(*[F.col(k) for k in probs]).alias("s")).select("s")
+        s_ = st.agg(F.max("s").alias("s")).select("s").scalar()
+        return df.sparkSession.range(1).select(*[s_.getField(k).alias(k) for k in probs])
     return wide
 
 
@@ -137,13 +192,32 @@ def global_quantile(df: DataFrame, value: str, p: float) -> Column:
 def fill_with_group_median(df: DataFrame, cols: Sequence[str], by: Sequence[str],
                            global_fallback: bool = True) -> DataFrame:
     """Fill missing values with the group median, then with the global
-    median of the group-filled column (the reference's order of operations)."""
-    out = df
+    median of the group-filled column (the reference's order of operations).
+
+    All columns go through one long (group, column, value) table, so there
+    are two exact-quantile passes whatever the number of columns: one per
+    (group, column) and one per column for the fallback. The median tables
+    have one row per group / per column and are joined back.
+    """
+    by, cols = list(by), list(cols)
+    kv = F.explode(F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_val"))
+                             for c in cols])).alias("_kv")
+    long = df.select(*by, kv).select(*by, "_kv._col", "_kv._val")
+    # one row per (group, column): tiny, so it is checkpointed to keep the
+    # fallback pass below from re-planning the first one
+    gmed = materialize(exact_quantiles(long, "_val", {"_gmed": 0.5}, by=[*by, "_col"]))
+    wide = gmed.groupBy(*by).pivot("_col", cols).agg(F.first("_gmed"))
+    wide = wide.select(*by, *[F.col(c).alias(f"_gm_{c}") for c in cols])
+    out = df.join(wide, on=by, how="left")
     for c in cols:
-        med = exact_quantiles(out, c, {"_gmed": 0.5}, by)
-        # one row per group: bounded by the number of groups, AQE broadcasts it
-        out = (out.join(med, on=list(by), how="left")
-                  .withColumn(c, F.coalesce(F.col(c), F.col("_gmed"))).drop("_gmed"))
-        if global_fallback:
-            out = out.withColumn(c, F.coalesce(F.col(c), global_quantile(out, c, 0.5)))
+        out = out.withColumn(c, F.coalesce(F.col(c), F.col(f"_gm_{c}").cast(df.schema[c].dataType)))
+    out = out.drop(*[f"_gm_{c}" for c in cols])
+    if global_fallback:
+        filled = (long.join(gmed, on=[*by, "_col"], how="left")
+                      .select("_col", F.coalesce("_val", "_gmed").alias("_val")))
+        glob = exact_quantiles(filled, "_val", {"_glob": 0.5}, by=["_col"])
+        st = glob.groupBy().pivot("_col", cols).agg(F.first("_glob"))
+        s_ = st.select(F.struct(*[F.col(c) for c in cols]).alias("s")).select("s").scalar()
+        for c in cols:
+            out = out.withColumn(c, F.coalesce(F.col(c), s_.getField(c).cast(df.schema[c].dataType)))
     return out

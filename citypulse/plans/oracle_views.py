@@ -154,3 +154,36 @@ def with_views(body: str, *names: str) -> str:
     if body[:5].upper() == "WITH ":
         return "WITH " + ",\n".join(ctes) + ",\n" + body[5:]
     return "WITH " + ",\n".join(ctes) + "\n" + body
+
+
+view("mob_features", ["mob_clean"], r"""
+WITH z AS (SELECT zone_sk, median(vitesse_kmh) AS mv, median(temps_trajet_min) AS mt,
+                  median(stress_1_5) AS ms FROM mob_clean GROUP BY zone_sk),
+f1 AS (SELECT c.*, coalesce(c.vitesse_kmh, z.mv) AS v1, coalesce(c.temps_trajet_min, z.mt) AS t1,
+              coalesce(c.stress_1_5, z.ms) AS s1
+       FROM mob_clean c LEFT JOIN z USING (zone_sk)),
+g AS (SELECT median(v1) AS gv, median(t1) AS gt, median(s1) AS gs FROM f1),
+h AS (SELECT f1.* EXCLUDE (vitesse_kmh, temps_trajet_min, stress_1_5, v1, t1, s1),
+             coalesce(v1, gv) AS vitesse_kmh, coalesce(t1, gt) AS temps_trajet_min,
+             coalesce(s1, gs) AS stress_1_5,
+             coalesce(TRY_CAST(nullif(regexp_extract(split_part(trim(CAST(heure AS VARCHAR)), ':', 1),
+                      '(\d+)', 1), '') AS INTEGER), 0) AS hour,
+             coalesce(TRY_CAST(CAST(weekend AS VARCHAR) AS INTEGER), 0) AS is_weekend
+      FROM f1, g),
+zc AS (SELECT zone_sk, CAST(dense_rank() OVER (ORDER BY zone_sk) - 1 AS INTEGER) AS zone_encoded
+       FROM (SELECT DISTINCT zone_sk FROM h)),
+lc AS (SELECT line_sk, CAST(dense_rank() OVER (ORDER BY line_sk) - 1 AS INTEGER) AS line_encoded
+       FROM (SELECT DISTINCT line_sk FROM h)),
+mc AS (SELECT mode_sk, CAST(dense_rank() OVER (ORDER BY mode_sk) - 1 AS INTEGER) AS mode_encoded
+       FROM (SELECT DISTINCT mode_sk FROM h))
+SELECT h.*, CASE WHEN hour BETWEEN 7 AND 9 OR hour BETWEEN 17 AND 19 THEN 1 ELSE 0 END AS rush_hour,
+       zone_encoded, line_encoded, mode_encoded, CAST(annule AS INTEGER) AS retard_flag
+FROM h JOIN zc USING (zone_sk) JOIN lc USING (line_sk) JOIN mc USING (mode_sk)""")
+
+view("mob_daily", ["mob_features"], """
+SELECT zone_sk, CAST(make_date(annee, mois, 1) + CAST(pos % 28 AS INTEGER) AS DATE) AS ds,
+       avg(congestion_index) AS y
+FROM (SELECT *, row_number() OVER (PARTITION BY annee, mois, zone_sk ORDER BY hour, fact_mob_sk) - 1
+             AS pos FROM mob_features)
+WHERE congestion_index IS NOT NULL
+GROUP BY zone_sk, ds""")

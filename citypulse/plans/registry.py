@@ -1,3 +1,4 @@
 """Imports every query module so the catalog is complete."""
 
 from citypulse.plans import queries_ecology  # noqa: F401
+from citypulse.plans import queries_mobility  # noqa: F401
