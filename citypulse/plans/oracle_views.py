@@ -187,3 +187,53 @@ FROM (SELECT *, row_number() OVER (PARTITION BY annee, mois, zone_sk ORDER BY ho
              AS pos FROM mob_features)
 WHERE congestion_index IS NOT NULL
 GROUP BY zone_sk, ds""")
+
+
+_TORDER = ("fact_impact_sk, l_partkey, l_suppkey, l_shipdate, l_extendedprice, l_quantity, "
+           "l_discount, l_tax, l_linestatus")
+
+view("safe_clean", ["territorial_fact", "time_dim", "zone_dim"], f"""
+SELECT d.fact_impact_sk, d.time_sk, d.zone_sk, d.mode_sk,
+       CAST(coalesce(nb_accidents, 0) AS INTEGER) AS nb_accidents,
+       CAST(coalesce(nb_graves, 0) AS INTEGER) AS nb_graves,
+       CAST(coalesce(nb_mortels, 0) AS INTEGER) AS nb_mortels,
+       CAST(coalesce(usagers_vulnerables, 0) AS INTEGER) AS usagers_vulnerables,
+       CAST(coalesce(volume_crimes, 0) AS INTEGER) AS volume_crimes,
+       coalesce(taux_criminalite, 0) AS taux_criminalite,
+       t.annee, t.mois, z.zone_nom, z.zone_code, z.ville,
+       d.l_partkey, d.l_suppkey, d.l_shipdate, d.l_extendedprice, d.l_quantity, d.l_discount,
+       d.l_tax, d.l_linestatus
+FROM (SELECT * FROM territorial_fact QUALIFY row_number() OVER (
+        PARTITION BY time_sk, zone_sk, mode_sk ORDER BY {_TORDER}) = 1) d
+LEFT JOIN time_dim t USING (time_sk) LEFT JOIN zone_dim z USING (zone_sk)
+WHERE d.zone_sk <= 10""")
+
+_SEV = """
+WITH st AS (SELECT sum(CASE WHEN nb_mortels > 0 THEN 1 ELSE 0 END) AS n_fatal,
+                   avg(taux_criminalite) AS mu, stddev_samp(taux_criminalite) AS sd FROM {src}),
+zc AS (SELECT zone_sk, CAST(dense_rank() OVER (ORDER BY zone_sk) - 1 AS INTEGER) AS zone_encoded
+       FROM (SELECT DISTINCT zone_sk FROM {src})),
+mc AS (SELECT mode_sk, CAST(dense_rank() OVER (ORDER BY mode_sk) - 1 AS INTEGER) AS mode_encoded
+       FROM (SELECT DISTINCT mode_sk FROM {src})),
+x AS (SELECT s.*, CASE WHEN st.n_fatal < 40
+                   THEN CASE WHEN nb_graves > 0 OR nb_mortels > 0 THEN 1 ELSE 0 END
+                   ELSE CASE WHEN nb_mortels > 0 THEN 2 WHEN nb_graves > 0 THEN 1 ELSE 0 END END
+                 AS severity_class,
+             round_even((nb_graves + nb_mortels) / CAST(nb_accidents + 1 AS DOUBLE), 4) AS gravite_index,
+             CASE WHEN nb_accidents > 0 THEN 1 ELSE 0 END AS has_accident,
+             round_even(coalesce((taux_criminalite - st.mu) / nullif(st.sd, 0), 0), 4) AS crime_rate_scaled
+      FROM {src} s, st)
+SELECT x.*, CASE severity_class WHEN 0 THEN 'Aucun incident' WHEN 1 THEN 'Accident grave'
+                 WHEN 2 THEN 'Accident mortel' END AS severity_label, zone_encoded, mode_encoded
+FROM x JOIN zc USING (zone_sk) JOIN mc USING (mode_sk)"""
+
+view("safe_features", ["safe_clean"], _SEV.format(src="safe_clean"))
+
+view("safe_raw", ["territorial_fact", "time_dim"], """
+SELECT f.*, t.annee, t.mois FROM territorial_fact f LEFT JOIN time_dim t USING (time_sk)
+WHERE zone_sk <= 10""")
+
+view("safe_raw_features", ["safe_raw"], _SEV.format(src="safe_raw"))
+
+view("eco_scored", ["eco_features"], """
+SELECT *, energie_kwh * 15 AS co2_pred FROM eco_features""")
