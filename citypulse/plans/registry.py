@@ -4,3 +4,4 @@ from citypulse.plans import queries_ecology  # noqa: F401
 from citypulse.plans import queries_mobility  # noqa: F401
 from citypulse.plans import queries_safety  # noqa: F401
 from citypulse.plans import queries_metrics  # noqa: F401
+from citypulse.plans import queries_timeseries  # noqa: F401
