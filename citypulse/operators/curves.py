@@ -38,15 +38,15 @@ def roc_curve(df: DataFrame, y: str, score: str) -> DataFrame:
 
 def roc_auc(df: DataFrame, y: str, score: str) -> DataFrame:
     """M7: exact ROC AUC = P(score_pos > score_neg) + 0.5 P(tie)
-    (Mann-Whitney with mid-ranks; equals the trapezoid area of the curve)."""
+    (Mann-Whitney with mid-ranks; equals the trapezoid area of the curve).
+
+    With cum_neg = negatives scoring at least s: negatives strictly below s
+    = N - cum_neg, so AUC = (P N - sum(pos cum_neg) + sum(pos neg) / 2) / (P N),
+    one aggregate over the per-score table."""
     t = score_table(df, y, score)
-    # negatives strictly below a score = N - cum_neg (cum counts rows >= score)
-    tot = t.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
-    N = tot.select("n").scalar()
-    P = tot.select("p").scalar()
-    contrib = F.col("pos") * ((N - F.col("cum_neg")) + 0.5 * F.col("neg"))
-    return t.agg(F.try_divide(F.sum(contrib), P * N).alias("auc"),
-                 P.alias("n_pos"), N.alias("n_neg"))
+    P, N = F.sum("pos"), F.sum("neg")
+    num = P * N - F.sum(F.col("pos") * F.col("cum_neg")) + 0.5 * F.sum(F.col("pos") * F.col("neg"))
+    return t.agg(F.try_divide(num, P * N).alias("auc"), P.alias("n_pos"), N.alias("n_neg"))
 
 
 def pr_curve(df: DataFrame, y: str, score: str) -> DataFrame:

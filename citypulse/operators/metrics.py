@@ -72,7 +72,6 @@ def per_class_report(df: DataFrame, y: str, pred: str) -> DataFrame:
     the truth or the predictions."""
     classes = (df.select(F.col(y).alias("cls")).union(df.select(F.col(pred).alias("cls")))
                  .distinct())
-    stats = df.groupBy().agg(F.count(F.lit(1)).alias("_all"))
     per_true = df.groupBy(F.col(y).alias("cls")).agg(
         F.count(F.lit(1)).alias("support"),
         F.sum((F.col(pred) == F.col(y)).cast("long")).alias("tp"))
@@ -82,7 +81,6 @@ def per_class_report(df: DataFrame, y: str, pred: str) -> DataFrame:
     prec = F.coalesce(F.try_divide(F.col("tp"), F.col("n_pred")), F.lit(0.0))
     rec = F.coalesce(F.try_divide(F.col("tp"), F.col("support")), F.lit(0.0))
     f1 = F.coalesce(F.try_divide(2 * F.col("tp"), F.col("n_pred") + F.col("support")), F.lit(0.0))
-    del stats
     return r.select(F.col("cls").alias("class"), "support", prec.alias("precision"),
                     rec.alias("recall"), f1.alias("f1"))
 
@@ -113,3 +111,16 @@ def mean_std(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """Mean and population std of fold scores (numpy ``std``)."""
     return df.groupBy(*by).agg(F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"),
                                F.count(F.lit(1)).alias("n"))
+
+
+def one_row(*frames: DataFrame) -> DataFrame:
+    """Put the columns of several single-row report frames side by side.
+
+    Each frame becomes one struct-valued scalar subquery (evaluated once,
+    reused for every field), so no join is involved."""
+    spark = frames[0].sparkSession
+    cols = []
+    for d in frames:
+        s = d.select(F.struct(*[F.col(c) for c in d.columns]).alias("s")).select("s").scalar()
+        cols += [s.getField(c).alias(c) for c in d.columns]
+    return spark.range(1).select(*cols)
