@@ -6,3 +6,4 @@ from citypulse.plans import queries_safety  # noqa: F401
 from citypulse.plans import queries_metrics  # noqa: F401
 from citypulse.plans import queries_timeseries  # noqa: F401
 from citypulse.plans import queries_models  # noqa: F401
+from citypulse.plans import queries_bi  # noqa: F401

@@ -204,7 +204,7 @@ def eco_future_predictions(features: DataFrame, max_iter: int = 30) -> DataFrame
 
 # -- mobility -----------------------------------------------------------------
 
-def mob_load_regression(features: DataFrame, max_iter: int = 30) -> DataFrame:
+def mob_load_regression(features: DataFrame, max_iter: int = 20) -> DataFrame:
     """L1 + X2 + E2 + X4/M3 + M1: boosted load regression with leakage-free
     encodings; 5-fold contiguous CV RMSE on the training rows, test metrics."""
     enc = materialize(M.load_encodings(features))
@@ -218,7 +218,7 @@ def mob_load_regression(features: DataFrame, max_iter: int = 30) -> DataFrame:
                     F.lit(float(std[0]) if std else None).cast("double").alias("cv_rmse_std"))
 
 
-def mob_cancellation(features: DataFrame, max_iter: int = 30) -> DataFrame:
+def mob_cancellation(features: DataFrame, max_iter: int = 20) -> DataFrame:
     """L3 + X3 + M5/M7/M8 + W10/W11 + M16 + P18 + L14: weighted boosted
     classifier on a stratified split; AUC, confusion at 0.5, best-F1
     threshold, and the risk bands of every trip."""

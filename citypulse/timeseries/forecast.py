@@ -44,6 +44,9 @@ def _design(t_days: np.ndarray, t0: float, span: float, cps: np.ndarray, yearly:
 
 def _fit(t_days, y, scale, yearly, weekly, hol, n_cp=25):
     t0, span = float(t_days.min()), float(max(t_days.max() - t_days.min(), 1.0))
+    # a seasonality is only identifiable with at least two full periods of history
+    yearly = yearly if span >= 2 * 365.25 else 0
+    weekly = weekly if span >= 14 else 0
     m = len(y)
     k = int(min(n_cp, max(0, int(np.floor(0.8 * m)) - 1)))
     hist = t_days[: max(1, int(np.ceil(0.8 * m)))]
@@ -52,15 +55,15 @@ def _fit(t_days, y, scale, yearly, weekly, hol, n_cp=25):
     ys = float(np.max(np.abs(y))) or 1.0
     pen = np.zeros(x.shape[1])
     pen[2:2 + len(cps)] = 1.0 / max(scale, 1e-6)
-    pen[2 + len(cps):] = 1.0 / 100.0  # seasonality / holiday prior scale 10
+    pen[2 + len(cps):] = 1.0  # seasonality / holiday coefficients (on scaled y)
     beta = np.linalg.solve(x.T @ x + np.diag(pen) + 1e-9 * np.eye(x.shape[1]), x.T @ (y / ys))
     fitted = x @ beta * ys
     sigma = float(np.std(y - fitted)) if m > 1 else 0.0
-    return (t0, span, cps, beta, ys, sigma)
+    return (t0, span, cps, beta, ys, sigma, yearly, weekly)
 
 
-def _predict(state, t_days, yearly, weekly, hol):
-    t0, span, cps, beta, ys, sigma = state
+def _predict(state, t_days, yearly_unused, weekly_unused, hol):
+    t0, span, cps, beta, ys, sigma, yearly, weekly = state
     x = _design(t_days, t0, span, cps, yearly, weekly, hol)
     yhat = x @ beta * ys
     return yhat, yhat - Z80 * sigma, yhat + Z80 * sigma
