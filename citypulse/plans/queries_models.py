@@ -165,3 +165,12 @@ def safe_isolation_forest(w):
 def safe_anomaly_report(w):
     """Anomaly rate, precision@k heuristic, top-10 alerts, alerts per zone."""
     return TR.safe_anomaly_report(_safe(w))
+
+
+@register("eco_dbscan_profile", "L5 J9 E1", "zone_sk:i dbscan_label:i")
+def eco_dbscan_profile(w):
+    """DBSCAN (eps 1.5, min 2) of the standardised zone pollution profile."""
+    from citypulse.operators.materialize import materialize
+    from citypulse.operators.models.dbscan import dbscan_profile
+    prof = materialize(E.zone_pollution_profile(_eco(w)))
+    return dbscan_profile(prof, [f"{c}_scaled" for c in E.PROFILE_FEATURES], "zone_sk")

@@ -35,3 +35,14 @@ def test_forecast_shape_and_clamp(spark):
 def test_easter_rule():
     assert easter_sunday(2024) == dt.date(2024, 3, 31)
     assert easter_sunday(2025) == dt.date(2025, 4, 20)
+
+
+def test_dbscan_known_layout():
+    from citypulse.operators.models.dbscan import dbscan_labels
+    x = np.array([[0, 0], [0, 1], [0, 2], [10, 10], [10, 11], [50, 50]], dtype=float)
+    assert dbscan_labels(x, 1.5, 2).tolist() == [0, 0, 0, 1, 1, -1]
+    # the middle point has 3 points within eps (itself included): it is the
+    # only core point at min_samples=3, and both ends join it as border points
+    y = np.array([[0, 0], [1, 0], [2.4, 0]], dtype=float)
+    assert dbscan_labels(y, 1.5, 3).tolist() == [0, 0, 0]
+    assert dbscan_labels(y, 1.5, 4).tolist() == [-1, -1, -1]
