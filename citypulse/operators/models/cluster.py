@@ -10,6 +10,7 @@ grouped-map task, behind an explicit size guard. At row level use
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
@@ -35,15 +36,18 @@ def kmeans_restarts(df: DataFrame, cols: Sequence[str], k: int, n_init: int = 10
     inertia (sklearn's restarts). Returns (model, assigned DataFrame, cost)."""
     # iterative fits read the input many times: cut its lineage first
     data = materialize(_vec(df, cols))
-    best = None
-    for i in range(n_init):
+
+    def one(i: int):
         km = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=1e-6, featuresCol="features",
                     predictionCol="cluster_id", initMode="k-means||")
         m = km.fit(data)
-        cost = m.summary.trainingCost
-        if best is None or cost < best[2] - 1e-12:
-            best = (m, None, cost)
-    model = best[0]
+        return i, m, m.summary.trainingCost
+
+    # independent restarts: submitted concurrently, Spark schedules the jobs
+    with ThreadPoolExecutor(max_workers=min(n_init, 8)) as pool:
+        fits = sorted(pool.map(one, range(n_init)), key=lambda t: t[0])
+    best = min(fits, key=lambda t: (round(t[2], 12), t[0]))
+    model = best[1]
     return model, model.transform(data).drop("features"), best[2]
 
 

@@ -295,12 +295,18 @@ def safe_severity_forest(features: DataFrame, n_trees: int = 100, leaky: bool =
     cols = SAFE_FEATURES + (SAFE_LEAKY if leaky else [])
     df = SP.stratified_kfold(features, "severity_class", "fact_impact_sk", 5)
     df = materialize(SV.balanced_weights(df, "severity_class"))
-    oof = None
-    for k in range(5):
+    def fold(k: int):
         model = fit(SV.random_forest("severity_class", "w", n_trees), df.where(F.col("fold") != k), cols)
-        p = model.transform(df.where(F.col("fold") == k)).select("fold", "severity_class",
-                                                                  F.col("prediction").cast("int").alias("pred"))
-        oof = p if oof is None else oof.unionByName(p)
+        return model.transform(df.where(F.col("fold") == k)).select(
+            "fold", "severity_class", F.col("prediction").cast("int").alias("pred"))
+
+    # the five fold fits are independent: submitted concurrently
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=5) as pool:
+        parts = list(pool.map(fold, range(5)))
+    oof = parts[0]
+    for p in parts[1:]:
+        oof = oof.unionByName(p)
     oof = materialize(oof)
     per_fold = oof.groupBy("fold").applyInPandas(_fold_f1, "fold int, f1_macro double")
     stats = MT.mean_std(per_fold, "f1_macro")

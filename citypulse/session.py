@@ -36,6 +36,8 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
         .config("spark.default.parallelism", str(cpus))
+        # small local inputs: let AQE keep enough partitions to use every core
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
     )
     for k, v in CORE_CONF.items():
         builder = builder.config(k, v)
