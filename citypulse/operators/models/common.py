@@ -33,6 +33,10 @@ def as_double(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def fit(estimator, train: DataFrame, cols: Sequence[str]) -> PipelineModel:
+    """Fit imputer + assembler + estimator on the features that exist
+    (E3/U3: ordered, de-duplicated, missing ones logged and skipped)."""
+    from citypulse.operators.clean import resolve_features
+    cols = resolve_features(train, cols)
     return Pipeline(stages=[*feature_pipeline(cols), estimator]).fit(as_double(train, cols))
 
 

@@ -168,3 +168,46 @@ def safety_report(w):
     for s in secs[1:]:
         out = out.unionByName(s)
     return C.audit_columns(out, "1970-01-01 00:00:00 UTC")
+
+
+@register("mob_scoring_imputation", "P13",
+          "fact_mob_sk:i vitesse_kmh:f stress_1_5:f",
+          with_views("""
+SELECT fact_mob_sk, coalesce(vitesse_kmh, (SELECT median(vitesse_kmh) FROM mob_clean)) AS vitesse_kmh,
+       coalesce(stress_1_5, (SELECT median(stress_1_5) FROM mob_clean)) AS stress_1_5
+FROM mob_clean""", "mob_clean"))
+def mob_scoring_imputation(w):
+    """Scoring-time imputation: missing speed / stress replaced by the
+    global (exact) median of the scored table."""
+    from citypulse.operators.ordered import global_quantile
+    c = M.clean_mobility(w)
+    return c.select("fact_mob_sk",
+                    F.coalesce("vitesse_kmh", global_quantile(c, "vitesse_kmh", 0.5)).alias("vitesse_kmh"),
+                    F.coalesce("stress_1_5", global_quantile(c, "stress_1_5", 0.5)).alias("stress_1_5"))
+
+
+@register("bi_export_roundtrip", "IO6 IO7 IO9 IO10 IO13 P22 BI5",
+          "name:s present:i n_rows:i ok:i")
+def bi_export_roundtrip(w):
+    """Writes the safety severity table for BI (CSV with header, partitioned
+    by year, conformed keys and audit column) and a JSON KPI report into the
+    shared checkpoint folder, reads both back and verifies presence and row
+    counts."""
+    import uuid
+
+    from citypulse.session import ensure_checkpoint_dir
+    from citypulse.sources.sinks import read_report, verify_outputs, write_bi_table, write_report
+    spark = w.spark
+    base = ensure_checkpoint_dir(spark).rstrip("/") + f"/exports-{uuid.uuid4().hex[:8]}"
+    f = SF.severity_features(SF.clean_safety(w))
+    out = C.audit_columns(f.select("time_sk", "zone_sk", "mode_sk", "annee", "mois", "severity_class",
+                                   "severity_label", "gravite_index"), "1970-01-01 00:00:00 UTC")
+    n = out.count()
+    write_bi_table(out, f"{base}/severity_predictions", "csv", partition_by="annee")
+    write_report(SF.safety_kpis(f), f"{base}/metrics_report")
+    rep_rows = read_report(spark, f"{base}/metrics_report").count()
+    v = verify_outputs(spark, {"severity_predictions": (f"{base}/severity_predictions", n)})
+    return v.select("name", F.col("present").cast("int").alias("present"), "n_rows",
+                    F.col("ok").cast("int").alias("ok")).unionByName(
+        spark.createDataFrame([("metrics_report", 1, rep_rows, int(rep_rows == 1))],
+                              "name string, present int, n_rows long, ok int"))
