@@ -70,10 +70,10 @@ tr AS (SELECT * FROM s WHERE is_test = 0),
 gm AS (SELECT avg(charge_estimee) AS g FROM tr),
 lm AS (SELECT line_encoded, avg(charge_estimee) AS m FROM tr GROUP BY line_encoded),
 zh AS (SELECT zone_encoded, hour, avg(charge_estimee) AS m FROM tr GROUP BY zone_encoded, hour)
-SELECT s.fact_mob_sk, s.is_test, coalesce(lm.m, gm.g) AS line_charge_mean,
-       coalesce(zh.m, gm.g) AS zone_hour_charge, s.hour * s.congestion_index AS hour_x_congestion,
-       s.is_weekend * s.zone_encoded AS weekend_x_zone
-FROM s CROSS JOIN gm LEFT JOIN lm USING (line_encoded) LEFT JOIN zh USING (zone_encoded, hour)""",
+SELECT s.fact_mob_sk, s.is_test, coalesce(lm.m, (SELECT g FROM gm)) AS line_charge_mean,
+       coalesce(zh.m, (SELECT g FROM gm)) AS zone_hour_charge,
+       s.hour * s.congestion_index AS hour_x_congestion, s.is_weekend * s.zone_encoded AS weekend_x_zone
+FROM s LEFT JOIN lm USING (line_encoded) LEFT JOIN zh USING (zone_encoded, hour)""",
                      "mob_features"))
 def mob_load_encodings(w):
     """Seeded id-hash 80/20 split; line and zone x hour mean load learnt on

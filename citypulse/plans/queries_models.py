@@ -174,3 +174,14 @@ def eco_dbscan_profile(w):
     from citypulse.operators.models.dbscan import dbscan_profile
     prof = materialize(E.zone_pollution_profile(_eco(w)))
     return dbscan_profile(prof, [f"{c}_scaled" for c in E.PROFILE_FEATURES], "zone_sk")
+
+
+@register("mob_model_comparison", "M14 Y12", "model:s auc:f")
+def mob_model_comparison(w):
+    """Model comparison table for the cancellation task: boosted trees vs
+    balanced logistic regression, AUC on the same stratified test split."""
+    from pyspark.sql import functions as F
+    f = _mob(w)
+    gbt = TR.mob_cancellation(f).select(F.lit("boosted_trees").alias("model"), "auc")
+    lr = TR.mob_logistic(f).select(F.lit("logistic_regression").alias("model"), "auc")
+    return gbt.unionByName(lr)
