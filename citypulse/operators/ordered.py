@@ -212,14 +212,15 @@ def fill_with_group_median(df: DataFrame, cols: Sequence[str], by: Sequence[str]
     for c in cols:
         out = out.withColumn(c, F.coalesce(F.col(c), F.col(f"_gm_{c}").cast(df.schema[c].dataType)))
     out = out.drop(*[f"_gm_{c}" for c in cols])
-    # The fallback can only change rows whose group has no median (all
-    # values missing) or whose group key is missing; the tiny median table
-    # tells whether any exist, so the second pass is skipped when it would
-    # be a no-op.
-    null_key = F.lit(False)
-    for b in by:
-        null_key = null_key | F.col(b).isNull()
-    if global_fallback and gmed.where(F.col("_gmed").isNull() | null_key).limit(1).count() > 0:
+    # The fallback can only change missing values whose (group, column) has
+    # no median (all values missing, so the group is absent from the tiny
+    # median table) or whose group key is missing; one anti-join against
+    # that table tells whether any exist (NULL keys never match, so they count
+    # too), and the second exact-quantile pass
+    # is skipped when it would be a no-op.
+    missing = long.where(F.col("_val").isNull())
+    unfilled = missing.join(gmed.where(F.col("_gmed").isNotNull()), on=[*by, "_col"], how="left_anti")
+    if global_fallback and unfilled.limit(1).count() > 0:
         filled = (long.join(gmed, on=[*by, "_col"], how="left")
                       .select("_col", F.coalesce("_val", "_gmed").alias("_val")))
         glob = exact_quantiles(filled, "_val", {"_glob": 0.5}, by=["_col"])

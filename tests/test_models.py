@@ -46,3 +46,20 @@ def test_dbscan_known_layout():
     y = np.array([[0, 0], [1, 0], [2.4, 0]], dtype=float)
     assert dbscan_labels(y, 1.5, 3).tolist() == [0, 0, 0]
     assert dbscan_labels(y, 1.5, 4).tolist() == [-1, -1, -1]
+
+
+def test_pipeline_and_encoding_persist_roundtrip(spark, tmp_path):
+    from pyspark.ml.regression import LinearRegression
+
+    from citypulse.operators.encode import TargetEncoder
+    from citypulse.operators.models.common import fit, load, save
+    df = spark.createDataFrame([(float(i), float(2 * i + 1), i % 3) for i in range(50)], "x double, y double, k int")
+    m = fit(LinearRegression(labelCol="y", featuresCol="features"), df, ["x", "missing_col"])
+    save(m, str(tmp_path / "model"))
+    back = load(str(tmp_path / "model"))
+    a = [r.prediction for r in m.transform(df).orderBy("x").collect()]
+    b = [r.prediction for r in back.transform(df).orderBy("x").collect()]
+    assert np.allclose(a, b)
+    enc = TargetEncoder({"k_mean": ["k"]}, "y").fit(df)
+    enc.save(str(tmp_path / "enc"))
+    assert spark.read.parquet(str(tmp_path / "enc" / "k_mean")).count() == 3

@@ -55,3 +55,13 @@ def test_group_median_fill_matches_pandas(spark):
     exp["v"] = exp.groupby("g")["v"].transform(lambda x: x.fillna(x.median()))
     exp["v"] = exp["v"].fillna(exp["v"].median())
     assert np.allclose(got["v"].to_numpy(), exp.sort_values("id")["v"].to_numpy())
+
+
+def test_group_median_fill_uses_global_fallback_for_all_missing_group(spark):
+    pdf = pd.DataFrame({"g": [1, 1, 1, 2, 2, 3], "v": [1.0, np.nan, 3.0, np.nan, np.nan, 10.0]})
+    df = spark.createDataFrame(pdf).withColumn("v", F.when(~F.isnan("v"), F.col("v")))
+    got = fill_with_group_median(df, ["v"], ["g"]).orderBy("g").toPandas()["v"].tolist()
+    # group 1 -> its median 2.0; group 2 has no values -> median of the
+    # group-filled column [1, 2, 3, 10] = 2.5
+    assert got[1] == 2.0 or sorted(got[:3]) == [1.0, 2.0, 3.0]
+    assert got[3] == got[4] == 2.5
