@@ -161,13 +161,32 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float],
                        F.ceil("h").cast("long").alias("hi")))
     ends = (targets.select(*by, "qname", F.lit("lo").alias("end"), F.col("lo").alias("_q_pos"))
             .union(targets.select(*by, "qname", F.lit("hi").alias("end"), F.col("hi").alias("_q_pos"))))
-    hit = (F.col("_cum_q_c") - F.col("_q_c") <= F.col("_q_pos")) & (F.col("_q_pos") < F.col("_cum_q_c"))
-    if by:
-        found = cum.join(ends, on=by).where(hit)
-    else:
-        # no group key: the target table has 2 x #probs rows; attach it as
-        # literals through a single-key join on a constant
-        found = cum.withColumn("_k", F.lit(0)).join(ends.withColumn("_k", F.lit(0)), "_k").where(hit)
+
+    def covers(pos):
+        return (F.col("_cum_q_c") - F.col("_q_c") <= pos) & (pos < F.col("_cum_q_c"))
+
+    if not by:
+        # No group key: the target positions are scalars. They are projected
+        # as columns and read by conditional aggregates - no join at all.
+        n = counts.select("_q_n").scalar()
+        pos = cum
+        for k, p in probs.items():
+            h = F.lit(float(p)) * (n - 1)
+            pos = (pos.withColumn(f"_h_{k}", h).withColumn(f"_lo_{k}", F.floor(h))
+                      .withColumn(f"_hi_{k}", F.ceil(h)))
+        aggs = []
+        for k in probs:
+            aggs += [F.max(F.when(covers(F.col(f"_lo_{k}")), F.col("_q_v"))).alias(f"{k}__lo"),
+                     F.max(F.when(covers(F.col(f"_hi_{k}")), F.col("_q_v"))).alias(f"{k}__hi"),
+                     F.max(F.col(f"_h_{k}") - F.col(f"_lo_{k}")).alias(f"{k}__f")]
+        row = pos.agg(*aggs)
+        st = row.select(F.struct(*[F.col(c) for c in row.columns]).alias("s")).select("s").scalar()
+        out = []
+        for k in probs:
+            lo, hi, fr = st.getField(f"{k}__lo"), st.getField(f"{k}__hi"), st.getField(f"{k}__f")
+            out.append((lo + (hi - lo) * fr).alias(k))
+        return df.sparkSession.range(1).select(*out)
+    found = cum.join(ends, on=by).where(covers(F.col("_q_pos")))
     vals = found.groupBy(*by, "qname").agg(
         F.max(F.when(F.col("end") == "lo", F.col("_q_v"))).alias("v_lo"),
         F.max(F.when(F.col("end") == "hi", F.col("_q_v"))).alias("v_hi"))
@@ -175,13 +194,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float],
            .select(*by, "qname",
                    (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * (F.col("h") - F.col("lo")))
                    .alias("q")))
-    wide = res.groupBy(*by).pivot("qname", list(probs)).agg(F.first("q"))
-    if not by:
-        # one row even for an empty input, like a global aggregate
-        st = wide.select(F.struct(*[F.col(k) for k in probs]).alias("s")).select("s")
-        s_ = st.agg(F.max("s").alias("s")).select("s").scalar()
-        return df.sparkSession.range(1).select(*[s_.getField(k).alias(k) for k in probs])
-    return wide
+    return res.groupBy(*by).pivot("qname", list(probs)).agg(F.first("q"))
 
 
 def global_quantile(df: DataFrame, value: str, p: float) -> Column:
