@@ -42,3 +42,10 @@ def test_oracle_agrees(spark, name):
     drows = cur.fetchall()
     assert len(srows) == len(drows)
     assert digest(srows, sdf.columns)[0] == digest(drows, [d[0] for d in cur.description])[0]
+
+
+@pytest.mark.parametrize("name", ["carbon_intensity_by_zone", "kpi_carbon_summary",
+                                  "safe_precision_at_k", "mob_load_encodings", "metrics_roc_auc"])
+def test_plans_have_no_cartesian_or_nested_loop_join(spark, name):
+    plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
