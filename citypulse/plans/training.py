@@ -77,14 +77,19 @@ def eco_co2_regression(features: DataFrame, max_iter: int = 30, min_train: int =
     # the distinct modes form a small dimension: one distributed fit per mode
     sizes = df.groupBy("mode_sk").agg(F.sum(1 - F.col("is_test")).alias("n_tr"),
                                       F.sum("is_test").alias("n_te")).collect()
-    per_mode = []
-    for r in sorted(sizes, key=lambda r: r["mode_sk"]):
-        if r["n_tr"] < min_train or r["n_te"] == 0:
-            continue
+    eligible = [r["mode_sk"] for r in sorted(sizes, key=lambda r: r["mode_sk"])
+                if r["n_tr"] >= min_train and r["n_te"] > 0]
+
+    def mode_fit(mode):
         m = fit(SV.gbt_regressor("co2_log", max_iter, validation_col="is_val"),
-                train.where(F.col("mode_sk") == r["mode_sk"]), ECO_FEATURES_PER_MODE)
-        p = m.transform(test.where(F.col("mode_sk") == r["mode_sk"]))
-        per_mode.append(p.withColumn("co2_pred", F.expm1("prediction")))
+                train.where(F.col("mode_sk") == mode), ECO_FEATURES_PER_MODE)
+        p = m.transform(test.where(F.col("mode_sk") == mode))
+        return p.withColumn("co2_pred", F.expm1("prediction"))
+
+    # independent fits: submitted concurrently, Spark schedules the jobs
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=max(1, len(eligible))) as pool:
+        per_mode = list(pool.map(mode_fit, eligible))
     if per_mode:
         pooled = per_mode[0]
         for p in per_mode[1:]:
@@ -189,8 +194,10 @@ def eco_future_predictions(features: DataFrame, max_iter: int = 30) -> DataFrame
     enc = features.groupBy("mode_sk").agg(F.avg("co2_kg").alias("mode_co2_mean"))
     glob = features.agg(F.avg("co2_kg").alias("g")).select("g").scalar()
     grid = grid.join(enc, "mode_sk", "left").withColumn("mode_co2_mean", F.coalesce("mode_co2_mean", glob))
-    co2 = fit(SV.gbt_regressor("co2_log", max_iter), features, ECO_FEATURES_COMBINED)
-    nrj = fit(SV.gbt_regressor("energie_log", max_iter), features, ECO_FEATURES_COMBINED)
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        co2, nrj = pool.map(lambda t: fit(SV.gbt_regressor(t, max_iter), features, ECO_FEATURES_COMBINED),
+                            ["co2_log", "energie_log"])
     p = co2.transform(grid).withColumn("co2_predicted", S.round_half_even(F.expm1("prediction"), 2))
     keep = ["zone_sk", "mode_sk", "annee", "mois", "annee_mois_dt", "co2_predicted"]
     p = p.select(*keep, *[c for c in ECO_FEATURES_COMBINED if c not in keep])
