@@ -11,13 +11,13 @@ similarity. Points are drawn in time order only up to a horizon at which all
 registers are filled, so a shingle costs about one draw and not one per
 register.
 
-Signatures are banded; candidates are verified by their exact multiset
-overlap, sum of least counts over sum of greatest counts, at 0.8 or more.
+Registers are banded; candidates are verified by their exact multiset overlap,
+sum of least counts over sum of greatest counts, at 0.8 or more.
 Texts with the same words in the same order are one node. See ``linking`` for
 how buckets become classes.
 
-The signature pass only maps; ids, digests, registers and bands are what is
-shuffled, and shingles of candidate documents only.
+The signature pass only maps; ids, digests and bands are what is shuffled, and
+shingles of candidate documents only.
 
 Cases: a text with fewer than five words has one shingle of all its words; a
 text without words (null, empty, punctuation only) is compared by equality,
@@ -44,9 +44,6 @@ SHINGLE = 5
 ROWS, BANDS = 5, 24  # an overlap of 0.8 meets in some band with probability 0.9999
 REGISTERS = ROWS * BANDS
 THRESHOLD = 0.8
-# Exact verification follows where so many registers agree: 0.8 is seven
-# standard deviations above this share.
-AGREE = 0.55
 
 
 def _uniform(x: np.ndarray) -> np.ndarray:
@@ -92,14 +89,13 @@ def registers(h: np.ndarray, row: np.ndarray, weight: np.ndarray, n_rows: int) -
     return out
 
 
-def bands(reg: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(32-bit register marks, one 64-bit key per band)."""
+def bands(reg: np.ndarray) -> np.ndarray:
+    """One 64-bit key per row and band."""
     bits = mix(reg.view(U))
     keys = np.zeros((len(reg), BANDS), U)
     for r in range(ROWS):
         keys = keys * U(BASE) + bits[:, r::ROWS]
-    keys = mix(keys + np.arange(BANDS, dtype=U))
-    return (bits >> U(32)).astype(np.uint32), keys
+    return mix(keys + np.arange(BANDS, dtype=U))
 
 
 def _bag(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -109,7 +105,7 @@ def _bag(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray,
 
 
 def signatures(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, d1, d2, n_words, marks binary, bands array) per row; map only."""
+    """(id, d1, d2, n_words, bands array) per row; map only."""
     source = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,7 +114,7 @@ def signatures(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 col = some.column("text")
                 h, row, count, word, off = _bag(col)
                 n = some.num_rows
-                marks, keys = bands(registers(h, row, count.astype(np.float64), n))
+                keys = bands(registers(h, row, count.astype(np.float64), n))
                 size = np.diff(off)
                 d1, d2 = sequence_digest(word, off, 11), sequence_digest(word, off, 12)
                 bare = np.flatnonzero(size == 0)
@@ -134,31 +130,16 @@ def signatures(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     pa.array(np.arange(n + 1, dtype=np.int32) * BANDS), flat)
                 yield pa.RecordBatch.from_arrays(
                     [some.column("id"), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)),
-                     pa.array(size.astype(np.int64)), pa.array([m.tobytes() for m in marks], pa.binary()), lists],
-                    ["id", "d1", "d2", "n_words", "marks", "bands"])
+                     pa.array(size.astype(np.int64)), lists],
+                    ["id", "d1", "d2", "n_words", "bands"])
 
-    return source.mapInArrow(run, "id long, d1 long, d2 long, n_words long, marks binary, bands array<long>")
-
-
-def _alike(pairs: DataFrame) -> DataFrame:
-    """Pairs (…, ma, mb) whose register marks agree often enough to verify."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
-            x, y = (np.frombuffer(b"".join(v.as_py() for v in b.column(c)), np.uint32).reshape(-1, REGISTERS)
-                    for c in ("ma", "mb"))
-            ok = (x == y).mean(axis=1) >= AGREE
-            yield b.select(["a", "b"]).filter(pa.array(ok))
-
-    return pairs.mapInArrow(run, "a long, b long")
+    return source.mapInArrow(run, "id long, d1 long, d2 long, n_words long, bands array<long>")
 
 
 def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``df``: (doc_id, class_id, copy_of, n_links, n_words,
-    keep). ``copy_of`` is the least id with the same words; ``n_links`` counts
-    the verified links of that representative to other texts; ``keep`` marks
-    the one row of each class that stays."""
+    """One row per row of ``df``: (doc_id, class_id, copy_of, n_words, keep).
+    ``copy_of`` is the least id with the same words; ``keep`` marks the one
+    row of each class that stays."""
     sig = staged(signatures(df, id_col, text_col), "op4-signatures")
     # null and blank texts (d2 = 0 and no words) stay alone
     lone = (F.col("n_words") == 0) & (F.col("d2") == 0)
@@ -168,44 +149,31 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     marks = sig.where(~lone & (F.col("n_words") > 0)).join(
         member.where("id = rep").select("id", "d1", "d2").distinct(), ["id", "d1", "d2"], "left_semi")
     marks = marks.dropDuplicates(["d1", "d2"]).withColumn("node", F.xxhash64("id", "d1"))
-    marks = staged(marks.select("node", "id", "d1", "marks", "bands"), "op4-nodes")
+    marks = staged(marks.select("node", "id", "d1", "bands"), "op4-nodes")
     buckets = marks.select(F.explode("bands").alias("bucket"), F.col("node").alias("id"))
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        m = marks.select("node", "marks")
-        likely = staged(_alike(
-            pairs.join(m.select(F.col("node").alias("a"), F.col("marks").alias("ma")), "a")
-            .join(m.select(F.col("node").alias("b"), F.col("marks").alias("mb")), "b").select("a", "b", "ma", "mb")),
-            "op4-likely")
-        if likely.isEmpty():
-            return likely
-        wanted = staged(marks.select("node", "id", "d1").join(
-            likely.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node"), "op4-wanted")
-        docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(
-            wanted.select("id").distinct(), "id", "left_semi")
-        bags = _digested(docs).join(wanted, ["id", "d1"]).select("node", "codes").dropDuplicates(["node"])
-        bags = staged(bags, "op4-bags")
-        both = likely.join(bags.select(F.col("node").alias("a"), F.col("codes").alias("ca")), "a").join(
-            bags.select(F.col("node").alias("b"), F.col("codes").alias("cb")), "b")
-        common = F.size(F.array_intersect("ca", "cb"))
-        return both.where(common >= THRESHOLD * (F.size("ca") + F.size("cb") - common)).select("a", "b")
-
-    linked = link(buckets, verify)
+    def features(ids: DataFrame) -> DataFrame:
+        wanted = staged(marks.select(F.col("node").alias("id"), F.col("id").alias("doc"), "d1").join(
+            ids, "id"), "op4-wanted")
+        docs = df.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).join(
+            wanted.select("doc").distinct(), "doc", "left_semi")
+        return _bags(docs).join(wanted, ["doc", "d1"]).select("id", "s").dropDuplicates(["id"])
+
+    linked = link(buckets, features, THRESHOLD)
     named = linked.join(marks.select(F.col("node").alias("id"), F.col("id").alias("rep"), "d1"), "id")
     least = named.groupBy("root").agg(F.min("rep").alias("class_id"))
-    named = named.join(least, "root").select("rep", "d1", "class_id", "n_links")
+    named = named.join(least, "root").select("rep", "d1", "class_id")
     out = member.join(named, ["rep", "d1"], "left").select(
-        "id", "n_words", F.col("rep").alias("copy_of"), F.coalesce("class_id", "rep").alias("class_id"),
-        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
-    alone = sig.where(lone).select("id", "n_words", F.col("id").alias("copy_of"), F.col("id").alias("class_id"),
-                                   F.lit(0).cast("long").alias("n_links"))
+        "id", "n_words", F.col("rep").alias("copy_of"), F.coalesce("class_id", "rep").alias("class_id"))
+    alone = sig.where(lone).select("id", "n_words", F.col("id").alias("copy_of"), F.col("id").alias("class_id"))
     return out.unionByName(alone).select(
-        F.col("id").alias(id_col), "class_id", "copy_of", "n_links", "n_words",
+        F.col("id").alias(id_col), "class_id", "copy_of", "n_words",
         F.col("id").eqNullSafe(F.col("class_id")).alias("keep"))
 
 
-def _digested(docs: DataFrame) -> DataFrame:
-    """(id, d1, codes) of the given documents."""
+def _bags(docs: DataFrame) -> DataFrame:
+    """(doc, d1, s): each multiset as a set of (shingle, k-th occurrence) codes,
+    so that its weighted overlap is the plain overlap of the codes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for some in slices(b, "text"):
@@ -215,7 +183,7 @@ def _digested(docs: DataFrame) -> DataFrame:
                 owner = np.repeat(row, count)
                 cut = np.searchsorted(owner, np.arange(some.num_rows + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [some.column("id"), pa.array(sequence_digest(word, off, 11).view(np.int64)),
-                     pa.ListArray.from_arrays(pa.array(cut), pa.array(code.view(np.int64)))], ["id", "d1", "codes"])
+                    [some.column("doc"), pa.array(sequence_digest(word, off, 11).view(np.int64)),
+                     pa.ListArray.from_arrays(pa.array(cut), pa.array(code.view(np.int64)))], ["doc", "d1", "s"])
 
-    return docs.mapInArrow(run, "id long, d1 long, codes array<long>")
+    return docs.mapInArrow(run, "doc long, d1 long, s array<long>")

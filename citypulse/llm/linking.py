@@ -1,54 +1,115 @@
 """From band buckets to classes, without all pairs of a bucket.
 
-1. Every member of a bucket is paired with the bucket's least member only
-   (linear in the bucket) and the pair is verified exactly.
-2. Verified pairs give components.
-3. A bucket whose members now fall in several components may hide links that
-   the least member does not show. Exactly those pairs of different
-   components, neither of them the bucket's least member, are verified as
-   well. Pairs inside one component cannot change it and are never formed.
-
-So no link between two components is lost, and a bucket full of copies of one
-text costs its size, not its square.
+1. Every member of a bucket is paired with one member of it, drawn by a hash,
+   and the pair is verified exactly: linear in the bucket.
+2. Verified pairs give components. Buckets whose members fall in several
+   components get two more such rounds, each with a new draw, over pairs of
+   different components only.
+3. What still mixes components is joined exactly: tokens are ordered from rare
+   to frequent, and two sets whose similarity reaches the threshold must share
+   one of their first few tokens at places that leave room for the overlap
+   (prefix and positional filter). Pairs of one component are never formed.
+
+So no link between two components is lost, a bucket full of copies costs its
+size and not its square, and a family of texts that are alike but below the
+threshold is told apart by the rare tokens that make its members differ.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citypulse.llm.components import components
 from citypulse.llm.stage import staged
 
-Verify = Callable[[DataFrame], DataFrame]
+Features = Callable[[DataFrame], DataFrame]
+DRAWS = 3
 
 
-def link(buckets: DataFrame, verify: Verify) -> DataFrame:
-    """``buckets`` (bucket, id) -> (id, root, n_links) of every linked id.
-    ``verify`` takes distinct pairs (a, b) and returns those that are links."""
-    groups = buckets.groupBy("bucket").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    members = staged(buckets.join(groups.where("first < last").drop("last"), "bucket"), "buckets")
-    star = members.where("id > first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
-    links = staged(verify(star).select("a", "b"), "links")
-    roots = components(links)
+def _mask(draw: int) -> Column:
+    """A number per bucket; the least id xor this number is a random member."""
+    return F.xxhash64("bucket", F.lit(draw))
+
+
+def _drawn(buckets: DataFrame, draw: int, *extra: Column) -> DataFrame:
+    """(bucket, hub, ...) with the member that this draw picks."""
+    groups = buckets.groupBy("bucket").agg(F.min(F.col("id").bitwiseXOR(_mask(draw))).alias("hub"), *extra)
+    return groups.withColumn("hub", F.col("hub").bitwiseXOR(_mask(draw)))
+
+
+def _pair(a: str, b: str) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
+def link(buckets: DataFrame, features: Features, threshold: float) -> DataFrame:
+    """``buckets`` (bucket, id) -> (id, root) of every linked id, roots included.
+    ``features`` takes ids and returns (id, s): their token sets."""
+    groups = _drawn(buckets, 0, F.min("id").alias("low"), F.max("id").alias("high"))
+    members = staged(buckets.join(groups.where("low < high").drop("low", "high"), "bucket"), "members")
+    sets = staged(features(members.select("id").distinct()), "sets")
 
-    rooted = members.where("id > first").join(roots, "id", "left").select(
-        "bucket", "id", F.coalesce("root", "id").alias("root"))
-    mixed = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")) \
-        .where("low < high").select("bucket")
-    rest = staged(rooted.join(mixed, "bucket"), "mixed")
-    left = rest.select("bucket", F.col("id").alias("a"), F.col("root").alias("ra"))
-    right = rest.select("bucket", F.col("id").alias("b"), F.col("root").alias("rb"))
-    more = left.join(right, "bucket").where("ra < rb").select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    found = staged(verify(more).select("a", "b"), "links")
-    every = links.unionByName(found).distinct()
-    if not found.isEmpty():
-        roots = components(every)
-    degree = every.select(F.col("a").alias("id")).unionByName(every.select(F.col("b").alias("id"))) \
-        .groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))
-    # the least node of a component has no link to a lesser one: it is its own root
+    def verified(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(
+            sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
+        common = F.size(F.array_intersect("sa", "sb"))
+        return both.where(common >= threshold * (F.size("sa") + F.size("sb") - common)).select("a", "b")
+
+    links = staged(verified(members.where("id != hub").select(*_pair("id", "hub")).distinct()), "links")
+    roots = components(links)
+    mixed = members.select("bucket", "id")
+    for draw in range(1, DRAWS + 1):
+        mixed = staged(_mixed(mixed, roots), "mixed")
+        if draw < DRAWS:
+            hubs = _drawn(mixed, draw)
+            rooted = mixed.join(hubs, "bucket")
+            hub_roots = mixed.select(F.col("bucket"), F.col("id").alias("hub"), F.col("root").alias("hub_root"))
+            pairs = rooted.join(hub_roots, ["bucket", "hub"]).where("root != hub_root").select(
+                *_pair("id", "hub")).distinct()
+        else:
+            pairs = _rare_pairs(mixed.select("id", "root").distinct(), sets, threshold)
+        found = staged(verified(pairs), "links")
+        if not found.isEmpty():
+            roots = _merged(roots, found)
+        mixed = mixed.select("bucket", "id")
     own = roots.select(F.col("root").alias("id")).distinct().withColumn("root", F.col("id"))
-    return roots.unionByName(own).join(degree, "id")
+    return roots.unionByName(own)
+
+
+def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """(bucket, id, root) of the buckets that hold several components."""
+    rooted = members.join(roots, "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("root"))
+    several = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    return rooted.join(several.where("low < high").select("bucket"), "bucket")
+
+
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after more links, which join whole components."""
+    at = lambda c: roots.select(F.col("id").alias(c), F.col("root").alias(f"r{c}"))
+    ends = links.join(at("a"), "a", "left").join(at("b"), "b", "left").select(
+        F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+    higher = staged(components(ends), "roots").select(F.col("id").alias("root"), F.col("root").alias("top"))
+    moved = roots.join(higher, "root", "left").select("id", F.coalesce("top", "root").alias("root"))
+    return staged(moved.unionByName(higher.select(F.col("root").alias("id"), F.col("top").alias("root"))), "roots")
+
+
+def _rare_pairs(nodes: DataFrame, sets: DataFrame, t: float) -> DataFrame:
+    """(a, b) of different roots that can reach similarity ``t``."""
+    tokens = sets.join(nodes, "id").select("id", "root", F.size("s").alias("n"), F.explode("s").alias("token"))
+    tokens = staged(tokens, "tokens")
+    often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("often"))
+    ranked = tokens.join(often, "token").groupBy("id", "root", "n").agg(
+        F.sort_array(F.collect_list(F.struct("often", "token"))).alias("order"))
+    first = F.col("n") - F.ceil(F.col("n") * t) + 1
+    head = ranked.select("id", "root", "n", F.posexplode(F.slice("order", F.lit(1), first)).alias("at", "x")).where(
+        "x.often > 1").select("id", "root", "n", "at", F.col("x.token").alias("token"))
+    head = staged(head, "heads")
+    x = head.select("token", *[F.col(c).alias(f"x_{c}") for c in ("id", "root", "n", "at")])
+    y = head.select("token", *[F.col(c).alias(f"y_{c}") for c in ("id", "root", "n", "at")])
+    need = F.ceil((F.col("x_n") + F.col("y_n")) * F.lit(round(t / (1 + t) - 1e-9, 9)))
+    room = F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at"))
+    on = ((x["token"] == y["token"]) & (F.col("x_id") < F.col("y_id")) & (F.col("x_root") != F.col("y_root"))
+          & (room >= need))
+    return x.join(y, on).select(F.col("x_id").alias("a"), F.col("y_id").alias("b")).distinct()
