@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from citypulse.llm.kernels import BASE, U, counted, mix, sequence_digest, shingles, slices, words
 from citypulse.llm.linking import link
-from citypulse.llm.stage import staged
+from citypulse.llm.stage import small_side, staged
 
 SHINGLE = 5
 ROWS, BANDS = 5, 24  # an overlap of 0.8 meets in some band with probability 0.9999
@@ -155,8 +155,9 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     def features(ids: DataFrame) -> DataFrame:
         wanted = staged(marks.select(F.col("node").alias("id"), F.col("id").alias("doc"), "d1").join(
             ids, "id"), "op4-wanted")
+        # only the documents of some bucket are shingled again; texts stay where they are
         docs = df.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).join(
-            wanted.select("doc").distinct(), "doc", "left_semi")
+            small_side(wanted.select("doc")), "doc", "left_semi")
         return _bags(docs).join(wanted, ["doc", "d1"]).select("id", "s").dropDuplicates(["id"])
 
     linked = link(buckets, features, THRESHOLD)

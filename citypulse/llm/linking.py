@@ -47,8 +47,11 @@ def _pair(a: str, b: str) -> list[Column]:
 def link(buckets: DataFrame, features: Features, threshold: float) -> DataFrame:
     """``buckets`` (bucket, id) -> (id, root) of every linked id, roots included.
     ``features`` takes ids and returns (id, s): their token sets."""
-    groups = _drawn(buckets, 0, F.min("id").alias("low"), F.max("id").alias("high"))
-    members = staged(buckets.join(groups.where("low < high").drop("low", "high"), "bucket"), "members")
+    # nearly every bucket has one member, so combining before the shuffle gains
+    # nothing: one shuffle by bucket serves both the draw and the join
+    buckets = buckets.repartition("bucket")
+    groups = _drawn(buckets, 0, F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = staged(buckets.join(groups, "bucket"), "members")
     sets = staged(features(members.select("id").distinct()), "sets")
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -59,7 +62,8 @@ def link(buckets: DataFrame, features: Features, threshold: float) -> DataFrame:
 
     links = staged(verified(members.where("id != hub").select(*_pair("id", "hub")).distinct()), "links")
     roots = components(links)
-    mixed = members.select("bucket", "id")
+    # a bucket of two has no pair left
+    mixed = members.where("n > 2").select("bucket", "id")
     for draw in range(1, DRAWS + 1):
         mixed = staged(_mixed(mixed, roots), "mixed")
         if draw < DRAWS:

@@ -11,6 +11,7 @@ import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from citypulse.session import ensure_checkpoint_dir
 
@@ -30,6 +31,16 @@ def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# A staged table of keys up to this many rows (tens of MB) is broadcast;
+# beyond it the same join shuffles.
+BROADCAST_ROWS = 1_000_000
+
+
+def small_side(df: DataFrame) -> DataFrame:
+    """A staged table of keys as the small side of a join, its size counted."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 @atexit.register
 def _clean() -> None:
     """Remove this process's stages when the application ends."""
