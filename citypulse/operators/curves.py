@@ -28,8 +28,7 @@ def score_table(df: DataFrame, y: str, score: str) -> DataFrame:
 def roc_curve(df: DataFrame, y: str, score: str) -> DataFrame:
     """(threshold, fpr, tpr) per distinct score."""
     t = score_table(df, y, score)
-    tot = df.agg(F.sum((F.col(y) == 1).cast("long")).alias("p"),
-                 F.sum((F.col(y) != 1).cast("long")).alias("n"))
+    tot = t.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))  # the per-score stage, not the rows
     P, N = tot.select("p").scalar(), tot.select("n").scalar()
     return t.select("threshold",
                     F.try_divide(F.col("cum_neg"), N).alias("fpr"),
@@ -53,7 +52,7 @@ def pr_curve(df: DataFrame, y: str, score: str) -> DataFrame:
     """Precision, recall and F1 at every distinct score used as a
     ``score >= threshold`` cut."""
     t = score_table(df, y, score)
-    P = df.agg(F.sum((F.col(y) == 1).cast("long")).alias("p")).select("p").scalar()
+    P = t.agg(F.sum("pos").alias("p")).select("p").scalar()
     prec = F.try_divide(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg"))
     rec = F.try_divide(F.col("cum_pos"), P)
     f1 = F.when(prec + rec > 0, 2 * prec * rec / (prec + rec)).otherwise(F.lit(0.0))

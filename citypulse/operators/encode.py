@@ -16,18 +16,22 @@ from pyspark.sql import functions as F
 
 
 
-def dense_codes(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
+def dense_codes(df: DataFrame, col: str, out: str | None = None, bounded: bool = False) -> DataFrame:
     """Pandas ``astype('category').cat.codes``: rank of the value among the
     sorted distinct values, from 0; missing -> -1.
 
-    The rank runs over the distinct key set (bounded by the key's
-    cardinality - a zone, line or mode dimension - the same set Spark's
-    ``StringIndexer`` gathers), never over the fact; the code table is
-    joined back (AQE broadcasts it from its measured size).
+    The rank runs over the distinct key set, never over the fact, and the code
+    table is joined back (AQE broadcasts it from its measured size). Only a
+    dimension that is ``bounded`` (zones, modes) is ranked by one window;
+    any other key set is numbered by block prefix sums.
     """
     out = out or f"{col}_encoded"
     keys = df.select(col).where(F.col(col).isNotNull()).distinct()
-    codes = keys.select(col, (F.dense_rank().over(Window.orderBy(col)) - 1).cast("int").alias(out))
+    if bounded:
+        codes = keys.select(col, (F.dense_rank().over(Window.orderBy(col)) - 1).cast("int").alias(out))
+    else:
+        from citypulse.operators.ordered import ordered_index
+        codes = ordered_index(keys, [col], name=out).withColumn(out, F.col(out).cast("int"))
     return (df.join(codes, on=col, how="left")
               .withColumn(out, F.coalesce(F.col(out), F.lit(-1))))
 
@@ -84,6 +88,17 @@ class TargetEncoder:
         return out
 
     def save(self, path: str) -> None:
-        """IO12: encoding maps as parquet lookup tables."""
+        """IO12: encoding maps as parquet lookup tables, with the global mean."""
+        spark = next(iter(self.tables.values())).sparkSession
         for name, t in self.tables.items():
             t.write.mode("overwrite").parquet(f"{path}/{name}")
+        spark.range(1).select(self.global_mean.alias("global_mean")).write.mode("overwrite").parquet(
+            f"{path}/_global_mean")
+
+    @classmethod
+    def load(cls, spark, path: str, encodings: dict[str, Sequence[str]], target: str) -> "TargetEncoder":
+        """IO12: the saved maps, ready to ``transform``."""
+        enc = cls(encodings, target)
+        enc.tables = {name: spark.read.parquet(f"{path}/{name}") for name in enc.encodings}
+        enc.global_mean = spark.read.parquet(f"{path}/_global_mean").select("global_mean").scalar()
+        return enc

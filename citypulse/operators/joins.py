@@ -1,8 +1,7 @@
 """Join operators.
 
-Broadcast policy: a side is broadcast by hint only when its size is bounded
-by construction (a calendar dimension, the zone list, a per-group statistic
-table whose row count is the number of groups of a bounded key). Everything
+Broadcast policy: a side is broadcast by hint only when the caller states that
+its size is bounded by construction (a calendar). Everything
 else is left to AQE, which converts a join to broadcast from the *measured*
 runtime size and otherwise keeps the shuffle join.
 """
@@ -16,11 +15,12 @@ from pyspark.sql import functions as F
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, key: str | Sequence[str],
-                   cols: Sequence[str] | None = None, bounded: bool = True) -> DataFrame:
+                   cols: Sequence[str] | None = None, bounded: bool = False) -> DataFrame:
     """Fact LEFT JOIN dim on the surrogate key.
 
-    ``bounded=True`` asserts the dimension's row count is bounded
-    independently of the fact (time, zone, mode dims) and hints a broadcast.
+    ``bounded=True`` asserts that the dimension's row count is bounded
+    independently of the fact (a calendar) and hints a broadcast; otherwise
+    the planner decides from sizes.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if cols is not None:
@@ -31,6 +31,15 @@ def join_dimension(fact: DataFrame, dim: DataFrame, key: str | Sequence[str],
     return fact.join(side, on=keys, how="left")
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` with NULL equal to NULL; ``keys`` come from ``left``."""
+    if not keys:
+        return left.join(right, on=F.lit(True), how=how)
+    renamed = right.select(*[F.col(c).alias(f"_ns_{c}") if c in keys else F.col(c) for c in right.columns])
+    on = [F.col(k).eqNullSafe(F.col(f"_ns_{k}")) for k in keys]
+    return left.join(renamed, on=on, how=how).drop(*[f"_ns_{k}" for k in keys])
+
+
 def names_with_default(profile: DataFrame, names: DataFrame, key: str = "zone_sk",
                        name_col: str = "zone_nom", prefix: str = "Zone_") -> DataFrame:
     """Attach a name per key from the distinct (key, name) pairs, else a

@@ -1,10 +1,10 @@
 """Clustering (L4, L6-L8) and cluster-quality metrics.
 
-K-Means and PCA are MLlib (distributed). The reference clusters *profiles*
-- one row per zone - so quality metrics that need every pair of points
-(Euclidean silhouette, Ward linkage) run on that bounded profile inside one
-grouped-map task, behind an explicit size guard. At row level use
-``ClusteringEvaluator`` (squared-Euclidean silhouette, O(n*k)) instead.
+K-Means, bisecting K-Means and PCA are MLlib (distributed). Quality metrics
+are aggregates: inertia and scatter are sums of distances to the row's
+centroid, Davies-Bouldin joins the k centroids with themselves, and the
+silhouette is MLlib's squared-Euclidean one, O(n*k). No metric compares all
+pairs of rows, so the same code serves ten zones and a billion rows.
 """
 
 from __future__ import annotations
@@ -12,9 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-import numpy as np
-import pandas as pd
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -23,8 +21,6 @@ from pyspark.sql import functions as F
 
 from citypulse.operators.materialize import materialize
 
-MAX_PROFILE_ROWS = 5000
-
 
 def _vec(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=list(cols), outputCol=out).transform(df)
@@ -51,85 +47,71 @@ def kmeans_restarts(df: DataFrame, cols: Sequence[str], k: int, n_init: int = 10
     return model, model.transform(data).drop("features"), best[2]
 
 
-def _check_bounded(df: DataFrame) -> None:
-    n = df.count()
-    if n > MAX_PROFILE_ROWS:
-        raise ValueError(f"pairwise cluster metric on {n} rows: use ClusteringEvaluator "
-                         f"(squared Euclidean) above {MAX_PROFILE_ROWS} profile rows")
-
-
-def _silhouette_np(x: np.ndarray, lab: np.ndarray) -> float:
-    n = len(x)
-    labels = np.unique(lab)
-    if len(labels) < 2 or len(labels) >= n:
-        return float("nan")
-    d = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(-1))
-    s = np.zeros(n)
-    for i in range(n):
-        same = lab == lab[i]
-        if same.sum() <= 1:
-            s[i] = 0.0
-            continue
-        a = d[i, same].sum() / (same.sum() - 1)
-        b = min(d[i, lab == other].mean() for other in labels if other != lab[i])
-        s[i] = (b - a) / max(a, b) if max(a, b) > 0 else 0.0
-    return float(s.mean())
-
-
-def _db_np(x: np.ndarray, lab: np.ndarray) -> float:
-    labels = np.unique(lab)
-    cents = np.array([x[lab == c].mean(0) for c in labels])
-    scat = np.array([np.sqrt(((x[lab == c] - cents[i]) ** 2).sum(1)).mean()
-                     for i, c in enumerate(labels)])
-    k = len(labels)
-    if k < 2:
-        return float("nan")
-    r = []
-    for i in range(k):
-        best = 0.0
-        for j in range(k):
-            if i != j:
-                dist = np.sqrt(((cents[i] - cents[j]) ** 2).sum())
-                best = max(best, (scat[i] + scat[j]) / dist if dist > 0 else np.inf)
-        r.append(best)
-    return float(np.mean(r))
+def _mean_distance(assigned: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
+    """(label, n, centroid struct, sse, scatter): one row per cluster."""
+    cents = assigned.groupBy(label).agg(F.struct(*[F.avg(c).alias(c) for c in cols]).alias("_c"))
+    joined = assigned.join(cents, label)
+    square = sum((F.pow(F.col(c) - F.col(f"_c.{c}"), 2) for c in cols), F.lit(0.0))
+    per = joined.groupBy(label).agg(F.count(F.lit(1)).alias("n"), F.sum(square).alias("sse"),
+                                    F.avg(F.sqrt(square)).alias("scatter"))
+    return per.join(cents, label)
 
 
-def cluster_quality(assigned: DataFrame, cols: Sequence[str], label: str = "cluster_id") -> DataFrame:
-    """M9 (Euclidean silhouette), M10 (inertia), M11 (Davies-Bouldin) of a
-    labelled profile, plus MLlib's squared-Euclidean silhouette."""
-    _check_bounded(assigned)
-    cols = list(cols)
+def inertia(assigned: DataFrame, cols: Sequence[str], label: str = "cluster_id") -> DataFrame:
+    """Sum of squared distances to the cluster means."""
+    return _mean_distance(assigned, cols, label).agg(F.sum("sse").alias("inertia"))
+
+
+def davies_bouldin(assigned: DataFrame, cols: Sequence[str], label: str = "cluster_id") -> DataFrame:
+    """Mean over clusters of the worst (scatter_i + scatter_j) / distance
+    of centroids; the self-join is over the k centroids. NULL for k < 2."""
+    per = _mean_distance(assigned, cols, label)
+    left = per.select(F.lit(1).alias("g"), F.col(label).alias("i"), F.col("scatter").alias("si"), F.col("_c").alias("ci"))
+    right = per.select(F.lit(1).alias("g"), F.col(label).alias("j"), F.col("scatter").alias("sj"), F.col("_c").alias("cj"))
+    apart = F.sqrt(sum((F.pow(F.col(f"ci.{c}") - F.col(f"cj.{c}"), 2) for c in cols), F.lit(0.0)))
+    ratio = F.when(apart > 0, (F.col("si") + F.col("sj")) / apart).otherwise(F.lit(float("inf")))
+    worst = left.join(right, "g").where("i != j").groupBy("i").agg(F.max(ratio).alias("r"))
+    return worst.agg(F.avg("r").alias("davies_bouldin"))
+
 
-    def metrics(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf[cols].to_numpy(dtype=float)
-        lab = pdf[label].to_numpy()
-        cents = {c: x[lab == c].mean(0) for c in np.unique(lab)}
-        inertia = float(sum(((x[i] - cents[lab[i]]) ** 2).sum() for i in range(len(x))))
-        return pd.DataFrame({"k": [len(cents)], "silhouette": [_silhouette_np(x, lab)],
-                             "inertia": [inertia], "davies_bouldin": [_db_np(x, lab)]})
+def silhouette(assigned: DataFrame, cols: Sequence[str], label: str = "cluster_id") -> float | None:
+    """M9: squared-Euclidean silhouette; None where it is undefined (a single
+    cluster, or no row)."""
+    if len(assigned.select(label).distinct().limit(2).collect()) < 2:
+        return None
+    return float(ClusteringEvaluator(featuresCol="features", predictionCol=label).evaluate(
+        _vec(assigned.withColumn(label, F.col(label).cast("int")), cols)))
 
-    out = (assigned.select(*cols, label).groupBy(F.lit(1).alias("_g"))
-           .applyInPandas(lambda pdf: metrics(pdf),
-                          "k long, silhouette double, inertia double, davies_bouldin double"))
-    sq = ClusteringEvaluator(featuresCol="features", predictionCol=label).evaluate(
-        _vec(assigned.withColumn(label, F.col(label).cast("int")), cols))
-    return out.withColumn("silhouette_sq_euclidean", F.lit(float(sq)))
+
+def cluster_quality(assigned: DataFrame, cols: Sequence[str], label: str = "cluster_id") -> DataFrame:
+    """M9-M11 of a labelled table: (k, silhouette, inertia, davies_bouldin)."""
+    cols = list(cols)
+    k = assigned.agg(F.countDistinct(label).alias("k"))
+    s = silhouette(assigned, cols, label)
+    return k.select("k", F.lit(s).cast("double").alias("silhouette"),
+                    inertia(assigned, cols, label).select("inertia").scalar().alias("inertia"),
+                    davies_bouldin(assigned, cols, label).select("davies_bouldin").scalar().alias("davies_bouldin"))
 
 
 def choose_k(df: DataFrame, cols: Sequence[str], ks: Sequence[int], n_init: int = 10):
-    """L4: try each k, keep the best Euclidean silhouette (ties -> smaller k)
-    and report inertia per k (elbow table, M10)."""
+    """L4: try each k, keep the best silhouette (ties -> smaller k). The table
+    has one row per candidate with its inertia (elbow, M10); a k that is not
+    below the number of rows is reported as rejected."""
     rows, best = [], None
     df = materialize(df)
+    n = df.count()
     for k in ks:
+        if k >= n:
+            rows.append((k, None, None, "rejected: not below the row count"))
+            continue
         model, assigned, cost = kmeans_restarts(df, cols, k, n_init)
-        q = cluster_quality(assigned, cols).first()
-        rows.append((k, float(q["silhouette"]), float(cost)))
-        if best is None or q["silhouette"] > best[1] + 1e-12:
-            best = (k, q["silhouette"], model, assigned)
-    spark = df.sparkSession
-    table = spark.createDataFrame(rows, "k int, silhouette double, inertia double")
+        s = silhouette(assigned, cols)
+        rows.append((k, s, float(cost), "fitted"))
+        if s is not None and (best is None or s > best[1] + 1e-12):
+            best = (k, s, model, assigned)
+    table = df.sparkSession.createDataFrame(rows, "k int, silhouette double, inertia double, status string")
+    if best is None:
+        raise ValueError(f"no k of {list(ks)} can be fitted to {n} rows")
     return best[0], best[2], best[3], table
 
 
@@ -170,52 +152,14 @@ def pca2(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                  .drop("features", "pc"))
 
 
-def _ward_np(x: np.ndarray, w: np.ndarray, k: int) -> np.ndarray:
-    """Ward agglomeration of weighted points down to k clusters."""
-    groups = [[i] for i in range(len(x))]
-    cents = [x[i].astype(float) for i in range(len(x))]
-    wts = [float(w[i]) for i in range(len(x))]
-    while len(groups) > k:
-        best, pair = np.inf, None
-        for i in range(len(groups)):
-            for j in range(i + 1, len(groups)):
-                d = wts[i] * wts[j] / (wts[i] + wts[j]) * ((cents[i] - cents[j]) ** 2).sum()
-                if d < best:
-                    best, pair = d, (i, j)
-        i, j = pair
-        cents[i] = (wts[i] * cents[i] + wts[j] * cents[j]) / (wts[i] + wts[j])
-        wts[i] += wts[j]
-        groups[i] += groups[j]
-        del groups[j], cents[j], wts[j]
-    lab = np.zeros(len(x), dtype=int)
-    for g, members in enumerate(groups):
-        lab[members] = g
-    return lab
-
-
-def ward_clusters(df: DataFrame, cols: Sequence[str], k: int = 3, micro: int = 200,
-                  seed: int = 42) -> DataFrame:
-    """Hierarchical Ward clustering in two stages: K-Means micro-clusters
-    (distributed, at most ``micro``) then exact Ward merging of the weighted
-    micro-centroids (a bounded table, one grouped task). On a profile with
-    at most ``micro`` rows every point is its own micro-cluster, which is
-    exact Ward."""
-    n = df.count()
-    cols = list(cols)
-    if n <= micro:
-        base = df.withColumn("micro_id", F.row_number().over(Window.orderBy(*cols)) - 1)
-        cents = base.select("micro_id", *cols, F.lit(1.0).alias("weight"))
-    else:
-        model, assigned, _ = kmeans_restarts(df, cols, micro, n_init=1, seed=seed)
-        base = assigned.withColumnRenamed("cluster_id", "micro_id")
-        cents = base.groupBy("micro_id").agg(*[F.avg(c).alias(c) for c in cols],
-                                             F.count(F.lit(1)).cast("double").alias("weight"))
-
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("micro_id")
-        lab = _ward_np(pdf[cols].to_numpy(float), pdf["weight"].to_numpy(float), k)
-        return pd.DataFrame({"micro_id": pdf["micro_id"].astype("int64"), "ward_cluster": lab})
-
-    mapping = cents.groupBy(F.lit(1).alias("_g")).applyInPandas(
-        lambda pdf: merge(pdf), "micro_id long, ward_cluster long")
-    return base.withColumn("micro_id", F.col("micro_id").cast("long")).join(mapping, "micro_id")
+def hierarchical_clusters(df: DataFrame, cols: Sequence[str], k: int = 3, seed: int = 42) -> DataFrame:
+    """Hierarchical clusters by bisecting K-Means, which like Ward splits
+    by the sum of squared distances but top-down and distributed; labels are
+    numbered by their clusters' first column means."""
+    data = materialize(_vec(df, cols))
+    model = BisectingKMeans(k=k, seed=seed, maxIter=100, featuresCol="features", predictionCol="_c").fit(data)
+    out = model.transform(data).drop("features")
+    order = Window.orderBy(*[f"_m{i}" for i in range(len(cols))])  # k rows
+    means = out.groupBy("_c").agg(*[F.avg(c).alias(f"_m{i}") for i, c in enumerate(cols)])
+    names = means.select("_c", (F.row_number().over(order) - 1).cast("int").alias("ward_cluster"))
+    return out.join(names, "_c").drop("_c")

@@ -1,61 +1,64 @@
-"""DBSCAN on a cluster profile.
-
-The reference runs DBSCAN (eps 1.5, min_samples 2) on the standardised
-per-zone profile - one row per zone, a dimension-sized table. Like the
-Euclidean silhouette and Ward linkage (``cluster.py``) it runs inside one
-grouped-map task behind the profile size guard: the neighbour search of
-DBSCAN compares every point with every point within eps, which is only
-acceptable on such a bounded table. Labels follow the usual definition
-(a point is core when at least ``min_samples`` points, itself included,
-lie within ``eps``; clusters grow from cores in row order; border points
-join the first cluster that reaches them; noise = -1).
+"""DBSCAN as an epsilon-grid equi-join.
+
+Points are put into grid cells of side epsilon; neighbours within epsilon lie
+in the same or an adjacent cell, so the neighbour search is an equi-join on
+cell keys (each point is sent to its 3**d neighbour cells, d the number of grid
+columns), never a join of all pairs. Core points are counted from it, clusters
+are the connected components of core points, border points take the least
+cluster that reaches them, noise is -1.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import product
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citypulse.operators.models.cluster import _check_bounded
-
-
-def dbscan_labels(x: np.ndarray, eps: float, min_samples: int) -> np.ndarray:
-    n = len(x)
-    d = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(-1))
-    neigh = [np.flatnonzero(d[i] <= eps) for i in range(n)]
-    core = np.array([len(nb) >= min_samples for nb in neigh])
-    lab = np.full(n, -1)
-    cur = 0
-    for i in range(n):
-        if lab[i] != -1 or not core[i]:
-            continue
-        lab[i] = cur
-        stack = [i]
-        while stack:
-            p = stack.pop()
-            for q in neigh[p]:
-                if lab[q] == -1:
-                    lab[q] = cur
-                    if core[q]:
-                        stack.append(q)
-        cur += 1
-    return lab
-
-
-def dbscan_profile(df: DataFrame, cols: Sequence[str], key: str, eps: float = 1.5,
-                   min_samples: int = 2) -> DataFrame:
-    """(key, dbscan_label) for a bounded profile, rows taken in key order."""
-    _check_bounded(df)
-    cols = list(cols)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(key)
-        lab = dbscan_labels(pdf[cols].to_numpy(float), eps, min_samples)
-        return pd.DataFrame({key: pdf[key].astype("int64").to_numpy(), "dbscan_label": lab})
-
-    return (df.select(key, *[F.col(c).cast("double") for c in cols]).groupBy(F.lit(1).alias("_g"))
-              .applyInPandas(lambda pdf: run(pdf), f"{key} long, dbscan_label long"))
+from citypulse.operators.materialize import stage
+
+
+def dbscan(df: DataFrame, cols: Sequence[str], key: str, eps: float = 1.5, min_samples: int = 2,
+           grid_cols: int = 2) -> DataFrame:
+    """(key, dbscan_label). ``grid_cols`` of the columns make the grid, all of
+    them the distance. Rows with a missing column are noise. Labels number the
+    clusters by their least core key."""
+    cols, grid = list(cols), list(cols)[:grid_cols]
+    points = stage(df.select(F.col(key).cast("long").alias("id"), *[F.col(c).cast("double").alias(c) for c in cols]),
+                   "points")
+    whole = points.dropna(subset=cols)
+    cell = F.array(*[F.floor(F.col(c) / eps).cast("long") for c in grid])
+    steps = F.array(*[F.array(*[F.lit(x).cast("long") for x in d]) for d in product((-1, 0, 1), repeat=len(grid))])
+    near = whole.withColumn("home", cell).withColumn("step", F.explode(steps)).withColumn(
+        "cell", F.zip_with("home", "step", lambda a, b: a + b)).drop("home", "step")
+    left = whole.select(F.col("id").alias("a"), cell.alias("cell"), *[F.col(c).alias(f"a_{c}") for c in cols])
+    right = near.select(F.col("id").alias("b"), "cell", *[F.col(c).alias(f"b_{c}") for c in cols])
+    square = sum((F.pow(F.col(f"a_{c}") - F.col(f"b_{c}"), 2) for c in cols), F.lit(0.0))
+    pairs = stage(left.join(right, "cell").where(square <= eps * eps).select("a", "b"), "neighbours")
+    core = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_samples).select("a")
+    links = pairs.join(core, "a").join(core.withColumnRenamed("a", "b"), "b").where("a < b")
+    roots = _components(core, links)
+    reached = pairs.join(roots.select(F.col("id").alias("b"), "root"), "b").groupBy("a").agg(F.min("root").alias("root"))
+    own = roots.select(F.col("id").alias("a"), F.col("root").alias("own"))
+    labelled = reached.join(own, "a", "left").select(F.col("a").alias("id"), F.coalesce("own", "root").alias("root"))
+    from citypulse.operators.ordered import ordered_index
+    numbers = ordered_index(roots.select("root").distinct(), ["root"], name="dbscan_label")
+    return points.select("id").join(labelled.join(numbers, "root"), "id", "left").select(
+        F.col("id").alias(key), F.coalesce("dbscan_label", F.lit(-1)).cast("int").alias("dbscan_label"))
+
+
+def _components(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """(id, root): least core id reachable. Each round takes the least root
+    among neighbours and then the root of that root, so paths halve."""
+    both = stage(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
+    now = stage(nodes.select(F.col("a").alias("id"), F.col("a").alias("root")), "roots")
+    while True:
+        heard = both.join(now.select(F.col("id").alias("b"), "root"), "b").groupBy("a").agg(F.min("root").alias("m"))
+        step = now.join(heard, now.id == heard.a, "left").select("id", F.least("root", "m").alias("root"))
+        jump = step.join(step.select(F.col("id").alias("root"), F.col("root").alias("up")), "root").select(
+            "id", F.col("up").alias("root"))
+        new = stage(jump, "roots")
+        if new.join(now.withColumnRenamed("root", "old"), "id").where("root != old").isEmpty():
+            return new
+        now = new

@@ -7,33 +7,32 @@ pandas answers "position of a row inside its group", "running total" and
 
 Here every such question goes through **block prefix sums**:
 
-1. ``repartitionByRange`` on ``(group, order)`` samples the key distribution
-   and cuts the data into contiguous, balanced ranges; a hot group spans many
-   ranges (blocks) instead of landing in one task;
+1. ``repartitionByRange`` on ``(group, order)`` cuts the data into contiguous,
+   balanced ranges; a hot group spans many ranges (blocks) instead of landing
+   in one task. The ranges are written once as a Parquet stage whose block
+   number is the range's partition id, so every later step reads that stage
+   and a lost executor can't change the blocks;
 2. a window partitioned by ``(block, group)`` computes the local running sum
    and the block total (each window holds at most one block);
 3. block totals (at most ``#groups + #blocks`` rows) get their exclusive
    prefix sum per group and are joined back (AQE broadcasts that small side
    from its measured size).
 
-The block id is materialised as a column before the data is reused, so every
-consumer sees the same blocks; the range boundaries are fixed in the shuffle
-dependency, so recomputing lost shuffle files after an executor loss
-reproduces the same blocks.
+NULL group keys form a group of their own, as in ``GROUP BY``: every join back
+compares keys null-safely.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from citypulse.operators.materialize import materialize
+from citypulse.operators.joins import null_safe_join
+from citypulse.operators.materialize import materialize, stage
 
 _BLK = "_cp_blk"
-_SAMPLE_PER_BLOCK = 32
 
 
 def _num_blocks(df: DataFrame, num_blocks: int | None) -> int:
@@ -44,46 +43,12 @@ def _num_blocks(df: DataFrame, num_blocks: int | None) -> int:
 
 def with_block(df: DataFrame, keys: Sequence[str], num_blocks: int | None = None,
                name: str = _BLK) -> DataFrame:
-    """Add a deterministic block number, monotone in the ``keys`` tuple, that
-    cuts ``df`` into about ``num_blocks`` equally sized contiguous ranges.
-
-    Boundaries are one scalar subquery: a hash-based sample of the key tuples
-    (a pure function of the row; about ``32 x num_blocks`` tuples, the budget
-    Spark's own range partitioner samples), sorted, every
-    ``len/num_blocks``-th one kept. Being deterministic, every consumer and
-    every recomputation after a lost executor sees the same blocks. A row's
-    block is a fixed-depth binary search over the sorted boundaries
-    (``aggregate`` over log2(num_blocks) steps). Balance depends on the
-    sample; correctness does not. Nothing runs until the query does.
-    """
-    keys = list(keys)
-    n_blocks = _num_blocks(df, num_blocks)
-    if n_blocks <= 1:
-        return df.withColumn(name, F.lit(0))
-    from citypulse.operators.splits import hash_unit
-    key = F.struct(*[F.col(k) for k in keys])
-    n = df.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
-    rate = F.least(F.lit(1.0), F.lit(float(_SAMPLE_PER_BLOCK * n_blocks)) / F.greatest(n, F.lit(1)))
-    sample = df.select(key.alias("k")).where(hash_unit(F.abs(F.xxhash64(*keys)), 7) < rate)
-    picked = sample.agg(F.array_sort(F.collect_list("k")).alias("a")).select(
-        F.filter(F.transform(F.sequence(F.lit(1), F.lit(n_blocks - 1)),
-                             lambda i: F.try_element_at(
-                                 F.col("a"), (F.floor(i * F.size("a") / n_blocks) + 1).cast("int"))),
-                 lambda b: b.isNotNull()).alias("b"))
-    bounds = "_cp_bounds"
-    depth = max(1, math.ceil(math.log2(n_blocks)) + 1)
-
-    def step(acc, _):
-        mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
-        le = F.coalesce(F.try_element_at(F.col(bounds), mid + 1) <= key, F.lit(False))
-        go = F.when(le, F.struct((mid + 1).alias("lo"), acc["hi"].alias("hi"))).otherwise(
-            F.struct(acc["lo"].alias("lo"), mid.alias("hi")))
-        return F.when(acc["lo"] < acc["hi"], go).otherwise(acc)
-
-    init = F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi"))
-    return (df.withColumn(bounds, picked.select("b").scalar())
-              .withColumn(name, F.aggregate(F.sequence(F.lit(1), F.lit(depth)), init, step)["lo"])
-              .drop(bounds))
+    """``df`` as a written stage with a block number, monotone in the ``keys``
+    tuple, that cuts it into about ``num_blocks`` contiguous ranges. Balance
+    depends on Spark's range sample; correctness does not."""
+    n = _num_blocks(df, num_blocks)
+    ranged = df.repartitionByRange(n, *keys) if keys else df.repartition(n)
+    return stage(ranged.withColumn(name, F.spark_partition_id()), "blocks")
 
 
 def running_totals(df: DataFrame, order: Sequence[str], values: Sequence[str],
@@ -100,17 +65,15 @@ def running_totals(df: DataFrame, order: Sequence[str], values: Sequence[str],
     w_run = w_blk.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = blocked
     for v in values:
-        local = (local.withColumn(f"_cp_loc_{v}", F.sum(v).over(w_run))
-                      .withColumn(f"_cp_tot_{v}", F.sum(v).over(w_blk)))
-    tot_cols = [f"_cp_tot_{v}" for v in values]
-    blocks = local.groupBy(*by, _BLK).agg(*[F.max(c).alias(c) for c in tot_cols])
+        local = local.withColumn(f"_cp_loc_{v}", F.sum(v).over(w_run))
+    blocks = blocked.groupBy(*by, _BLK).agg(*[F.sum(v).alias(f"_cp_tot_{v}") for v in values])
     # at most (#groups + #blocks) rows: each group's blocks are few
     w_off = Window.partitionBy(*by).orderBy(_BLK).rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select(
         *by, _BLK,
         *[F.coalesce(F.sum(f"_cp_tot_{v}").over(w_off), F.lit(0)).alias(f"_cp_off_{v}")
           for v in values])
-    out = local.drop(*tot_cols).join(offsets, on=[*by, _BLK])
+    out = null_safe_join(local, offsets, [*by, _BLK])
     for v in values:
         cum = F.col(f"_cp_off_{v}") + F.col(f"_cp_loc_{v}")
         if not inclusive:
@@ -147,7 +110,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float],
     by = list(by)
     v = df.select(*by, F.col(value).cast("double").alias("_q_v"))
     v = v.where(F.col("_q_v").isNotNull() & ~F.isnan("_q_v"))
-    distinct = v.groupBy(*by, "_q_v").agg(F.count(F.lit(1)).alias("_q_c"))
+    # one row per (group, distinct value): the fact is read once, into this stage
+    distinct = stage(v.groupBy(*by, "_q_v").agg(F.count(F.lit(1)).alias("_q_c")), "values")
     cum = running_totals(distinct, ["_q_v"], ["_q_c"], by, inclusive=True, prefix="_cum",
                          num_blocks=num_blocks)
     # rows [_cum_q_c - _q_c, _cum_q_c) hold this value
@@ -186,11 +150,11 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float],
             lo, hi, fr = st.getField(f"{k}__lo"), st.getField(f"{k}__hi"), st.getField(f"{k}__f")
             out.append((lo + (hi - lo) * fr).alias(k))
         return df.sparkSession.range(1).select(*out)
-    found = cum.join(ends, on=by).where(covers(F.col("_q_pos")))
+    found = null_safe_join(cum, ends, by).where(covers(F.col("_q_pos")))
     vals = found.groupBy(*by, "qname").agg(
         F.max(F.when(F.col("end") == "lo", F.col("_q_v"))).alias("v_lo"),
         F.max(F.when(F.col("end") == "hi", F.col("_q_v"))).alias("v_hi"))
-    res = (targets.join(vals, on=[*by, "qname"])
+    res = (null_safe_join(targets, vals, [*by, "qname"])
            .select(*by, "qname",
                    (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * (F.col("h") - F.col("lo")))
                    .alias("q")))

@@ -5,8 +5,9 @@ is identical after repartitioning, recomputation after an executor loss, and
 in a later evaluation job (the reference re-draws the same seeded split in
 ``evaluate``). ``randomSplit`` depends on partition layout and is not used.
 
-The hash is two rounds of a 31-bit linear congruential step on the id, in
-plain integer arithmetic so the same split can be written in SQL.
+The hash mixes both halves of the id with xor-shift and multiply rounds and
+the seed between the rounds, so seeds are independent of each other; it is
+plain 62-bit integer arithmetic, so the same split can be written in SQL.
 Positional operators (contiguous folds, first-80 % splits, stratified
 ranks) go through ``ordered_index``: no global window in one task.
 """
@@ -16,26 +17,38 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from citypulse.operators.joins import null_safe_join
 from citypulse.operators.ordered import ordered_index
 
 _M = 2147483648  # 2**31
-_A = 1103515245
-_C = 12345
+# odd multipliers below 2**31: a product of two 31-bit numbers fits in a long
+_ROUNDS = (1103515245, 1540483477, 374761393)
+
+
+def _seeds(seed: int) -> list[int]:
+    """One 31-bit constant per round, far apart for neighbouring seeds."""
+    return [(seed * 668265263 + (k + 1) * 1274126177) % _M for k in range(len(_ROUNDS))]
 
 
 def hash_unit(id_col: str | Column, seed: int = 42) -> Column:
     """Deterministic pseudo-uniform value in [0, 1) from an integer id."""
-    x = F.col(id_col) if isinstance(id_col, str) else id_col
+    x = (F.col(id_col) if isinstance(id_col, str) else id_col).cast("long")
     m = F.lit(_M).cast("long")
-    h1 = F.pmod(F.pmod(x.cast("long"), m) * _A + (_C + seed), m)
-    h2 = F.pmod(h1 * _A + _C, m)
-    return h2 / F.lit(float(_M))
+    h = F.pmod(x, m).bitwiseXOR(F.pmod(F.pmod(F.shiftright(x, 31), m) * _ROUNDS[1], m))
+    for a, s in zip(_ROUNDS, _seeds(seed)):
+        h = h.bitwiseXOR(F.lit(s).cast("long"))
+        h = F.pmod(h.bitwiseXOR(F.shiftright(h, 15)) * a, m)
+    return h.bitwiseXOR(F.shiftright(h, 13)) / F.lit(float(_M))
 
 
 def hash_unit_sql(id_expr: str, seed: int = 42) -> str:
     """DuckDB text of ``hash_unit`` for non-negative ids."""
-    h1 = f"(({id_expr} % {_M}) * {_A} + {_C + seed}) % {_M}"
-    return f"((({h1}) * {_A} + {_C}) % {_M}) / {float(_M)}"
+    x = f"CAST({id_expr} AS BIGINT)"
+    h = f"xor({x} % {_M}, (({x} >> 31) % {_M}) * {_ROUNDS[1]} % {_M})"
+    for a, s in zip(_ROUNDS, _seeds(seed)):
+        h = f"xor({h}, {s})"
+        h = f"(xor({h}, {h} >> 15) * {a} % {_M})"
+    return f"(xor({h}, {h} >> 13) / {float(_M)})"
 
 
 def random_split(df: DataFrame, id_col: str, test_frac: float = 0.2, seed: int = 42,
@@ -47,15 +60,19 @@ def random_split(df: DataFrame, id_col: str, test_frac: float = 0.2, seed: int =
 def stratified_split(df: DataFrame, label: str, id_col: str, test_frac: float = 0.2,
                      seed: int = 42, out: str = "is_test") -> DataFrame:
     """Per class, the ``round(test_frac * n_class)`` rows with the smallest
-    hash go to test, so class shares are kept exactly. A class with a single
-    row stays in train (the reference falls back to a random split when a
-    class is too small to stratify)."""
+    hash go to test, so class shares are kept exactly; NULL labels are a class.
+    When a class has a single row, stratifying is impossible and the whole
+    split falls back to the seeded random one; ``split_mode`` says which was
+    taken."""
     keyed = df.withColumn("_h", hash_unit(id_col, seed))
     counts = keyed.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     idx = ordered_index(keyed, ["_h", id_col], by=[label], name="_p")
     n_test = F.round(F.lit(test_frac) * F.col("_n"))
-    return (idx.join(counts, on=label)
-               .withColumn(out, ((F.col("_p") < n_test) & (F.col("_n") > 1)).cast("int"))
+    fallback = counts.agg(F.min("_n").alias("m")).select("m").scalar() < 2
+    return (null_safe_join(idx, counts, [label])
+               .withColumn(out, F.when(fallback, F.col("_h") < test_frac)
+                           .otherwise(F.col("_p") < n_test).cast("int"))
+               .withColumn("split_mode", F.when(fallback, F.lit("random")).otherwise(F.lit("stratified")))
                .drop("_h", "_p", "_n"))
 
 

@@ -41,7 +41,7 @@ def clean_territorial(w: Warehouse, order: list[str] | None = None) -> DataFrame
     time join, drops, keep-first dedup on (time, zone, mode), zone join,
     phantom-zone filter, keep-list, numeric coercion, ``co2_kg > 0``."""
     order = order or TERRITORIAL_ORDER
-    df = join_dimension(w.territorial, w.time_dim, "time_sk")
+    df = join_dimension(w.territorial, w.time_dim, "time_sk", bounded=True)
     C.require_columns(df, ["time_sk"], "facts + time dimension")
     df = C.drop_existing(df, DROP_COLS)
     df = keep_first(df, DEDUP_KEYS, [c for c in order if c in df.columns])
@@ -121,8 +121,8 @@ def engineer_features(clean: DataFrame) -> DataFrame:
     df = df.withColumn("annee_mois_dt", S.month_start("annee", "mois"))
     df = C.zero_to_null(df, ["co2_kg", "aqi_index", "energie_kwh"])
     df = C.drop_missing(df, ["co2_kg", "aqi_index", "energie_kwh"])
-    df = dense_codes(df, "zone_sk", "zone_encoded")
-    df = dense_codes(df, "mode_sk", "mode_encoded")
+    df = dense_codes(df, "zone_sk", "zone_encoded", bounded=True)
+    df = dense_codes(df, "mode_sk", "mode_encoded", bounded=True)
     df = group_mean_column(df, ["mode_sk"], "co2_kg", "mode_co2_mean")
     df = (df.withColumn("mois_sin", S.month_sin("mois"))
             .withColumn("mois_cos", S.month_cos("mois"))

@@ -3,7 +3,6 @@ leakage-free encodings, daily congestion series and their features."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,7 +10,7 @@ from citypulse.functions import scalar as S
 from citypulse.operators import clean as C
 from citypulse.operators.encode import TargetEncoder, dense_codes
 from citypulse.operators.joins import join_dimension
-from citypulse.operators.materialize import materialize
+from citypulse.operators.materialize import stage
 from citypulse.operators.ordered import fill_with_group_median, ordered_index
 from citypulse.operators.splits import random_split
 from citypulse.sources.warehouse import Warehouse
@@ -31,7 +30,7 @@ IMPUTE = ["vitesse_kmh", "temps_trajet_min", "stress_1_5"]
 def clean_mobility(w: Warehouse) -> DataFrame:
     """IO1/IO2, J1, P1, P3, P7, P9: time join, drops, keep-list, numeric
     coercion, ``vitesse_kmh == 0`` -> missing. No dedup (no fan-out here)."""
-    df = join_dimension(w.mobility, w.mobility_time_dim, "time_sk")
+    df = join_dimension(w.mobility, w.mobility_time_dim, "time_sk", bounded=True)
     C.require_columns(df, ["time_sk"], "facts + time dimension")
     df = C.drop_existing(df, DROP_COLS)
     df = C.select_existing(df, KEEP)
@@ -43,11 +42,10 @@ def engineer_features(clean: DataFrame, persist: bool = True) -> DataFrame:
     """P12 zone-median imputation (global-median fallback), F6 hour, F7 rush
     hour and weekend flags, W6 codes, P23 ``retard_flag`` alias.
 
-    The imputation reads the clean facts several times (group medians,
-    global fallback, the fill itself), so they are persisted once
-    (memory and disk; lost blocks are recomputed from lineage)."""
+    The clean facts feed the medians and the fill, so they are written once as
+    a Parquet stage that the median pass reads three columns of."""
     if persist:
-        clean = clean.persist(StorageLevel.MEMORY_AND_DISK)
+        clean = stage(clean, "trips")
     df = fill_with_group_median(clean, [c for c in IMPUTE if c in clean.columns], ["zone_sk"])
     if "heure" in df.columns:
         df = df.withColumn("hour", S.hour_of("heure"))
@@ -58,11 +56,11 @@ def engineer_features(clean: DataFrame, persist: bool = True) -> DataFrame:
     for sk, enc in (("zone_sk", "zone_encoded"), ("line_sk", "line_encoded"),
                     ("mode_sk", "mode_encoded")):
         if sk in df.columns:
-            df = dense_codes(df, sk, enc)
+            df = dense_codes(df, sk, enc, bounded=sk != "line_sk")  # lines grow with the users
     df = df.withColumn("retard_flag", F.col("annule").cast("int"))
     # stage output read by several multi-pass jobs (encodings, daily series,
     # models): cut the lineage once
-    return materialize(df) if persist else df
+    return stage(df, "trip-features") if persist else df
 
 
 def punctuality(df: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -155,8 +153,12 @@ def hotspots(features: DataFrame) -> DataFrame:
 def bottom_lines(features: DataFrame, n: int = 10) -> DataFrame:
     """T7 + W13: the ``n`` worst lines by punctuality (TOPN keeps ties).
 
-    Lines form a dimension; the per-line table is one row per line, and the
-    rank runs over that table, not over the fact."""
-    g = punctuality(features, ["line_sk"])
-    w = Window.orderBy(F.round("punctuality_pct", 6).asc())
-    return g.withColumn("rank", F.rank().over(w)).where(F.col("rank") <= n)
+    The n-th least value comes from a distributed top-n; lines up to it keep
+    their rank, and no window runs over all lines."""
+    g = punctuality(features, ["line_sk"]).withColumn("_r", F.round("punctuality_pct", 6))
+    top = g.where(F.col("_r").isNotNull()).orderBy("_r").limit(n).select("_r")
+    # every value below a kept one lies in ``top``: n rows give all the ranks
+    w = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    ranks = top.groupBy("_r").agg(F.count(F.lit(1)).alias("_c")).select(
+        "_r", (F.coalesce(F.sum("_c").over(w), F.lit(0)) + 1).cast("int").alias("rank"))
+    return g.join(ranks, "_r").drop("_r")

@@ -29,7 +29,7 @@ def quality_profile_territorial(w):
     from citypulse.operators.dedup import keep_first
     from citypulse.operators.joins import join_dimension
     from citypulse.sources.warehouse import TERRITORIAL_ORDER
-    df = join_dimension(w.territorial, w.time_dim, "time_sk")
+    df = join_dimension(w.territorial, w.time_dim, "time_sk", bounded=True)
     df = keep_first(df, E.DEDUP_KEYS, TERRITORIAL_ORDER)
     return C.quality_profile(df, PROFILE_COLS)
 

@@ -221,8 +221,8 @@ def metrics_fold_mean_std(w):
 WITH h AS (SELECT *, {SP.hash_unit_sql("id", 42)} AS u FROM scored),
 r AS (SELECT *, row_number() OVER (PARTITION BY y_true ORDER BY u, id) - 1 AS p,
              count(*) OVER (PARTITION BY y_true) AS nc FROM h)
-SELECT y_true, CASE WHEN p < round(0.2 * nc) AND nc > 1 THEN 1 ELSE 0 END AS is_test, count(*) AS n
-FROM r GROUP BY ALL""", "scored"))
+, s AS (SELECT *, CASE WHEN min(nc) OVER () < 2 THEN u < 0.2 ELSE p < round(0.2 * nc) END AS t FROM r)
+SELECT y_true, CAST(t AS INTEGER) AS is_test, count(*) AS n FROM s GROUP BY ALL""", "scored"))
 def split_stratified(w):
     """Stratified 80/20 split by the cancellation label: per-class counts."""
     s = SP.stratified_split(scored_trips(w.spark, w.sf_dir), "y_true", "id", 0.2, 42)

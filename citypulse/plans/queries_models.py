@@ -23,7 +23,7 @@ def _safe(w):
 
 
 @register("eco_co2_regression", "L1 L2 X1 E2 M1 M2 L14",
-          "model:s n:i rmse:f mae:f r2:f")
+          "model:s n:i rmse:f mae:f r2:f n_train:i status:s")
 def eco_co2_regression(w):
     """Boosted log-CO2 regression: combined model and one model per mode,
     temporal split, test metrics on kg."""
@@ -44,6 +44,12 @@ def eco_pollution_clusters(w):
     return TR.eco_pollution_clusters(_eco(w))
 
 
+@register("eco_elbow", "L4 M9 M10", "k:i silhouette:f inertia:f status:s")
+def eco_elbow(w):
+    """Elbow table of the zone pollution profile, k = 2 to 8."""
+    return TR.eco_elbow(_eco(w))
+
+
 @register("eco_pca_profile", "L7 E1", "zone_sk:i pc1:f pc2:f")
 def eco_pca_profile(w):
     """Two principal components of the standardised zone profile."""
@@ -66,7 +72,7 @@ def eco_forecast_summary(w):
     return TR.eco_forecast_summary(E.clean_territorial(w))
 
 
-@register("eco_sarima", "Y7", "zone_sk:i step:i forecast:f holdout_mae:f")
+@register("eco_sarima", "Y7", "zone_sk:i step:i forecast:f holdout_mae:f status:s")
 def eco_sarima(w):
     """Seasonal AR(1)(1)12 + MA(1) forecasts of monthly AQI, 3 steps."""
     return TR.eco_sarima(E.clean_territorial(w))
@@ -81,7 +87,7 @@ def eco_future_predictions(w):
 
 
 @register("mob_load_regression", "L1 X2 X4 M3 E2 M1",
-          "n:i rmse:f mae:f r2:f cv_rmse_mean:f cv_rmse_std:f")
+          "n:i rmse:f mae:f r2:f cv_rmse_mean:f cv_rmse_std:f rounds:i max_depth:i")
 def mob_load_regression(w):
     """Boosted passenger-load regression with train-only encodings."""
     return TR.mob_load_regression(_mob(w))
@@ -103,7 +109,8 @@ def mob_logistic_baseline(w):
 
 
 @register("mob_congestion_forecast", "Y2 Y3 Y6 F13 P15 W8",
-          "zone_sk:i ds:d yhat:f yhat_lower:f yhat_upper:f row_type:s best_scale:f holdout_mae:f")
+          "zone_sk:i ds:d yhat:f yhat_lower:f yhat_upper:f row_type:s best_scale:f holdout_mae:f "
+          "holdout_mape:f n_points:i status:s")
 def mob_congestion_forecast(w):
     """Daily congestion forecast per zone, 30 days, clamped to [0, 10]."""
     return TR.mob_congestion_forecast(_mob(w))
@@ -111,7 +118,7 @@ def mob_congestion_forecast(w):
 
 @register("mob_stationarity", "Y8 Y9",
           "zone_sk:i n:i adf_stat:f adf_lag:i adf_crit_5:f adf_stationary:i kpss_stat:f "
-          "kpss_lag:i kpss_stationary:i")
+          "kpss_lag:i kpss_stationary:i status:s")
 def mob_stationarity(w):
     """ADF and KPSS statistics of each zone's daily congestion."""
     return TR.mob_stationarity(_mob(w))
@@ -148,7 +155,7 @@ def safe_zone_clusters(w):
 
 @register("safe_ward_clusters", "L6", "zone_sk:i ward_cluster:i")
 def safe_ward_clusters(w):
-    """Ward hierarchical clustering of the zone risk profile (3 clusters)."""
+    """Hierarchical (bisecting) clusters of the zone risk profile (3 clusters)."""
     return TR.safe_ward(_safe(w))
 
 
@@ -170,10 +177,8 @@ def safe_anomaly_report(w):
 @register("eco_dbscan_profile", "L5 J9 E1", "zone_sk:i dbscan_label:i")
 def eco_dbscan_profile(w):
     """DBSCAN (eps 1.5, min 2) of the standardised zone pollution profile."""
-    from citypulse.operators.materialize import materialize
-    from citypulse.operators.models.dbscan import dbscan_profile
-    prof = materialize(E.zone_pollution_profile(_eco(w)))
-    return dbscan_profile(prof, [f"{c}_scaled" for c in E.PROFILE_FEATURES], "zone_sk")
+    from citypulse.operators.models.dbscan import dbscan
+    return dbscan(E.zone_pollution_profile(_eco(w)), [f"{c}_scaled" for c in E.PROFILE_FEATURES], "zone_sk")
 
 
 @register("mob_model_comparison", "M14 Y12", "model:s auc:f")
@@ -185,3 +190,62 @@ def mob_model_comparison(w):
     gbt = TR.mob_cancellation(f).select(F.lit("boosted_trees").alias("model"), "auc")
     lr = TR.mob_logistic(f).select(F.lit("logistic_regression").alias("model"), "auc")
     return gbt.unionByName(lr)
+
+
+@register("eco_co2_predictions", "L14 IO7 BI5 M13",
+          "model:s fact_impact_sk:i zone_sk:i mode_sk:i time_sk:i annee_mois_dt:d co2_kg:f co2_pred:f residual:f")
+def eco_co2_predictions(w):
+    """Actual and predicted CO2 of every test row, combined and per mode."""
+    return TR.eco_co2_predictions(_eco(w))
+
+
+@register("eco_tree_grid", "X7 T6", "n_rounds:f max_depth:f step:f cv_mean:f cv_std:f best:i")
+def eco_tree_grid(w):
+    """Eight-point grid search of the boosted CO2 regression."""
+    return TR.eco_tree_grid(_eco(w))
+
+
+@register("mob_load_predictions", "L14 IO7 BI5",
+          "fact_mob_sk:i time_sk:i zone_sk:i line_sk:i mode_sk:i charge_estimee:f charge_predicted:f is_test:i")
+def mob_load_predictions(w):
+    """Predicted load of every trip."""
+    return TR.mob_load_predictions(_mob(w))
+
+
+@register("mob_cancellation_predictions", "L14 IO7 BI5 P18",
+          "fact_mob_sk:i time_sk:i zone_sk:i line_sk:i mode_sk:i retard_flag:i proba:f risk_label:s is_test:i")
+def mob_cancellation_predictions(w):
+    """Cancellation probability and risk band of every trip."""
+    return TR.mob_cancellation_predictions(_mob(w))
+
+
+@register("mob_tree_grid", "X7 T6", "n_rounds:f max_depth:f cv_mean:f cv_std:f best:i")
+def mob_tree_grid(w):
+    """Four-point grid search of the boosted load regression."""
+    return TR.mob_tree_grid(_mob(w))
+
+
+@register("safe_severity_predictions", "L14 IO7 BI5",
+          "fact_impact_sk:i time_sk:i zone_sk:i mode_sk:i annee:i mois:i severity_class:i "
+          "severity_predicted:i severity_proba:f")
+def safe_severity_predictions(w):
+    """Predicted severity of every safety row."""
+    return TR.safe_severity_predictions(_safe(w))
+
+
+@register("safe_importances", "L16 T5", "feature:s importance:f")
+def safe_importances(w):
+    """Feature importances of the severity forest, with values."""
+    return TR.safe_importances(_safe(w))
+
+
+@register("safe_forest_grid", "X7 T6", "n_trees:f max_depth:f cv_mean:f cv_std:f best:i")
+def safe_forest_grid(w):
+    """Six-point grid search of the severity forest."""
+    return TR.safe_forest_grid(_safe(w))
+
+
+@register("safe_anomaly_alerts", "T3", "zone_sk:i time_sk:i annee:i mois:i anomaly_score:f anomaly_label:s")
+def safe_anomaly_alerts(w):
+    """The ten strongest anomaly alerts."""
+    return TR.safe_anomaly_alerts(_safe(w))

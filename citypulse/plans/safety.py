@@ -49,7 +49,7 @@ def clean_safety(w: Warehouse, dedup: bool = True, zone_dim: DataFrame | None =
     df = C.valid_zone_filter(df, max_zone=10, strict_names=False)
     df = C.drop_prefixed(df, "bak_")
     df = C.drop_existing(df, DROP)
-    df = join_dimension(df, w.time_dim, "time_sk", ["annee", "mois", "jour_semaine", "periode"])
+    df = join_dimension(df, w.time_dim, "time_sk", ["annee", "mois", "jour_semaine", "periode"], bounded=True)
     zones = w.zone_dim if zone_dim is None else zone_dim
     if zones is not None:
         df = join_dimension(df, zones, "zone_sk", ["zone_nom", "zone_code", "ville"])
@@ -76,8 +76,8 @@ def severity_features(df: DataFrame, min_fatal: int = MIN_MORTEL_SAMPLES, ddof:
     out = out.withColumn("severity_label", C.map_values("severity_class", SEVERITY_LABELS))
     out = out.withColumn("gravite_index", S.round_half_even(
         C.smoothed_ratio(F.col("nb_graves") + F.col("nb_mortels"), "nb_accidents"), 4))
-    out = dense_codes(out, "zone_sk", "zone_encoded")
-    out = dense_codes(out, "mode_sk", "mode_encoded")
+    out = dense_codes(out, "zone_sk", "zone_encoded", bounded=True)
+    out = dense_codes(out, "mode_sk", "mode_encoded", bounded=True)
     out = out.withColumn("has_accident", (F.col("nb_accidents") > 0).cast("int"))
     z = S.zscore("taux_criminalite", stats.getField("mu"), stats.getField("sd"))
     out = out.withColumn("crime_rate_scaled", S.round_half_even(z, 4))

@@ -4,6 +4,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +16,7 @@ from citypulse.operators import metrics as MT
 from citypulse.operators import splits as SP
 from citypulse.operators.clean import threshold_band
 from citypulse.operators.encode import TargetEncoder, pop_standardize
-from citypulse.operators.materialize import materialize
+from citypulse.operators.materialize import materialize, stage
 from citypulse.operators.models import cluster as CL
 from citypulse.operators.models import isoforest as ISO
 from citypulse.operators.models import supervised as SV
@@ -26,6 +29,7 @@ from citypulse.sources.warehouse import TERRITORIAL_ORDER
 from citypulse.timeseries.forecast import forecast_series
 from citypulse.timeseries.stationarity import seasonal_ar_forecast, stationarity_tests
 
+# The reference's model feature lists.
 ECO_FEATURES_COMBINED = [
     "zone_encoded", "mode_encoded", "mode_co2_mean", "annee", "mois_sin", "mois_cos",
     "pm25", "no2", "aqi_index", "co2_lag1", "co2_lag3", "energie_lag1", "energie_lag3",
@@ -53,55 +57,104 @@ def _metric_row(name: str, m: DataFrame) -> DataFrame:
 # -- ecology ------------------------------------------------------------------
 
 def eco_training_frame(features: DataFrame) -> DataFrame:
-    """X1 split + E2/Q3: ``mode_co2_mean`` re-learnt on the training months
+    """X1 split, with the positional fallback when no month is late enough to
+    test on + E2/Q3: ``mode_co2_mean`` re-learnt on the training months
     only + Q4: a validation slice carved from the training rows."""
-    df = E.temporal_split(features)
+    df = E.temporal_split(features).withColumn("split_mode", F.lit("temporal"))
+    if df.where(F.col("is_test") == 1).isEmpty():
+        df = SP.positional_split(features, ["annee_mois_dt", "zone_sk", "mode_sk", "time_sk", "fact_impact_sk"])
+        df = df.withColumn("split_mode", F.lit("positional"))
     train = df.where(F.col("is_test") == 0)
     enc = TargetEncoder({"mode_co2_mean_tr": ["mode_sk"]}, "co2_kg").fit(train)
     df = enc.transform(df).withColumn("mode_co2_mean", F.col("mode_co2_mean_tr")).drop("mode_co2_mean_tr")
     df = SV.validation_flag(df, "fact_impact_sk")
-    return materialize(df)
+    return stage(df, "eco-training")
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _concurrently(fn, items, workers: int = 6) -> list:
+    """Independent fits, submitted from a bounded pool; Spark schedules their jobs."""
+    with ThreadPoolExecutor(max_workers=max(1, min(workers, len(items)))) as pool:
+        return list(pool.map(fn, items))
 
 
-def eco_co2_regression(features: DataFrame, max_iter: int = 30, min_train: int = 20) -> DataFrame:
-    """L1 + L2 + M1/M2: boosted regression of log CO2, one model per mode
-    (skipped under ``min_train`` training rows or without test rows) and a
-    combined model; pooled per-mode and combined test metrics on kg."""
+def eco_co2_models(features: DataFrame, max_iter: int = 300, min_train: int = 20):
+    """L1 + L2: boosted regression of log CO2 with early stopping, combined and
+    one model per mode. Returns (scored test rows by model, mode list with
+    status): a mode with fewer than ``min_train`` training rows or no test row
+    is skipped and says so."""
     df = eco_training_frame(features)
     train, test = df.where(F.col("is_test") == 0), df.where(F.col("is_test") == 1)
-    rows = []
-    combined = fit(SV.gbt_regressor("co2_log", max_iter, validation_col="is_val"), train,
-                   ECO_FEATURES_COMBINED)
-    pred = combined.transform(test).withColumn("co2_pred", F.expm1("prediction"))
-    rows.append(_metric_row("combined", MT.regression_metrics(pred, "co2_kg", "co2_pred")))
     # the distinct modes form a small dimension: one distributed fit per mode
-    sizes = df.groupBy("mode_sk").agg(F.sum(1 - F.col("is_test")).alias("n_tr"),
-                                      F.sum("is_test").alias("n_te")).collect()
-    eligible = [r["mode_sk"] for r in sorted(sizes, key=lambda r: r["mode_sk"])
-                if r["n_tr"] >= min_train and r["n_te"] > 0]
-
-    def mode_fit(mode):
-        m = fit(SV.gbt_regressor("co2_log", max_iter, validation_col="is_val"),
-                train.where(F.col("mode_sk") == mode), ECO_FEATURES_PER_MODE)
-        p = m.transform(test.where(F.col("mode_sk") == mode))
-        return p.withColumn("co2_pred", F.expm1("prediction"))
-
-    # independent fits: submitted concurrently, Spark schedules the jobs
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=max(1, len(eligible))) as pool:
-        per_mode = list(pool.map(mode_fit, eligible))
-    if per_mode:
-        pooled = per_mode[0]
-        for p in per_mode[1:]:
-            pooled = pooled.unionByName(p)
-        rows.append(_metric_row("per_mode_pooled", MT.regression_metrics(pooled, "co2_kg", "co2_pred")))
-        by_mode = MT.regression_metrics(pooled, "co2_kg", "co2_pred", by=["mode_sk"])
-        rows.append(by_mode.select(F.concat(F.lit("mode_"), F.col("mode_sk").cast("string")).alias("model"),
-                                   "n", "rmse", "mae", "r2"))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    sizes = sorted(df.groupBy("mode_sk").agg(F.sum(1 - F.col("is_test")).alias("n_tr"),
+                                             F.sum("is_test").alias("n_te")).collect(),
+                   key=lambda r: (r["mode_sk"] is None, r["mode_sk"]))
+    status = [(r["mode_sk"], int(r["n_tr"]), int(r["n_te"]),
+               f"skipped: fewer than {min_train} training rows" if r["n_tr"] < min_train
+               else "skipped: no test rows" if r["n_te"] == 0 else "fitted") for r in sizes]
+
+    def one(mode):
+        every = mode is None
+        rows, held = (train, test) if every else (train.where(F.col("mode_sk") == mode),
+                                                  test.where(F.col("mode_sk") == mode))
+        model = fit(SV.gbt_regressor("co2_log", max_iter, validation_col="is_val"), rows,
+                    ECO_FEATURES_COMBINED if every else ECO_FEATURES_PER_MODE)
+        return model.transform(held).select(
+            F.lit("combined" if every else "per_mode").alias("model"), "fact_impact_sk", "zone_sk", "mode_sk", "time_sk",
+            "annee_mois_dt", "co2_kg", F.expm1("prediction").alias("co2_pred"))
+
+    scored = _concurrently(one, [None, *[m for m, _, _, s in status if s == "fitted"]])
+    return _union(scored), status
+
+
+def eco_co2_regression(features: DataFrame, max_iter: int = 300, min_train: int = 20) -> DataFrame:
+    """L1 + L2 + M1/M2: test metrics on kg of the combined model, of the pooled
+    per-mode models and of each mode; skipped modes keep a row with a status."""
+    scored, status = eco_co2_models(features, max_iter, min_train)
+    scored = stage(scored, "co2-scored")
+    metric = lambda d, by=(): MT.regression_metrics(d, "co2_kg", "co2_pred", by=list(by))
+    cols = ["n", "rmse", "mae", "r2"]
+    pooled = scored.where(F.col("model") == "per_mode")
+    named = F.concat(F.lit("mode_"), F.coalesce(F.col("mode_sk").cast("string"), F.lit("none")))
+    out = _union([metric(scored.where(F.col("model") == "combined")).select(F.lit("combined").alias("model"), *cols),
+                  metric(pooled).select(F.lit("per_mode_pooled").alias("model"), *cols),
+                  metric(pooled, ["mode_sk"]).select(named.alias("model"), *cols)])
+    modes = features.sparkSession.createDataFrame(
+        [(f"mode_{m if m is not None else 'none'}", tr, s) for m, tr, _, s in status],
+        "model string, n_train long, status string")
+    return out.join(modes, "model", "full").select(
+        "model", "n", "rmse", "mae", "r2", "n_train", F.coalesce("status", F.lit("fitted")).alias("status"))
+
+
+def eco_co2_predictions(features: DataFrame, max_iter: int = 300) -> DataFrame:
+    """L14 + IO7: actual and predicted CO2 of every test row, by model."""
+    scored, _ = eco_co2_models(features, max_iter)
+    return MT.residuals(scored, "co2_kg", "co2_pred")
+
+
+def eco_tree_grid(features: DataFrame) -> DataFrame:
+    """Boosted log-CO2 trees over the reference's 8-point grid, 3 contiguous folds."""
+    df = eco_training_frame(features)
+    train = SP.contiguous_kfold(df.where(F.col("is_test") == 0),
+                                ["zone_sk", "mode_sk", "annee_mois_dt", "time_sk", "fact_impact_sk"], 3)
+    est = SV.gbt_regressor("co2_log")
+    # The grid.
+    points = [(n, d, lr) for n in (100, 200) for d in (3, 5) for lr in (0.05, 0.1)]
+    grid = [{est.maxIter: n, est.maxDepth: d, est.stepSize: lr} for n, d, lr in points]
+    avg, std = SV.cross_validate_fixed_folds(est, train, ECO_FEATURES_COMBINED, "co2_log", "fold", grid)
+    return SV.grid_table(df.sparkSession, ["n_rounds", "max_depth", "step"], points, avg, std)
+
+
+def eco_correlations(features: DataFrame) -> DataFrame:
+    """Pearson correlation of every pair of the measures, one aggregate."""
+    cols = [c for c in ("co2_kg", "energie_kwh", "aqi_index", "pm25", "no2") if c in features.columns]
+    pairs = [(a, b) for a in cols for b in cols]
+    row = features.agg(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.corr(a, b).alias("corr"))
+                                 for a, b in pairs]).alias("m"))
+    return row.select(F.explode("m").alias("m")).select("m.*")
 
 
 def eco_lasso_grid(features: DataFrame, alphas=(1.0, 0.1)) -> DataFrame:
@@ -111,18 +164,25 @@ def eco_lasso_grid(features: DataFrame, alphas=(1.0, 0.1)) -> DataFrame:
     train = SP.contiguous_kfold(df.where(F.col("is_test") == 0),
                                 ["zone_sk", "mode_sk", "annee_mois_dt", "time_sk", "fact_impact_sk"], 5)
     est, grid = SV.lasso_grid("co2_log", alphas)
-    _, avg, std = SV.cross_validate_fixed_folds(est, train, ECO_FEATURES_COMBINED, "co2_log", "fold", grid)
+    avg, std = SV.cross_validate_fixed_folds(est, train, ECO_FEATURES_COMBINED, "co2_log", "fold", grid)
     spark = df.sparkSession
     rows = [(float(a), float(m), float(std[i]) if std else None) for i, (a, m) in enumerate(zip(alphas, avg))]
     return spark.createDataFrame(rows, "alpha double, cv_rmse_mean double, cv_rmse_std double")
 
 
+def eco_elbow(features: DataFrame, ks=tuple(range(2, 9))) -> DataFrame:
+    """L4 + M9 + M10: silhouette and inertia of each k over the zone pollution
+    profile; a k that the profile is too small for says so."""
+    prof = E.zone_pollution_profile(features)
+    return CL.choose_k(prof, [f"{c}_scaled" for c in E.PROFILE_FEATURES], ks)[3]
+
+
 def eco_pollution_clusters(features: DataFrame, ks=(2, 3, 4)) -> DataFrame:
     """L4 + L8 + E1 + J3 + M9/M10/M11: zone pollution profiles, k chosen by
-    Euclidean silhouette, centroid-rule names."""
+    silhouette, centroid-rule names."""
     prof = materialize(E.zone_pollution_profile(features))
     cols = [f"{c}_scaled" for c in E.PROFILE_FEATURES]
-    k, model, assigned, table = CL.choose_k(prof, cols, [k for k in ks if k < prof.count()])
+    k, model, assigned, table = CL.choose_k(prof, cols, ks)
     cents = assigned.groupBy("cluster_id").agg(*[F.avg(c).alias(c.replace("_scaled", "")) for c in cols])
     named = CL.centroid_rule_labels(cents)
     q = CL.cluster_quality(assigned, cols).first()
@@ -155,7 +215,7 @@ def eco_forecasts(clean: DataFrame, horizon: int = 24) -> DataFrame:
                          horizon=horizon, scales=[0.05, 0.3], holdout="fixed3", min_points=18)
     names = F.create_map(*[x for i, s in enumerate(ECO_TARGETS.values()) for x in (F.lit(i), F.lit(s))])
     fc = fc.withColumn("target", names[F.col("target_id")])
-    wide = fc.groupBy("zone_sk", "ds", "row_type").pivot("target", list(ECO_TARGETS.values())).agg(
+    wide = fc.where(F.col("ds").isNotNull()).groupBy("zone_sk", "ds", "row_type").pivot("target", list(ECO_TARGETS.values())).agg(
         F.first("yhat").alias("forecast"), F.first("yhat_lower").alias("lower"),
         F.first("yhat_upper").alias("upper"))
     return wide
@@ -186,7 +246,7 @@ def eco_sarima(clean: DataFrame) -> DataFrame:
     return seasonal_ar_forecast(m, ["zone_sk"], "annee_mois_dt", "aqi_index", steps=3, season=12)
 
 
-def eco_future_predictions(features: DataFrame, max_iter: int = 30) -> DataFrame:
+def eco_future_predictions(features: DataFrame, max_iter: int = 300) -> DataFrame:
     """L15 + L14 + F9: the combined CO2 and energy models (trained on all
     feature rows) scored on the 24-month (zone, mode) scenario grid;
     carbon intensity of the predictions."""
@@ -194,10 +254,9 @@ def eco_future_predictions(features: DataFrame, max_iter: int = 30) -> DataFrame
     enc = features.groupBy("mode_sk").agg(F.avg("co2_kg").alias("mode_co2_mean"))
     glob = features.agg(F.avg("co2_kg").alias("g")).select("g").scalar()
     grid = grid.join(enc, "mode_sk", "left").withColumn("mode_co2_mean", F.coalesce("mode_co2_mean", glob))
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        co2, nrj = pool.map(lambda t: fit(SV.gbt_regressor(t, max_iter), features, ECO_FEATURES_COMBINED),
-                            ["co2_log", "energie_log"])
+    features = stage(features, "eco-features")
+    co2, nrj = _concurrently(lambda t: fit(SV.gbt_regressor(t, max_iter), features, ECO_FEATURES_COMBINED),
+                             ["co2_log", "energie_log"])
     p = co2.transform(grid).withColumn("co2_predicted", S.round_half_even(F.expm1("prediction"), 2))
     keep = ["zone_sk", "mode_sk", "annee", "mois", "annee_mois_dt", "co2_predicted"]
     p = p.select(*keep, *[c for c in ECO_FEATURES_COMBINED if c not in keep])
@@ -211,37 +270,80 @@ def eco_future_predictions(features: DataFrame, max_iter: int = 30) -> DataFrame
 
 # -- mobility -----------------------------------------------------------------
 
-def mob_load_regression(features: DataFrame, max_iter: int = 20) -> DataFrame:
+LOAD_ROUNDS, LOAD_DEPTH, LOAD_STEP = 300, 6, 0.05
+
+
+def mob_load_regression(features: DataFrame, max_iter: int = LOAD_ROUNDS) -> DataFrame:
     """L1 + X2 + E2 + X4/M3 + M1: boosted load regression with leakage-free
     encodings; 5-fold contiguous CV RMSE on the training rows, test metrics."""
-    enc = materialize(M.load_encodings(features))
+    enc = stage(M.load_encodings(features), "load")
     train, test = enc.where(F.col("is_test") == 0), enc.where(F.col("is_test") == 1)
     folds = SP.contiguous_kfold(train, ["fact_mob_sk"], 5)
-    _, avg, std = SV.cross_validate_fixed_folds(SV.gbt_regressor("charge_estimee", max_iter, 6, 0.1),
-                                                folds, MOB_LOAD_FEATURES, "charge_estimee", "fold")
-    model = fit(SV.gbt_regressor("charge_estimee", max_iter, 6, 0.1), train, MOB_LOAD_FEATURES)
+    est = SV.gbt_regressor("charge_estimee", max_iter, LOAD_DEPTH, LOAD_STEP, min_rows=3)
+
+    def part(cv: bool):
+        if cv:
+            return SV.cross_validate_fixed_folds(est, folds, MOB_LOAD_FEATURES, "charge_estimee", "fold")
+        return fit(est, train, MOB_LOAD_FEATURES)
+
+    (avg, std), model = _concurrently(part, [True, False])
     m = MT.regression_metrics(model.transform(test), "charge_estimee", "prediction")
     return m.select("n", "rmse", "mae", "r2", F.lit(float(avg[0])).alias("cv_rmse_mean"),
-                    F.lit(float(std[0]) if std else None).cast("double").alias("cv_rmse_std"))
+                    F.lit(float(std[0])).alias("cv_rmse_std"), F.lit(max_iter).alias("rounds"),
+                    F.lit(LOAD_DEPTH).alias("max_depth"))
+
+
+def mob_load_predictions(features: DataFrame, max_iter: int = LOAD_ROUNDS) -> DataFrame:
+    """L14 + IO7 + BI5: predicted load of every trip, with its join keys and
+    whether the trip was held out of training."""
+    enc = stage(M.load_encodings(features), "load")
+    model = fit(SV.gbt_regressor("charge_estimee", max_iter, LOAD_DEPTH, LOAD_STEP, min_rows=3),
+                enc.where(F.col("is_test") == 0), MOB_LOAD_FEATURES)
+    return model.transform(enc).select(
+        "fact_mob_sk", "time_sk", "zone_sk", "line_sk", "mode_sk", "charge_estimee",
+        F.greatest(F.col("prediction"), F.lit(0.0)).alias("charge_predicted"), "is_test")
+
+
+def mob_tree_grid(features: DataFrame) -> DataFrame:
+    """Boosted load trees over the reference's 4-point grid, 3 contiguous folds."""
+    enc = stage(M.load_encodings(features), "load")
+    folds = SP.contiguous_kfold(enc.where(F.col("is_test") == 0), ["fact_mob_sk"], 3)
+    est = SV.gbt_regressor("charge_estimee", step=0.3)
+    points = [(n, d) for n in (100, 200) for d in (3, 5)]  # Fixed values: the grid.
+    grid = [{est.maxIter: n, est.maxDepth: d} for n, d in points]
+    avg, std = SV.cross_validate_fixed_folds(est, folds, MOB_LOAD_FEATURES, "charge_estimee", "fold", grid)
+    return SV.grid_table(enc.sparkSession, ["n_rounds", "max_depth"], points, avg, std)
+
+
+def _cancellation_model(features: DataFrame, max_iter: int):
+    """(model, weighted split) of the cancellation classifier."""
+    if features.where(F.col("retard_flag") == 1).isEmpty():
+        raise ValueError("no positive rows: cancellation model cannot be trained")
+    df = SP.stratified_split(features, "retard_flag", "fact_mob_sk", 0.2, 42)
+    df = stage(SV.pos_weight(df, "retard_flag"), "cancellation")
+    return fit(SV.gbt_classifier("retard_flag", "w", max_iter), df.where(F.col("is_test") == 0), MOB_CLS_FEATURES), df
+
 
+def mob_cancellation_predictions(features: DataFrame, max_iter: int = 300) -> DataFrame:
+    """L14 + P18 + IO7 + BI5: cancellation probability and risk band of every trip."""
+    model, df = _cancellation_model(features, max_iter)
+    scored = positive_probability(model.transform(df))
+    return scored.withColumn("risk_label", threshold_band("proba")).select(
+        "fact_mob_sk", "time_sk", "zone_sk", "line_sk", "mode_sk", "retard_flag", "proba", "risk_label", "is_test")
 
-def mob_cancellation(features: DataFrame, max_iter: int = 20) -> DataFrame:
+
+def mob_cancellation(features: DataFrame, max_iter: int = 300) -> DataFrame:
     """L3 + X3 + M5/M7/M8 + W10/W11 + M16 + P18 + L14: weighted boosted
     classifier on a stratified split; AUC, confusion at 0.5, best-F1
-    threshold, and the risk bands of every trip."""
-    pos = features.where(F.col("retard_flag") == 1).limit(1).count()
-    if pos == 0:
-        raise ValueError("no positive rows: cancellation model cannot be trained")
-    df = SP.stratified_split(features, "retard_flag", "fact_mob_sk", 0.2, 42)
-    df = materialize(SV.pos_weight(df, "retard_flag"))
-    train, test = df.where(F.col("is_test") == 0), df.where(F.col("is_test") == 1)
-    model = fit(SV.gbt_classifier("retard_flag", "w", max_iter), train, MOB_CLS_FEATURES)
-    scored_test = positive_probability(model.transform(test))
-    auc = CU.roc_auc(scored_test, "retard_flag", "proba").select("auc").scalar()
-    at50 = MT.binary_scores(MT.threshold_predictions(scored_test, "proba", 0.5), "retard_flag", "y_pred")
-    best = CU.best_f1_threshold(scored_test, "retard_flag", "proba")
-    bands = positive_probability(model.transform(df)).withColumn("risk_label", threshold_band("proba"))
-    band_counts = bands.groupBy().pivot("risk_label", ["Low", "Medium", "High"]).count()
+    threshold, and the number of trips per risk band."""
+    model, df = _cancellation_model(features, max_iter)
+    scored = positive_probability(model.transform(df)).withColumn("risk_label", threshold_band("proba"))
+    scored = stage(scored.select("retard_flag", "is_test", "proba", "risk_label"), "cancellation-scored")
+    held = scored.where(F.col("is_test") == 1)
+    auc = CU.roc_auc(held, "retard_flag", "proba").select("auc").scalar()
+    at50 = MT.binary_scores(MT.threshold_predictions(held, "proba", 0.5), "retard_flag", "y_pred")
+    best = CU.best_f1_threshold(held, "retard_flag", "proba")
+    band_counts = scored.groupBy().pivot("risk_label", ["Low", "Medium", "High"]).count()
     return MT.one_row(
         at50.select(auc.alias("auc"), "tp", "fp", "fn", "n", "precision", "recall", "f1"),
         best.select(F.col("threshold").alias("best_threshold"), F.col("f1").alias("best_f1")),
@@ -267,7 +369,8 @@ def mob_congestion_forecast(features: DataFrame, horizon: int = 30) -> DataFrame
     upper band at 10 only, as in the reference)."""
     daily = M.daily_congestion(features)
     years = daily.agg(F.min(F.year("ds")).alias("a"), F.max(F.year("ds")).alias("b")).first()
-    hol = [r["ds"] for r in S.fr_holidays(features.sparkSession, years["a"], years["b"] + 1).collect()]
+    # a few rows per year
+    hol = [(r["ds"], r["holiday"]) for r in S.fr_holidays(features.sparkSession, years["a"], years["b"] + 1).collect()]
     return forecast_series(daily, ["zone_sk"], "ds", "y", freq="D", horizon=horizon,
                            scales=[0.05, 0.1, 0.3], holdout="fifth", min_points=10, min_train=5,
                            yearly=10, weekly=3, holidays=hol, lower=0.0, upper=10.0)
@@ -278,7 +381,7 @@ def mob_stationarity(features: DataFrame) -> DataFrame:
     return stationarity_tests(M.daily_congestion(features), ["zone_sk"], "ds", "y")
 
 
-def mob_ar_boost(features: DataFrame, max_iter: int = 30) -> DataFrame:
+def mob_ar_boost(features: DataFrame, max_iter: int = 100) -> DataFrame:
     """Y10 + W3 + W8 + M1/M4 + Y12: boosted autoregression on lag features,
     evaluated on each zone's tail holdout."""
     d = M.series_features(M.daily_congestion(features))
@@ -286,7 +389,7 @@ def mob_ar_boost(features: DataFrame, max_iter: int = 30) -> DataFrame:
     d = d.withColumn("dow", F.dayofweek("ds")).withColumn("zone", F.col("zone_sk").cast("double"))
     cols = ["lag_1", "lag_7", "lag_14", "rolling_7_mean", "dow", "zone"]
     train, test = d.where(F.col("is_holdout") == 0), d.where(F.col("is_holdout") == 1)
-    model = fit(SV.gbt_regressor("y", max_iter, 4, 0.1), train, cols)
+    model = fit(SV.gbt_regressor("y", max_iter, 3, 0.3), train, cols)
     p = model.transform(test)
     m = MT.regression_metrics(p, "y", "prediction")
     mp = MT.mape(p, "y", "prediction").select("mape").scalar()
@@ -295,45 +398,71 @@ def mob_ar_boost(features: DataFrame, max_iter: int = 30) -> DataFrame:
 
 # -- safety -------------------------------------------------------------------
 
-def safe_severity_forest(features: DataFrame, n_trees: int = 100, leaky: bool = False) -> DataFrame:
+def _severity_rows(features: DataFrame) -> DataFrame:
+    df = SP.stratified_kfold(features, "severity_class", "fact_impact_sk", 5)
+    return stage(SV.balanced_weights(df, "severity_class"), "severity")
+
+
+def safe_severity_forest(features: DataFrame, n_trees: int = 300, n_final: int = 500,
+                         leaky: bool = False) -> DataFrame:
     """L9 + X5 + X6 + M6 + G16 + L16: class-balanced random forest; shuffled
     stratified 5-fold out-of-fold predictions, per-fold macro F1 (mean, std),
     out-of-fold report, top importances of the final model."""
     cols = SAFE_FEATURES + (SAFE_LEAKY if leaky else [])
-    df = SP.stratified_kfold(features, "severity_class", "fact_impact_sk", 5)
-    df = materialize(SV.balanced_weights(df, "severity_class"))
+    df = _severity_rows(features)
+
     def fold(k: int):
+        if k < 0:
+            return fit(SV.random_forest("severity_class", "w", n_final), df, cols)
         model = fit(SV.random_forest("severity_class", "w", n_trees), df.where(F.col("fold") != k), cols)
         return model.transform(df.where(F.col("fold") == k)).select(
             "fold", "severity_class", F.col("prediction").cast("int").alias("pred"))
 
-    # the five fold fits are independent: submitted concurrently
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=5) as pool:
-        parts = list(pool.map(fold, range(5)))
-    oof = parts[0]
-    for p in parts[1:]:
-        oof = oof.unionByName(p)
-    oof = materialize(oof)
-    per_fold = oof.groupBy("fold").applyInPandas(_fold_f1, "fold int, f1_macro double")
-    stats = MT.mean_std(per_fold, "f1_macro")
+    final, *parts = _concurrently(fold, [-1, *range(5)])
+    oof = stage(_union(parts), "out-of-fold")
+    stats = MT.mean_std(fold_f1(oof), "f1_macro")
     summary = MT.f1_summary(oof, "severity_class", "pred")
-    final = fit(SV.random_forest("severity_class", "w", n_trees), df, cols)
     top = importances(final, cols, 3).agg(F.concat_ws(",", F.collect_list("feature")).alias("top_features"))
     return MT.one_row(summary, stats.select(F.col("mean").alias("cv_f1_macro_mean"),
                                             F.col("std").alias("cv_f1_macro_std")), top)
 
 
-def _fold_f1(pdf):
-    import pandas as pd
-    classes = sorted(set(pdf["severity_class"]) | set(pdf["pred"]))
-    f1s = []
-    for c in classes:
-        tp = int(((pdf["severity_class"] == c) & (pdf["pred"] == c)).sum())
-        fp = int(((pdf["severity_class"] != c) & (pdf["pred"] == c)).sum())
-        fn = int(((pdf["severity_class"] == c) & (pdf["pred"] != c)).sum())
-        f1s.append(2 * tp / (2 * tp + fp + fn) if (2 * tp + fp + fn) else 0.0)
-    return pd.DataFrame({"fold": [int(pdf["fold"].iloc[0])], "f1_macro": [float(sum(f1s) / len(f1s))]})
+def fold_f1(oof: DataFrame) -> DataFrame:
+    """Macro F1 per fold, from counts per (fold, class)."""
+    seen = oof.select("fold", F.explode(F.array(
+        F.struct(F.col("severity_class").alias("c"), F.lit(1).alias("truth"), F.lit(0).alias("said")),
+        F.struct(F.col("pred").alias("c"), F.lit(0).alias("truth"), F.lit(1).alias("said")))).alias("x"),
+        (F.col("severity_class") == F.col("pred")).cast("int").alias("hit"))
+    per = seen.groupBy("fold", "x.c").agg(F.sum("x.truth").alias("t"), F.sum("x.said").alias("s"),
+                                          F.sum(F.col("hit") * F.col("x.truth")).alias("tp"))
+    f1 = F.coalesce(F.try_divide(2.0 * F.col("tp"), F.col("t") + F.col("s")), F.lit(0.0))
+    return per.groupBy("fold").agg(F.avg(f1).alias("f1_macro"))
+
+
+def safe_severity_predictions(features: DataFrame, n_final: int = 500) -> DataFrame:
+    """L14 + IO7 + BI5: predicted severity and class probability of every row."""
+    df = _severity_rows(features)
+    model = fit(SV.random_forest("severity_class", "w", n_final), df, SAFE_FEATURES)
+    return positive_probability(model.transform(df)).select(
+        "fact_impact_sk", "time_sk", "zone_sk", "mode_sk", "annee", "mois", "severity_class",
+        F.col("prediction").cast("int").alias("severity_predicted"), F.col("proba").alias("severity_proba"))
+
+
+def safe_importances(features: DataFrame, n_final: int = 500) -> DataFrame:
+    """L16 + T5: Gini importance of every feature of the severity forest."""
+    df = _severity_rows(features)
+    return importances(fit(SV.random_forest("severity_class", "w", n_final), df, SAFE_FEATURES), SAFE_FEATURES)
+
+
+def safe_forest_grid(features: DataFrame) -> DataFrame:
+    """Severity forests over the reference's 6-point grid, macro F1 on the
+    stratified folds; MLlib's depth limit of 30 stands for unlimited."""
+    est = SV.random_forest("severity_class", "w")
+    points = [(n, d) for n in (100, 200) for d in (5, 10, 30)]  # Fixed values: the grid.
+    grid = [{est.numTrees: n, est.maxDepth: d} for n, d in points]
+    df = _severity_rows(features)
+    avg, std = SV.cross_validate_fixed_folds(est, df, SAFE_FEATURES, "severity_class", "fold", grid, "f1_macro")
+    return SV.grid_table(df.sparkSession, ["n_trees", "max_depth"], points, avg, std, larger_is_better=True)
 
 
 def safe_rff_svm(features: DataFrame) -> DataFrame:
@@ -370,10 +499,10 @@ def safe_zone_clusters(features: DataFrame, k: int = 3, n_init: int = 20) -> Dat
 
 
 def safe_ward(features: DataFrame, k: int = 3) -> DataFrame:
-    """Ward hierarchical clusters of the scaled zone risk profile."""
+    """Hierarchical clusters of the scaled zone risk profile."""
     prof = pop_standardize(SF.zone_risk_profile(features), SAFE_CLUSTER)
     cols = [f"{c}_scaled" for c in SAFE_CLUSTER]
-    return CL.ward_clusters(prof, cols, k).select("zone_sk", "ward_cluster")
+    return CL.hierarchical_clusters(prof, cols, k).select("zone_sk", "ward_cluster")
 
 
 def safe_anomalies(features: DataFrame, n_trees: int = 300) -> DataFrame:
@@ -387,6 +516,12 @@ def safe_anomalies(features: DataFrame, n_trees: int = 300) -> DataFrame:
                                   "is_anomaly", "anomaly_label", *TERRITORIAL_ORDER))
 
 
+def safe_anomaly_alerts(features: DataFrame, n: int = 10) -> DataFrame:
+    """The ``n`` strongest alerts."""
+    an = safe_anomalies(features)
+    return an.where(F.col("is_anomaly") == 1).orderBy("anomaly_score", *TERRITORIAL_ORDER).limit(n)
+
+
 def safe_anomaly_report(features: DataFrame) -> DataFrame:
     """G17 + G12 + T3 + M12: anomaly count/rate, precision@k of the
     heuristic, alerts of the worst zone, the 10 strongest alerts."""

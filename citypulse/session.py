@@ -36,6 +36,7 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
         .config("spark.default.parallelism", str(cpus))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # small local inputs: let AQE keep enough partitions to use every core
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
     )
@@ -51,7 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting points at shared storage and is respected as is.
-    Only when it is unset (local tests) a scratch folder is created.
+    Only where it is unset and every task runs in this process (``local[*]``)
+    a scratch folder is created; elsewhere executors could not see it.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -59,6 +61,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="citypulse-ckpt-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)

@@ -70,20 +70,12 @@ def territorial_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def territorial_time_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Monthly time dimension: one row per month present in the data.
-
-    Its size is bounded by the calendar (12 rows per year), which is what
-    makes it safe to broadcast into the fact joins.
-    """
-    d = (read_table(spark, sf_dir, "lineitem")
-         .select((F.year("l_shipdate") * 100 + F.month("l_shipdate")).cast("int").alias("time_sk"))
-         .distinct())
-    return d.select(
-        "time_sk",
-        (F.col("time_sk") / 100).cast("int").alias("annee"),
-        F.pmod("time_sk", F.lit(100)).cast("int").alias("mois"),
-    )
+def territorial_time_dim(spark: SparkSession) -> DataFrame:
+    """Monthly time dimension: a generated calendar of 200 years (2,400 rows),
+    so it costs no pass over the fact and is safe to broadcast."""
+    m = spark.range(200 * 12).select((F.floor(F.col("id") / 12) + 1900).cast("int").alias("annee"),
+                                     (F.pmod("id", F.lit(12)) + 1).cast("int").alias("mois"))
+    return m.select((F.col("annee") * 100 + F.col("mois")).cast("int").alias("time_sk"), "annee", "mois")
 
 
 def zone_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,10 +96,11 @@ def _event_k(df: DataFrame):
     return F.get_json_object(df.props, "$.k").cast("int")
 
 
-def mobility_time_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly time dimension (bounded by the calendar: 24 rows a day)."""
-    ev = read_table(spark, sf_dir, "events").select("ts")
-    h = ev.select(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hts")).distinct()
+def mobility_time_dim(spark: SparkSession) -> DataFrame:
+    """Hourly time dimension: a generated calendar from 2020 to 2029 (87,672
+    rows), so it costs no pass over the fact and is safe to broadcast."""
+    h = spark.range(3653 * 24).select(F.timestamp_add("HOUR", F.col("id").cast("int"), F.lit("2020-01-01").cast(
+        "timestamp_ntz")).alias("hts"))
     hour = F.hour("hts")
     return h.select(
         F.date_format("hts", "yyyyMMddHH").cast("long").alias("time_sk"),
@@ -167,10 +160,10 @@ class Warehouse:
         self.spark = spark
         self.sf_dir = sf_dir
         self.territorial = territorial_fact(spark, sf_dir)
-        self.time_dim = territorial_time_dim(spark, sf_dir)
+        self.time_dim = territorial_time_dim(spark)
         self.zone_dim = zone_dim(spark, sf_dir)
         self.mobility = mobility_fact(spark, sf_dir)
-        self.mobility_time_dim = mobility_time_dim(spark, sf_dir)
+        self.mobility_time_dim = mobility_time_dim(spark)
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)

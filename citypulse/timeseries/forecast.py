@@ -38,15 +38,12 @@ def _design(t_days: np.ndarray, t0: float, span: float, cps: np.ndarray, yearly:
         a = 2 * np.pi * k * t_days / 7.0
         cols += [np.sin(a), np.cos(a)]
     if hol is not None:
-        cols.append(hol.astype(float))
+        cols += list(hol.T.astype(float))  # one indicator per holiday name
     return np.column_stack(cols)
 
 
 def _fit(t_days, y, scale, yearly, weekly, hol, n_cp=25):
     t0, span = float(t_days.min()), float(max(t_days.max() - t_days.min(), 1.0))
-    # a seasonality is only identifiable with at least two full periods of history
-    yearly = yearly if span >= 2 * 365.25 else 0
-    weekly = weekly if span >= 14 else 0
     m = len(y)
     k = int(min(n_cp, max(0, int(np.floor(0.8 * m)) - 1)))
     hist = t_days[: max(1, int(np.ceil(0.8 * m)))]
@@ -62,7 +59,7 @@ def _fit(t_days, y, scale, yearly, weekly, hol, n_cp=25):
     return (t0, span, cps, beta, ys, sigma, yearly, weekly)
 
 
-def _predict(state, t_days, yearly_unused, weekly_unused, hol):
+def _predict(state, t_days, hol):
     t0, span, cps, beta, ys, sigma, yearly, weekly = state
     x = _design(t_days, t0, span, cps, yearly, weekly, hol)
     yhat = x @ beta * ys
@@ -85,29 +82,39 @@ def forecast_series(df: DataFrame, keys: Sequence[str], ds: str, y: str, *, freq
     Output: keys, ds, yhat, yhat_lower, yhat_upper, row_type, best_scale,
     holdout_mae (honest, model fitted without the holdout) and
     insample_mae (last 3 history points of the final model, the
-    reference's number).
+    reference's number), holdout_mape, n_points and status. A series with
+    fewer than ``min_points`` points gives one row with its status and no
+    forecast. Seasonal terms are always in the model; the ridge penalty keeps
+    what a short history can't identify near zero. ``holidays`` are
+    (date, name) pairs; every name has an effect of its own.
     """
     keys = list(keys)
-    hol_days = None
+    hol_days: list[set[int]] = []
     if holidays:
-        hol_days = set(pd.to_datetime(pd.Series(list(holidays))).dt.normalize().astype("int64") // 86_400_000_000_000)
+        table = pd.DataFrame(list(holidays), columns=["ds", "holiday"])
+        table["day"] = pd.to_datetime(table["ds"]).astype("datetime64[s]").astype("int64") // 86_400
+        hol_days = [set(g["day"]) for _, g in table.groupby("holiday", sort=True)]
 
     def hol_flags(days: np.ndarray):
-        if hol_days is None:
+        if not hol_days:
             return None
-        return np.array([int(d) in hol_days for d in days])
+        return np.array([[int(d) in of_name for of_name in hol_days] for d in days])
 
     out_schema = (", ".join(f"{k} long" for k in keys) +
                   ", ds date, yhat double, yhat_lower double, yhat_upper double, row_type string,"
-                  " best_scale double, holdout_mae double, insample_mae double")
+                  " best_scale double, holdout_mae double, insample_mae double, holdout_mape double,"
+                  " n_points long, status string")
+    names = [*keys, "ds", "yhat", "yhat_lower", "yhat_upper", "row_type", "best_scale", "holdout_mae",
+             "insample_mae", "holdout_mape", "n_points", "status"]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        key_vals = {k: int(pdf[k].iloc[0]) if pd.notna(pdf[k].iloc[0]) else None for k in keys}
         pdf = pdf.dropna(subset=[y]).sort_values(ds).drop_duplicates(ds)
         n = len(pdf)
-        key_vals = {k: int(pdf[k].iloc[0]) for k in keys} if n else {}
-        if n < min_points:
-            return pd.DataFrame(columns=[*keys, "ds", "yhat", "yhat_lower", "yhat_upper",
-                                         "row_type", "best_scale", "holdout_mae", "insample_mae"])
+        if n < min_points:  # Y4: a series that is too short stays in the output
+            row = dict.fromkeys(names) | key_vals | {"n_points": n, "row_type": "none",
+                                                     "status": f"rejected: fewer than {min_points} points"}
+            return pd.DataFrame([row], columns=names)
         dts = pd.to_datetime(pdf[ds])
         days = (dts.astype("int64") // 86_400_000_000_000).to_numpy(dtype=float)
         yv = pdf[y].to_numpy(dtype=float)
@@ -117,16 +124,19 @@ def forecast_series(df: DataFrame, keys: Sequence[str], ds: str, y: str, *, freq
             n_hold = int(min(horizon, max(1, n // 5)))
         else:
             n_hold = 3
-        best_scale, best_mae = float(scales[0]), float("nan")
+        best_scale, best_mae, best_mape = float(scales[0]), float("nan"), float("nan")
         can_tune = (n - n_hold >= min_train) and (holdout == "fifth" or n > n_hold + 6)
         if can_tune:
             best_mae = float("inf")
             for s in scales:
                 st = _fit(days[:-n_hold], yv[:-n_hold], s, yearly, weekly, hol_flags(days[:-n_hold]))
-                pred, _, _ = _predict(st, days[-n_hold:], yearly, weekly, hol_flags(days[-n_hold:]))
-                mae = float(np.mean(np.abs(pred - yv[-n_hold:])))
+                pred, _, _ = _predict(st, days[-n_hold:], hol_flags(days[-n_hold:]))
+                gap = np.abs(pred - yv[-n_hold:])
+                mae = float(np.mean(gap))
                 if mae < best_mae:
                     best_mae, best_scale = mae, float(s)
+                    on = yv[-n_hold:] > 0
+                    best_mape = float(np.mean(gap[on] / yv[-n_hold:][on]) * 100) if on.any() else float("nan")
         state = _fit(days, yv, best_scale, yearly, weekly, hol_flags(days))
         if freq == "MS":
             fut = pd.date_range(dts.iloc[-1], periods=horizon + 1, freq="MS")[1:]
@@ -134,7 +144,7 @@ def forecast_series(df: DataFrame, keys: Sequence[str], ds: str, y: str, *, freq
             fut = pd.date_range(dts.iloc[-1], periods=horizon + 1, freq="D")[1:]
         all_ds = pd.DatetimeIndex(list(dts) + list(fut))
         all_days = (all_ds.astype("int64") // 86_400_000_000_000).to_numpy(dtype=float)
-        yhat, lo, hi = _predict(state, all_days, yearly, weekly, hol_flags(all_days))
+        yhat, lo, hi = _predict(state, all_days, hol_flags(all_days))
         insample = float(np.mean(np.abs(yhat[n - 3:n] - yv[n - 3:n]))) if n >= 3 else float("nan")
         if lower is not None:
             yhat = np.maximum(yhat, lower)
@@ -149,10 +159,12 @@ def forecast_series(df: DataFrame, keys: Sequence[str], ds: str, y: str, *, freq
         res["best_scale"] = best_scale
         res["holdout_mae"] = best_mae
         res["insample_mae"] = insample
+        res["holdout_mape"] = best_mape
+        res["n_points"] = n
+        res["status"] = "tuned" if can_tune else "default scale: too short to hold out"
         for k, v in key_vals.items():
             res.insert(0, k, v)
-        return res[[*keys, "ds", "yhat", "yhat_lower", "yhat_upper", "row_type", "best_scale",
-                    "holdout_mae", "insample_mae"]]
+        return res[names]
 
     cols = [*[F.col(k).cast("long").alias(k) for k in keys], F.col(ds).cast("date").alias(ds),
             F.col(y).cast("double").alias(y)]

@@ -1,6 +1,6 @@
-"""Y7 seasonal AR forecast, Y8 augmented Dickey-Fuller, Y9 KPSS - per
-series in grouped-map tasks (a series is one row per period, bounded by the
-calendar). Statistics follow their published definitions: ADF with AIC lag
+"""Y7 seasonal AR forecast and Y8 augmented Dickey-Fuller per series in
+grouped-map tasks, Y9 KPSS in SQL expressions (a series is one row per period,
+bounded by the calendar). Statistics follow their published definitions: ADF with AIC lag
 selection over ``12 (n/100)^(1/4)`` lags and MacKinnon (2010) response-
 surface critical values; KPSS level-stationarity with a Bartlett-weighted
 long-run variance and the Hobijn et al. (1998) automatic bandwidth.
@@ -12,9 +12,11 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from citypulse.operators.joins import null_safe_join
+
 # MacKinnon (2010) response-surface coefficients, constant-only
 # case, one variable: crit(n) = b0 + b1/n + b2/n^2 + b3/n^3 for 1 %, 5 %, 10 %.
 MACKINNON_C = {
@@ -65,55 +67,76 @@ def adf(y: np.ndarray) -> tuple[float, int, dict[str, float]]:
     return stat, best_lag, crit
 
 
-def kpss_level(y: np.ndarray) -> tuple[float, int]:
-    y = np.asarray(y, dtype=float)
-    n = len(y)
-    e = y - y.mean()
-    covlags = int(np.power(n, 2.0 / 9.0))
-    s0 = float(e @ e) / n
-    s1 = 0.0
-    for i in range(1, covlags + 1):
-        prod = float(e[i:] @ e[:n - i]) / (n / 2.0)
-        s0 += prod
-        s1 += i * prod
-    s_hat = s1 / s0 if s0 else 0.0
-    gamma = 1.1447 * np.power(s_hat * s_hat, 1.0 / 3.0)
-    lags = min(int(gamma * np.power(n, 1.0 / 3.0)), n - 1)
-    eta = float(np.sum(np.cumsum(e) ** 2)) / n ** 2
-    lr = float(e @ e)
-    for i in range(1, lags + 1):
-        lr += 2.0 * float(e[i:] @ e[:n - i]) * (1.0 - i / (lags + 1.0))
-    lr /= n
-    return (eta / lr if lr else float("nan")), lags
-
-
-def stationarity_tests(df: DataFrame, keys: Sequence[str], ds: str, y: str) -> DataFrame:
+def kpss(df: DataFrame, keys: Sequence[str], ds: str, y: str) -> DataFrame:
+    """KPSS level-stationarity per series, in window expressions.
+
+    With e the deviations from the mean and n points, the statistic is
+    sum(S_t**2) / n**2 over the Bartlett-weighted long-run variance, S_t the
+    running sum of e. The bandwidth is the automatic one of Hobijn, Franses and
+    Ooms (1998). A series is calendar-bounded, and so is its array.
+    """
+    keys = list(keys)
+    per = Window.partitionBy(*keys)
+    x = df.where(F.col(y).isNotNull()).select(*keys, F.col(ds).alias("_ds"), F.col(y).cast("double").alias("_y"))
+    run = per.orderBy("_ds")
+    x = x.select(*keys, (F.col("_y") - F.avg("_y").over(per)).alias("_e"), F.row_number().over(run).alias("_t"),
+                 F.count(F.lit(1)).over(per).alias("_n"))
+    total = F.sum("_e").over(per.orderBy("_t").rowsBetween(Window.unboundedPreceding, 0))
+    base = x.withColumn("_s", total).groupBy(*keys).agg(
+        F.max("_n").alias("n"), F.sum(F.col("_s") * F.col("_s")).alias("_ss"),
+        F.array_sort(F.collect_list(F.struct("_t", "_e"))).alias("_p"))
+    base = base.withColumn("_e", F.transform("_p", lambda p: p["_e"])).drop("_p")
+
+    def product(lag):
+        """Sum of e_t * e_(t - lag)."""
+        return F.aggregate(F.sequence(F.lit(0), F.col("n").cast("int") - lag - 1), F.lit(0.0),
+                           lambda acc, i: acc + F.get("_e", i) * F.get("_e", i + lag))
+
+    first = F.pow(F.col("n").cast("double"), 2.0 / 9.0).cast("int")
+    lags = F.sequence(F.lit(1), F.col("_l0"))
+    base = base.withColumn("_l0", F.greatest(F.least(first, F.col("n").cast("int") - 1), F.lit(1))).where("n > 1")
+    # both sums weight the first autocovariances: once evenly, once by lag
+    base = base.withColumn("_g0", product(F.lit(0)) / F.col("n")).withColumn(
+        "_g", F.transform(lags, lambda j: F.struct(j.alias("j"), (product(j) * 2.0 / F.col("n")).alias("v"))))
+    even = F.aggregate("_g", F.col("_g0"), lambda acc, g: acc + g["v"])
+    by_lag = F.aggregate("_g", F.lit(0.0), lambda acc, g: acc + g["j"] * g["v"])
+    ratio = F.coalesce(F.try_divide(by_lag, even), F.lit(0.0))
+    wide = F.lit(1.1447) * F.pow(ratio * ratio, F.lit(1.0 / 3.0)) * F.pow(F.col("n").cast("double"), 1.0 / 3.0)
+    base = base.withColumn("kpss_lag", F.least(wide.cast("int"), F.col("n").cast("int") - 1))
+    taper = F.aggregate(F.sequence(F.lit(1), F.greatest(F.col("kpss_lag"), F.lit(1))), F.lit(0.0),
+                        lambda acc, j: acc + F.when(j <= F.col("kpss_lag"), product(j) * (
+                            F.lit(1.0) - j / (F.col("kpss_lag") + 1.0))).otherwise(0.0))
+    variance = F.col("_g0") + taper * 2.0 / F.col("n")
+    stat = F.try_divide(F.col("_ss") / (F.col("n") * F.col("n")), variance)
+    return base.select(*keys, "n", stat.alias("kpss_stat"), F.col("kpss_lag").cast("long").alias("kpss_lag"),
+                       (stat < 0.463).cast("int").alias("kpss_stationary"))
+
+
+def stationarity_tests(df: DataFrame, keys: Sequence[str], ds: str, y: str, min_points: int = 8) -> DataFrame:
     """Y8 + Y9 per series: ADF statistic, lag, 5 % critical value and verdict;
-    KPSS statistic and lag (5 % critical value 0.463 for the level case)."""
+    KPSS statistic and lag (5 % critical value 0.463 for the level case). A
+    series under ``min_points`` points keeps its row, with NULLs and a status."""
     keys = list(keys)
     schema = (", ".join(f"{k} long" for k in keys) +
-              ", n long, adf_stat double, adf_lag long, adf_crit_5 double, adf_stationary int,"
-              " kpss_stat double, kpss_lag long, kpss_stationary int")
+              ", n long, adf_stat double, adf_lag long, adf_crit_5 double, adf_stationary int, status string")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.dropna(subset=[y]).sort_values(ds)
-        v = pdf[y].to_numpy(dtype=float)
-        row = {k: int(pdf[k].iloc[0]) for k in keys}
+        row = {k: int(pdf[k].iloc[0]) if pd.notna(pdf[k].iloc[0]) else None for k in keys}
+        v = pdf.dropna(subset=[y]).sort_values(ds)[y].to_numpy(dtype=float)
         row["n"] = len(v)
-        if len(v) < 8:
-            row.update(adf_stat=np.nan, adf_lag=-1, adf_crit_5=np.nan, adf_stationary=-1,
-                       kpss_stat=np.nan, kpss_lag=-1, kpss_stationary=-1)
+        if len(v) < min_points:
+            row.update(adf_stat=None, adf_lag=None, adf_crit_5=None, adf_stationary=None,
+                       status=f"too short: fewer than {min_points} points")
         else:
             st, lag, crit = adf(v)
-            ks, kl = kpss_level(v)
-            row.update(adf_stat=st, adf_lag=lag, adf_crit_5=crit["5%"],
-                       adf_stationary=int(st < crit["5%"]), kpss_stat=ks, kpss_lag=kl,
-                       kpss_stationary=int(ks < 0.463))
+            row.update(adf_stat=st, adf_lag=lag, adf_crit_5=crit["5%"], adf_stationary=int(st < crit["5%"]),
+                       status="tested")
         return pd.DataFrame([row])
 
-    return (df.select(*[F.col(k).cast("long").alias(k) for k in keys], ds,
-                      F.col(y).cast("double").alias(y))
-              .groupBy(*keys).applyInPandas(run, schema))
+    series = df.select(*[F.col(k).cast("long").alias(k) for k in keys], ds, F.col(y).cast("double").alias(y))
+    unit_root = series.groupBy(*keys).applyInPandas(run, schema)
+    level = kpss(series, keys, ds, y).where(F.col("n") >= min_points).drop("n")
+    return null_safe_join(unit_root, level, keys, "left")
 
 
 def seasonal_ar_forecast(df: DataFrame, keys: Sequence[str], ds: str, y: str, steps: int = 3,
@@ -123,17 +146,19 @@ def seasonal_ar_forecast(df: DataFrame, keys: Sequence[str], ds: str, y: str, st
     differenced series is regressed on lags 1, s, s+1 and the lagged
     residual; forecasts are iterated and integrated. Reports the MAE on the
     last ``holdout`` points (fitted without them) and the ``steps``-ahead
-    forecast from the full history."""
+    forecast from the full history; a series that is too short for the
+    seasonal lags gives one row with NULLs and its status."""
     keys = list(keys)
     schema = (", ".join(f"{k} long" for k in keys) +
-              ", step long, forecast double, holdout_mae double")
+              ", step long, forecast double, holdout_mae double, status string")
+    short = "too short for the seasonal lags"
 
-    def fit_forecast(v: np.ndarray, h: int) -> np.ndarray:
+    def fit_forecast(v: np.ndarray, h: int) -> np.ndarray | None:
         z = np.diff(v)
         m = min(len(z) // 3, season + 1)
         n_need = season + 2
         if len(z) <= n_need + m:
-            return np.full(h, v[-1])
+            return None
         xa = np.column_stack([z[m - j - 1:len(z) - j - 1] for j in range(m)] + [np.ones(len(z) - m)])
         ba, *_ = np.linalg.lstsq(xa, z[m:], rcond=None)
         e = np.zeros(len(z))
@@ -152,15 +177,17 @@ def seasonal_ar_forecast(df: DataFrame, keys: Sequence[str], ds: str, y: str, st
         return v[-1] + np.cumsum(out)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.dropna(subset=[y]).sort_values(ds)
-        v = pdf[y].to_numpy(dtype=float)
-        key_vals = {k: int(pdf[k].iloc[0]) for k in keys}
-        if len(v) < season + holdout + 6:
-            return pd.DataFrame(columns=[*keys, "step", "forecast", "holdout_mae"])
-        back = fit_forecast(v[:-holdout], holdout)
-        mae = float(np.mean(np.abs(back - v[-holdout:])))
-        fc = fit_forecast(v, steps)
-        res = pd.DataFrame({"step": np.arange(1, steps + 1), "forecast": fc, "holdout_mae": mae})
+        key_vals = {k: int(pdf[k].iloc[0]) if pd.notna(pdf[k].iloc[0]) else None for k in keys}
+        v = pdf.dropna(subset=[y]).sort_values(ds)[y].to_numpy(dtype=float)
+        fc = fit_forecast(v, steps) if len(v) else None
+        back = fit_forecast(v[:-holdout], holdout) if len(v) > holdout else None
+        mae = float(np.mean(np.abs(back - v[-holdout:]))) if back is not None else None
+        if fc is None:  # the series stays in the output, without a forecast
+            res = pd.DataFrame({"step": [None], "forecast": [None], "holdout_mae": [mae], "status": [short]})
+        else:
+            res = pd.DataFrame({"step": np.arange(1, steps + 1), "forecast": fc})
+            res["holdout_mae"] = mae
+            res["status"] = "fitted" if mae is not None else "fitted; too short to hold out"
         for k, val in key_vals.items():
             res.insert(0, k, val)
         return res

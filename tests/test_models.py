@@ -37,15 +37,28 @@ def test_easter_rule():
     assert easter_sunday(2025) == dt.date(2025, 4, 20)
 
 
-def test_dbscan_known_layout():
-    from citypulse.operators.models.dbscan import dbscan_labels
-    x = np.array([[0, 0], [0, 1], [0, 2], [10, 10], [10, 11], [50, 50]], dtype=float)
-    assert dbscan_labels(x, 1.5, 2).tolist() == [0, 0, 0, 1, 1, -1]
-    # the middle point has 3 points within eps (itself included): it is the
-    # only core point at min_samples=3, and both ends join it as border points
-    y = np.array([[0, 0], [1, 0], [2.4, 0]], dtype=float)
-    assert dbscan_labels(y, 1.5, 3).tolist() == [0, 0, 0]
-    assert dbscan_labels(y, 1.5, 4).tolist() == [-1, -1, -1]
+def plain_dbscan(x, eps, min_samples):
+    """Textbook labels: clusters by least core point, border points to the least cluster."""
+    near = [[j for j in range(len(x)) if np.sum((x[i] - x[j]) ** 2) <= eps * eps] for i in range(len(x))]
+    core = [len(n) >= min_samples for n in near]
+    root = list(range(len(x)))
+    for _ in x:
+        for i in range(len(x)):
+            if core[i]:
+                root[i] = min(root[j] for j in near[i] if core[j])
+    names = {r: k for k, r in enumerate(sorted({root[i] for i in range(len(x)) if core[i]}))}
+    return [names[root[i]] if core[i] else min((names[root[j]] for j in near[i] if core[j]), default=-1)
+            for i in range(len(x))]
+
+
+def test_dbscan_against_all_pairs(spark):
+    from citypulse.operators.models.dbscan import dbscan
+    rng = np.random.RandomState(5)
+    x = np.vstack([rng.normal(c, 0.8, (25, 3)) for c in ((0, 0, 0), (6, 0, 0), (-5, 5, 2))] + [rng.uniform(-20, 20, (25, 3))])
+    pdf = pd.DataFrame(x, columns=["a", "b", "c"]).assign(zone=np.arange(len(x)))
+    for min_samples in (2, 4):
+        got = {r.zone: r.dbscan_label for r in dbscan(spark.createDataFrame(pdf), ["a", "b", "c"], "zone", 1.5, min_samples).collect()}
+        assert [got[i] for i in range(len(x))] == plain_dbscan(x, 1.5, min_samples)
 
 
 def test_pipeline_and_encoding_persist_roundtrip(spark, tmp_path):
@@ -62,4 +75,6 @@ def test_pipeline_and_encoding_persist_roundtrip(spark, tmp_path):
     assert np.allclose(a, b)
     enc = TargetEncoder({"k_mean": ["k"]}, "y").fit(df)
     enc.save(str(tmp_path / "enc"))
-    assert spark.read.parquet(str(tmp_path / "enc" / "k_mean")).count() == 3
+    again = TargetEncoder.load(spark, str(tmp_path / "enc"), {"k_mean": ["k"]}, "y")
+    new = spark.createDataFrame([(0,), (2,), (9,), (None,)], "k int")
+    assert sorted(map(tuple, again.transform(new).collect()), key=str) == sorted(map(tuple, enc.transform(new).collect()), key=str)
