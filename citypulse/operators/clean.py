@@ -167,9 +167,8 @@ def audit_columns(df: DataFrame, run_ts: str, prediction_type: str | None = None
 
 def quality_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One wide aggregate (a single pass), unpivoted to
-    (column, n_rows, n_null, n_zero, min, max, mean).
-
-    Medians are left to ``exact_quantiles`` so this stays a single scan.
+    (column, n_rows, n_null, n_zero, min, max, mean); the exact medians are
+    joined from one counted stage of all columns.
     """
     aggs = [F.count(F.lit(1)).alias("__n")]
     for c in cols:
@@ -188,11 +187,32 @@ def quality_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                  F.col(f"{c}__max").alias("max_value"),
                  F.col(f"{c}__mean").alias("mean_value"))
         for c in cols])
+    from citypulse.operators.ordered import exact_quantiles
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
+                                for c in cols])).alias("x")
+    medians = exact_quantiles(df.select(pairs).select("x.column", "x.value"), "value", {"median_value": 0.5},
+                              by=["column"])
     return (wide.select(F.col("__n").cast("long").alias("n_rows"), F.explode(rows).alias("r"))
                 .select("r.column", "n_rows", "r.n_null", "r.n_zero",
-                        "r.min_value", "r.max_value", "r.mean_value"))
+                        "r.min_value", "r.max_value", "r.mean_value")
+                .join(medians, "column", "left"))
 
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """P25: pandas-style ``describe()`` (count, mean, std, min, quartiles, max)."""
-    return df.select(*cols).summary("count", "mean", "stddev", "min", "25%", "50%", "75%", "max")
+    """P25: pandas-style ``describe()``, one row per (measure, statistic):
+    count, mean, std, min, exact quartiles, max. The quartiles come from one
+    counted (measure, value) stage for all measures."""
+    from citypulse.operators.joins import null_safe_join
+    from citypulse.operators.ordered import exact_quantiles
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value"))
+                                for c in cols])).alias("x")
+    long = df.select(pairs).select("x.measure", "x.value").where(F.col("value").isNotNull() & ~F.isnan("value"))
+    basic = long.groupBy("measure").agg(
+        F.count(F.lit(1)).cast("double").alias("count"), F.avg("value").alias("mean"),
+        F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
+    quartiles = exact_quantiles(long, "value", {"25%": 0.25, "50%": 0.5, "75%": 0.75}, by=["measure"])
+    wide = null_safe_join(basic, quartiles, ["measure"])
+    stats = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
+    return wide.select("measure", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("statistic"), F.col(f"`{c}`").alias("value")) for c in stats])).alias("s")).select(
+        "measure", "s.statistic", "s.value")

@@ -17,11 +17,11 @@ PROFILE_COLS = ["co2_kg", "energie_kwh", "aqi_index", "pm25", "no2"]
 
 
 @register("quality_profile_territorial", "P24 P9",
-          "column:s n_rows:i n_null:i n_zero:i min_value:f max_value:f mean_value:f",
+          "column:s n_rows:i n_null:i n_zero:i min_value:f max_value:f mean_value:f median_value:f",
           with_views(" UNION ALL ".join(f"""
 SELECT '{c}' AS "column", count(*) AS n_rows, count(*) - count({c}) AS n_null,
        sum(CASE WHEN {c} = 0 THEN 1 ELSE 0 END) AS n_zero, min({c}) AS min_value,
-       max({c}) AS max_value, avg({c}) AS mean_value FROM territorial_dedup""" for c in PROFILE_COLS),
+       max({c}) AS max_value, avg({c}) AS mean_value, median({c}) AS median_value FROM territorial_dedup""" for c in PROFILE_COLS),
                      "territorial_dedup"))
 def quality_profile_territorial(w):
     """Data-quality profile (nulls, zeros, min / max / mean) of the
@@ -98,7 +98,17 @@ def bi_drill_across(w):
     return B.drill_across(B.drill_across(a, b, ["zone_sk"]), c, ["zone_sk"])
 
 
-@register("bi_row_level_security", "BI1 BI2 J8",
+@register("bi_drill_through", "BI2",
+          "fact_mob_sk:i zone_sk:i hour:i charge_estimee:f",
+          with_views("""
+SELECT fact_mob_sk, zone_sk, hour, charge_estimee FROM mob_features
+WHERE zone_sk = 3 AND hour = 8""", "mob_features"))
+def bi_drill_through(w):
+    """The trips behind one cell (zone 3, hour 8) of the hotspot report."""
+    return B.drill_through(M.engineer_features(M.clean_mobility(w)), zone_sk=3, hour=8)
+
+
+@register("bi_row_level_security", "BI1 J8",
           "principal:s zone_sk:i n_trips:i n_cancelled:i",
           with_views("""
 WITH e AS (SELECT ville AS principal, zone_sk FROM zone_dim),
@@ -111,7 +121,7 @@ def bi_row_level_security(w):
     ent = B.region_entitlements(w.zone_dim)
     k = M.punctuality(M.clean_mobility(w), ["zone_sk"]).select("zone_sk", "n_trips", "n_cancelled")
     view = B.secure_view(k, ent, "EUROPE")
-    return B.drill_through(view.withColumn("principal", F.lit("EUROPE")), principal="EUROPE")
+    return view.withColumn("principal", F.lit("EUROPE"))
 
 
 @register("ref_orphan_parts", "J11 IO5",
@@ -145,29 +155,31 @@ def eco_months_with_features(w):
     return semi(m, f, ["zone_sk", "d"]).groupBy("zone_sk").agg(F.count(F.lit(1)).alias("n_months"))
 
 
-@register("mob_describe", "P25", "summary:s vitesse_kmh:s charge_estimee:s congestion_index:s")
+DESCRIBED = M.NUMERIC
+
+
+@register("mob_describe", "P25", "measure:s statistic:s value:f",
+          with_views(" UNION ALL ".join(f"""
+SELECT '{c}' AS measure, s.statistic, s.value FROM (
+  SELECT count({c})::DOUBLE AS a, avg({c}) AS b, stddev_samp({c}) AS c, min({c}) AS d, quantile_cont({c}, 0.25) AS e,
+         quantile_cont({c}, 0.5) AS f, quantile_cont({c}, 0.75) AS g, max({c}) AS h FROM mob_clean) t,
+LATERAL (VALUES ('count', a), ('mean', b), ('std', c), ('min', d), ('25%', e), ('50%', f), ('75%', g), ('max', h))
+  s(statistic, value)""" for c in DESCRIBED), "mob_clean"))
 def mob_describe(w):
-    """pandas-style describe() of three trip measures (Spark ``summary``;
-    quartiles are Spark's approximate percentiles, so no SQL oracle)."""
-    return C.describe(M.clean_mobility(w), ["vitesse_kmh", "charge_estimee", "congestion_index"])
+    """describe() of every numeric trip measure, with exact quartiles."""
+    return C.describe(M.clean_mobility(w), DESCRIBED)
 
 
 @register("safety_report", "M15 IO9 P22",
-          "section:s status:s n_fields:i generated_at:s")
+          "section:s status:s n_fields:i overall:s generated_at:s")
 def safety_report(w):
-    """Evaluation report with per-section isolation: each section carries
-    its metrics struct and an OK / FAILED status."""
-    from citypulse.sources.sinks import report_section
+    """Evaluation report, section by section, with an overall status."""
+    from citypulse.sources.sinks import build_report
     f = SF.severity_features(SF.clean_safety(w))
-    secs = [report_section("kpis", SF.safety_kpis(f)),
-            report_section("classes", SF.class_distribution(f).groupBy().pivot(
-                "severity_class").agg(F.first("n")))]
-    secs = [s.withColumn("n_fields", F.size(F.json_object_keys(F.to_json("metrics"))))
-             .drop("metrics", "error") for s in secs]
-    out = secs[0]
-    for s in secs[1:]:
-        out = out.unionByName(s)
-    return C.audit_columns(out, "1970-01-01 00:00:00 UTC")
+    report = build_report(w.spark, {
+        "kpis": lambda: SF.safety_kpis(f),
+        "classes": lambda: SF.class_distribution(f).groupBy().pivot("severity_class").agg(F.first("n"))})
+    return C.audit_columns(report.withColumn("n_fields", F.size(F.json_object_keys("metrics"))), "1970-01-01 00:00:00 UTC")
 
 
 @register("mob_scoring_imputation", "P13",

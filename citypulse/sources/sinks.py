@@ -8,7 +8,7 @@ tool reads those) and optionally as parquet partitioned by year.
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,13 +58,25 @@ def read_report(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.json(path)
 
 
-def report_section(name: str, metrics: DataFrame, error: str | None = None) -> DataFrame:
-    """One report section: its metrics as a struct plus status/error,
-    so a failing section does not hide the others."""
-    body = F.struct(*[F.col(c) for c in metrics.columns])
-    return metrics.select(F.lit(name).alias("section"), body.alias("metrics"),
-                          F.lit("FAILED" if error else "OK").alias("status"),
-                          F.lit(error).cast("string").alias("error"))
+def build_report(spark: SparkSession, sections: Mapping[str, Callable[[], DataFrame]]) -> DataFrame:
+    """(section, status, metrics JSON, error), one row per section.
+
+    Sections are evaluated one by one, each a single row of metrics, so one
+    that fails is recorded and hides none of the others. ``overall`` is OK only
+    when every section is."""
+    rows = []
+    for name, build in sections.items():
+        try:
+            found = build().select(F.to_json(F.struct("*")).alias("j")).take(2)
+            if len(found) != 1:
+                raise ValueError(f"{len(found)} rows where one was expected")
+            rows.append((name, "OK", found[0]["j"], None))
+        except Exception as e:  # noqa: BLE001  a report must survive any failing section
+            log.warning("report section %s failed: %s", name, e)
+            rows.append((name, "FAILED", None, f"{type(e).__name__}: {e}"[:500]))
+    overall = "OK" if all(r[1] == "OK" for r in rows) else "PARTIAL" if any(r[1] == "OK" for r in rows) else "FAILED"
+    return spark.createDataFrame([(*r, overall) for r in rows],
+                                 "section string, status string, metrics string, error string, overall string")
 
 
 def verify_outputs(spark: SparkSession, expected: Mapping[str, tuple[str, int | None]]) -> DataFrame:
