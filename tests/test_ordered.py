@@ -65,3 +65,18 @@ def test_group_median_fill_uses_global_fallback_for_all_missing_group(spark):
     # group-filled column [1, 2, 3, 10] = 2.5
     assert got[1] == 2.0 or sorted(got[:3]) == [1.0, 2.0, 3.0]
     assert got[3] == got[4] == 2.5
+
+
+def test_null_and_nan_group_keys_are_kept(spark):
+    rng = np.random.RandomState(9)
+    pdf = pd.DataFrame({"id": np.arange(400), "g": rng.choice([0.0, 1.0, np.nan], 400, p=[.7, .1, .2]), "v": rng.rand(400)})
+    df = spark.createDataFrame(pdf)
+    both = df.withColumn("g", F.when(F.col("id") % 10 == 0, None).otherwise(F.col("g")))
+    got = ordered_index(both, ["id"], ["g"], name="pos", num_blocks=5)
+    exp = both.withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy("id")) - 1)
+    assert got.count() == 400
+    assert got.select("id", "pos").exceptAll(exp.select("id", "pos")).count() == 0
+    q = exact_quantiles(both, "v", {"m": 0.5}, by=["g"]).count()
+    assert q == both.select("g").distinct().count()
+    filled = fill_with_group_median(both.withColumn("v", F.when(F.col("id") % 7 != 0, F.col("v"))), ["v"], ["g"])
+    assert filled.count() == 400 and filled.where("v is null").count() == 0
