@@ -3,8 +3,8 @@
 1. Every member of a bucket is paired with one member of it, drawn by a hash,
    and the pair is verified exactly: linear in the bucket.
 2. Verified pairs give components. Buckets whose members fall in several
-   components get two more such rounds, each with a new draw, over pairs of
-   different components only.
+   components get one more such round with a new draw, over pairs of different
+   components only.
 3. What still mixes components is joined exactly: tokens are ordered from rare
    to frequent, and two sets whose similarity reaches the threshold must share
    one of their first few tokens at places that leave room for the overlap
@@ -26,7 +26,7 @@ from citypulse.llm.components import components
 from citypulse.llm.stage import staged
 
 Features = Callable[[DataFrame], DataFrame]
-DRAWS = 3
+DRAWS = 2
 
 
 def _mask(draw: int) -> Column:

@@ -27,7 +27,7 @@ def stage_path(spark: SparkSession, name: str) -> str:
 def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once and return it reread as a leaf."""
     path = stage_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
