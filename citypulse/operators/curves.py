@@ -48,6 +48,18 @@ def roc_auc(df: DataFrame, y: str, score: str) -> DataFrame:
     return t.agg(F.try_divide(num, P * N).alias("auc"), P.alias("n_pos"), N.alias("n_neg"))
 
 
+def roc_auc_ovr(df: DataFrame, y: str, scores: dict[int, str]) -> DataFrame:
+    """M7: one-vs-rest AUC of each class (class -> its score column) and their
+    macro mean; a class without positives or negatives has NULL and is left
+    out of the mean."""
+    per = None
+    for c, score in scores.items():
+        one = roc_auc(df.withColumn("_y", (F.col(y) == c).cast("int")), "_y", score).select(
+            F.lit(c).alias("class"), "auc")
+        per = one if per is None else per.unionByName(one)
+    return per.unionByName(per.agg(F.lit(None).cast("int").alias("class"), F.avg("auc").alias("auc")))
+
+
 def pr_curve(df: DataFrame, y: str, score: str) -> DataFrame:
     """Precision, recall and F1 at every distinct score used as a
     ``score >= threshold`` cut."""

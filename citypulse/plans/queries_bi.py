@@ -201,19 +201,20 @@ def mob_scoring_imputation(w):
 @register("bi_export_roundtrip", "IO6 IO7 IO9 IO10 IO13 P22 BI5",
           "name:s present:i n_rows:i ok:i")
 def bi_export_roundtrip(w):
-    """Writes the safety severity table for BI (CSV with header, partitioned
+    """Writes the severity predictions for BI (CSV with header, partitioned
     by year, conformed keys and audit column) and a JSON KPI report into the
     shared checkpoint folder, reads both back and verifies presence and row
     counts."""
     import uuid
 
+    from citypulse.operators.materialize import stage
+    from citypulse.plans import training as TR
     from citypulse.session import ensure_checkpoint_dir
     from citypulse.sources.sinks import read_report, verify_outputs, write_bi_table, write_report
     spark = w.spark
     base = ensure_checkpoint_dir(spark).rstrip("/") + f"/exports-{uuid.uuid4().hex[:8]}"
     f = SF.severity_features(SF.clean_safety(w))
-    out = C.audit_columns(f.select("time_sk", "zone_sk", "mode_sk", "annee", "mois", "severity_class",
-                                   "severity_label", "gravite_index"), "1970-01-01 00:00:00 UTC")
+    out = C.audit_columns(stage(TR.safe_severity_predictions(f), "predictions"), "1970-01-01 00:00:00 UTC")
     n = out.count()
     write_bi_table(out, f"{base}/severity_predictions", "csv", partition_by="annee")
     write_report(SF.safety_kpis(f), f"{base}/metrics_report")

@@ -198,6 +198,29 @@ def csv_sources(w):
         "zone_sk", "zone_nom", F.coalesce("n_suppliers", F.lit(0)).alias("n_suppliers"))
 
 
+OVR = {0: "score", 1: "s1", 2: "s2"}
+
+
+def _ovr_sql(c: int, score: str) -> str:
+    return f"""
+SELECT {c} AS class, (sum(CASE WHEN y = {c} THEN r END) - p * (p + 1) / 2) / (p * q) AS auc FROM (
+  SELECT y, rank() OVER (ORDER BY {score}) + (count(*) OVER (PARTITION BY {score}) - 1) / 2 AS r,
+         sum((y = {c})::INT) OVER () AS p, sum((y <> {c})::INT) OVER () AS q FROM t) GROUP BY p, q"""
+
+
+@register("metrics_auc_ovr", "M7", "class:i auc:f", with_views(f"""
+WITH t AS (SELECT id % 3 AS y, score, 1 - abs(score - 0.5) AS s1, 1 - score AS s2 FROM scored WHERE score IS NOT NULL),
+a AS ({" UNION ALL ".join(_ovr_sql(c, s) for c, s in OVR.items())})
+SELECT class, auc FROM a UNION ALL SELECT NULL, avg(auc) FROM a""", "scored"))
+def metrics_auc_ovr(w):
+    """One-vs-rest AUC per class and its macro mean."""
+    from citypulse.operators.curves import roc_auc_ovr
+    t = scored_trips(w.spark, w.sf_dir).where("score is not null").select(
+        F.pmod("id", F.lit(3)).alias("y"), "score", (1 - F.abs(F.col("score") - 0.5)).alias("s1"),
+        (1 - F.col("score")).alias("s2"))
+    return roc_auc_ovr(t, "y", OVR)
+
+
 @register("mob_kpss", "Y9", "zone_sk:i kpss_stat:f kpss_lag:i", with_views("""
 WITH d AS (SELECT zone_sk, row_number() OVER (PARTITION BY zone_sk ORDER BY ds) AS t,
                   y - avg(y) OVER (PARTITION BY zone_sk) AS e, count(*) OVER (PARTITION BY zone_sk) AS n FROM mob_daily),

@@ -1,5 +1,6 @@
 """Registered model queries. Model fits, randomised and iterative
-algorithms have no SQL oracle; tests check them by properties."""
+algorithms have no SQL oracle; ``tests/test_model_properties.py`` checks the
+models by properties, ``queries_checked`` what follows them against SQL."""
 
 from __future__ import annotations
 
@@ -72,7 +73,7 @@ def eco_forecast_summary(w):
     return TR.eco_forecast_summary(E.clean_territorial(w))
 
 
-@register("eco_sarima", "Y7", "zone_sk:i step:i forecast:f holdout_mae:f status:s")
+@register("eco_sarima", "Y7", "zone_sk:i step:i forecast:f holdout_mae:f holdout_mape:f status:s")
 def eco_sarima(w):
     """Seasonal AR(1)(1)12 + MA(1) forecasts of monthly AQI, 3 steps."""
     return TR.eco_sarima(E.clean_territorial(w))
@@ -138,9 +139,15 @@ def safe_severity_forest(w):
     return TR.safe_severity_forest(_safe(w))
 
 
-@register("safe_rff_svm", "L13", "auc:f precision:f recall:f f1:f accuracy:f n:i")
+@register("eco_forecast_comparison", "M14 Y12 Y6", "model:s mae:f mape:f n_series:i")
+def eco_forecast_comparison(w):
+    """Forecast models compared by MAE and MAPE on the last three months."""
+    return TR.eco_forecast_comparison(E.clean_territorial(w))
+
+
+@register("safe_rff_svm", "L13 X6", "auc:f precision:f recall:f f1:f accuracy:f n:i")
 def safe_rff_svm(w):
-    """Approximate RBF SVM (random Fourier features) for serious accidents."""
+    """Approximate RBF SVM (random Fourier features) for serious accidents, out of fold."""
     return TR.safe_rff_svm(_safe(w))
 
 

@@ -246,6 +246,30 @@ def eco_sarima(clean: DataFrame) -> DataFrame:
     return seasonal_ar_forecast(m, ["zone_sk"], "annee_mois_dt", "aqi_index", steps=3, season=12)
 
 
+def eco_forecast_comparison(clean: DataFrame) -> DataFrame:
+    """M14 + Y12: MAE and MAPE on the last three months of each zone's AQI, for
+    the additive forecaster, the seasonal AR and the last value, averaged over
+    the zones that the model could hold out."""
+    m = E.zone_month_targets(clean).select("zone_sk", "annee_mois_dt", "aqi_index")
+    additive = forecast_series(m, ["zone_sk"], "annee_mois_dt", "aqi_index", freq="MS", horizon=1,
+                               scales=[0.05, 0.3], holdout="fixed3", min_points=18)
+    additive = additive.groupBy("zone_sk").agg(F.max("holdout_mae").alias("mae"), F.max("holdout_mape").alias("mape"))
+    seasonal = seasonal_ar_forecast(m, ["zone_sk"], "annee_mois_dt", "aqi_index", steps=1, season=12)
+    seasonal = seasonal.select("zone_sk", F.col("holdout_mae").alias("mae"), F.col("holdout_mape").alias("mape"))
+    from pyspark.sql import Window
+    back = Window.partitionBy("zone_sk").orderBy(F.col("annee_mois_dt").desc())  # one row per month
+    known = m.where(F.col("aqi_index").isNotNull()).withColumn("k", F.row_number().over(back)).withColumn(
+        "last", F.max(F.when(F.col("k") == 4, F.col("aqi_index"))).over(Window.partitionBy("zone_sk")))
+    gap = F.abs(F.col("aqi_index") - F.col("last"))
+    naive = known.where("k <= 3").groupBy("zone_sk").agg(
+        F.avg(gap).alias("mae"), F.avg(F.when(F.col("aqi_index") > 0, gap / F.col("aqi_index") * 100)).alias("mape"))
+    named = [d.withColumn("model", F.lit(n)) for n, d in (("additive", additive), ("seasonal_ar", seasonal),
+                                                          ("last_value", naive))]
+    ok = _union(named).where(F.col("mae").isNotNull() & ~F.isnan("mae"))
+    return ok.groupBy("model").agg(F.avg("mae").alias("mae"), F.avg("mape").alias("mape"),
+                                   F.count(F.lit(1)).alias("n_series"))
+
+
 def eco_future_predictions(features: DataFrame, max_iter: int = 300) -> DataFrame:
     """L15 + L14 + F9: the combined CO2 and energy models (trained on all
     feature rows) scored on the 24-month (zone, mode) scenario grid;
@@ -466,18 +490,22 @@ def safe_forest_grid(features: DataFrame) -> DataFrame:
 
 
 def safe_rff_svm(features: DataFrame) -> DataFrame:
-    """Approximate RBF SVM (random Fourier features + linear SVM,
-    balanced weights, Platt probabilities) on the stratified split."""
-    df = pop_standardize(features, SAFE_FEATURES, suffix="_z")
+    """L13 + X6: approximate RBF SVM (random Fourier features + linear SVM,
+    balanced weights, Platt probabilities); every row is scored by the model of
+    the four folds that it is not in."""
+    df = features.withColumn("label", (F.col("severity_class") > 0).cast("double"))
+    df = SP.stratified_kfold(df, "label", "fact_impact_sk", 5)
+    df = pop_standardize(df, SAFE_FEATURES, suffix="_z")
     zcols = [f"{c}_z" for c in SAFE_FEATURES]
-    df = df.withColumn("label", (F.col("severity_class") > 0).cast("double"))
-    df = SP.stratified_split(df, "label", "fact_impact_sk", 0.2, 42)
-    df = materialize(SV.balanced_weights(df, "label"))
-    train, test = df.where(F.col("is_test") == 0), df.where(F.col("is_test") == 1)
-    model = RFFSVM(zcols, "label", "w").fit(train)
-    p = model.transform(test)
-    auc = CU.roc_auc(p, "label", "proba").select("auc").scalar()
-    sc = MT.binary_scores(p.withColumn("y_pred", F.col("svm_pred").cast("int")), "label", "y_pred")
+    df = stage(SV.balanced_weights(df, "label").select("label", "w", "fold", *zcols), "svm")
+
+    def fold(k: int):
+        model = RFFSVM(zcols, "label", "w").fit(df.where(F.col("fold") != k))
+        return model.transform(df.where(F.col("fold") == k)).select("label", "proba", "svm_pred")
+
+    scored = stage(_union(_concurrently(fold, list(range(5)), 5)), "svm-scored")
+    auc = CU.roc_auc(scored, "label", "proba").select("auc").scalar()
+    sc = MT.binary_scores(scored.withColumn("y_pred", F.col("svm_pred").cast("int")), "label", "y_pred")
     return sc.select(auc.alias("auc"), "precision", "recall", "f1", "accuracy", "n")
 
 

@@ -150,7 +150,7 @@ def seasonal_ar_forecast(df: DataFrame, keys: Sequence[str], ds: str, y: str, st
     seasonal lags gives one row with NULLs and its status."""
     keys = list(keys)
     schema = (", ".join(f"{k} long" for k in keys) +
-              ", step long, forecast double, holdout_mae double, status string")
+              ", step long, forecast double, holdout_mae double, holdout_mape double, status string")
     short = "too short for the seasonal lags"
 
     def fit_forecast(v: np.ndarray, h: int) -> np.ndarray | None:
@@ -182,11 +182,17 @@ def seasonal_ar_forecast(df: DataFrame, keys: Sequence[str], ds: str, y: str, st
         fc = fit_forecast(v, steps) if len(v) else None
         back = fit_forecast(v[:-holdout], holdout) if len(v) > holdout else None
         mae = float(np.mean(np.abs(back - v[-holdout:]))) if back is not None else None
+        mape = None
+        if back is not None and (v[-holdout:] > 0).any():
+            on = v[-holdout:] > 0
+            mape = float(np.mean(np.abs(back - v[-holdout:])[on] / v[-holdout:][on]) * 100)
         if fc is None:  # the series stays in the output, without a forecast
-            res = pd.DataFrame({"step": [None], "forecast": [None], "holdout_mae": [mae], "status": [short]})
+            res = pd.DataFrame({"step": [None], "forecast": [None], "holdout_mae": [mae], "holdout_mape": [mape],
+                                "status": [short]})
         else:
             res = pd.DataFrame({"step": np.arange(1, steps + 1), "forecast": fc})
             res["holdout_mae"] = mae
+            res["holdout_mape"] = mape
             res["status"] = "fitted" if mae is not None else "fitted; too short to hold out"
         for k, val in key_vals.items():
             res.insert(0, k, val)
