@@ -38,12 +38,6 @@ def month_sequence(start: str | Column, count: int, skip_first: bool = True) ->
                       F.expr("INTERVAL 1 MONTH"))
 
 
-def day_sequence(start: str | Column, count: int) -> Column:
-    """array of ``count`` days after ``start``."""
-    return F.sequence(F.date_add(_c(start), 1), F.date_add(_c(start), count),
-                      F.expr("INTERVAL 1 DAY"))
-
-
 def year_month_text(d: str | Column) -> Column:
     """``%Y-%m``."""
     return F.date_format(_c(d), "yyyy-MM")

@@ -107,11 +107,6 @@ def drop_missing(df: DataFrame, subset: Sequence[str]) -> DataFrame:
     return df.dropna(subset=list(subset))
 
 
-def fill_constant(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
-    """Constant fill of NULLs."""
-    return df.fillna(dict(values))
-
-
 def clip(c: str | Column, lower: float | None = None, upper: float | None = None) -> Column:
     """Clip to bounds, keeping missing values missing (trap S18:
     ``greatest``/``least`` would turn NULL into the bound)."""

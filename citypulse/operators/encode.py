@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from citypulse.operators.joins import lookup_with_default
 
 
 def dense_codes(df: DataFrame, col: str, out: str | None = None, bounded: bool = False) -> DataFrame:
@@ -83,8 +84,7 @@ class TargetEncoder:
     def transform(self, df: DataFrame) -> DataFrame:
         out = df
         for name, keys in self.encodings.items():
-            out = (out.join(self.tables[name], on=keys, how="left")
-                      .withColumn(name, F.coalesce(F.col(name), self.global_mean)))
+            out = lookup_with_default(out, self.tables[name], keys, name, self.global_mean)
         return out
 
     def save(self, path: str) -> None:

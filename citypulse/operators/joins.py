@@ -53,7 +53,8 @@ def names_with_default(profile: DataFrame, names: DataFrame, key: str = "zone_sk
 
 def lookup_with_default(df: DataFrame, table: DataFrame, keys: Sequence[str], value: str,
                         default: Column, out: str | None = None) -> DataFrame:
-    """Map lookup (single or composite key) with a default for misses."""
+    """Map lookup (single or composite key) with a default for misses;
+    a missing key is a miss."""
     out = out or value
     t = table.select(*keys, F.col(value).alias("_lk_v"))
     return (df.join(t, on=list(keys), how="left")

@@ -128,9 +128,15 @@ def fit_isolation_forest(df: DataFrame, features: Sequence[str], id_col: str,
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
     rate = min(1.0, oversample * psi / max(n, 1))
     base = df.select(F.col(id_col).alias("_id"), *[F.col(c).cast("double").alias(c) for c in features])
-    offered = base.withColumn("tree_id", F.explode(F.filter(
-        F.sequence(F.lit(0), F.lit(n_trees - 1)),
-        lambda t: hash_unit(F.abs(F.xxhash64(F.col("_id"), t, F.lit(seed))), 11) < rate)))
+    # a row is offered to the few trees it can expect to reach, spread over all
+    # trees from a random start, instead of being drawn for every tree
+    turns = max(1, math.ceil(rate * n_trees))
+    step = next(k for k in range(max(1, int(0.618 * n_trees)), 0, -1) if math.gcd(k, n_trees) == 1)
+    offered = base.withColumn("_t", F.explode(F.sequence(F.lit(0), F.lit(turns - 1)))).where(
+        hash_unit(F.xxhash64(F.col("_id"), F.col("_t"), F.lit(seed)), 11) < rate * n_trees / turns)
+    offered = offered.withColumn("tree_id", F.pmod(
+        F.pmod(F.xxhash64(F.col("_id"), F.lit(seed + 2)), F.lit(n_trees)) + F.col("_t") * step,
+        F.lit(n_trees)).cast("int")).drop("_t")
     offered = offered.withColumn("_h", F.xxhash64(F.col("_id"), F.col("tree_id"), F.lit(seed + 1)))
     from pyspark.sql import Window
     w = Window.partitionBy("tree_id").orderBy("_h", "_id")

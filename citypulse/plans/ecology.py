@@ -21,6 +21,7 @@ from citypulse.sources.warehouse import TERRITORIAL_ORDER, Warehouse
 
 DEDUP_KEYS = ["time_sk", "zone_sk", "mode_sk"]
 DROP_COLS = ["weather_sk", "event_sk", "temperature", "condition_text"]
+# The reference's column list.
 CLEAN_KEEP = [
     "fact_impact_sk", "time_sk", "zone_sk", "mode_sk",
     "energie_kwh", "co2_kg", "aqi_index", "pm25", "no2",

@@ -17,6 +17,7 @@ from citypulse.sources.warehouse import Warehouse
 
 DROP_COLS = ["weather_sk", "event_sk", "bak_vitesse_kmh", "bak_temps_trajet_min",
              "bak_stress_1_5", "bak_weather_sk"]
+# The reference's column list.
 KEEP = [
     "fact_mob_sk", "time_sk", "zone_sk", "line_sk", "mode_sk", "stop_sk",
     "annule", "charge_estimee", "vitesse_kmh", "temps_trajet_min",

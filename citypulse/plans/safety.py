@@ -17,6 +17,7 @@ from citypulse.sources.warehouse import TERRITORIAL_ORDER, Warehouse
 
 DEDUP_KEYS = ["time_sk", "zone_sk", "mode_sk"]
 DROP = ["weather_sk", "event_sk", "energie_kwh", "co2_kg", "pm25", "no2", "aqi_index"]
+# The reference's column list.
 KEEP = [
     "fact_impact_sk", "time_sk", "zone_sk", "mode_sk",
     "nb_accidents", "nb_graves", "nb_mortels",
@@ -29,8 +30,10 @@ NUMERIC = ["nb_accidents", "nb_graves", "nb_mortels", "usagers_vulnerables",
 MIN_MORTEL_SAMPLES = 40
 # Severity labels of the reference.
 SEVERITY_LABELS = {0: "Aucun incident", 1: "Accident grave", 2: "Accident mortel"}
+# The reference's column list.
 PROFILE_MEANS = ["nb_accidents", "nb_graves", "nb_mortels", "volume_crimes",
                  "taux_criminalite", "usagers_vulnerables", "gravite_index"]
+# The reference's column list.
 ANOMALY_FEATURES = ["volume_crimes", "nb_accidents", "taux_criminalite", "zone_sk", "mois"]
 # The precision@k heuristic (summer months, high-accident zones).
 HIGH_RISK_MONTHS = [6, 7, 8]
