@@ -44,6 +44,7 @@ SHINGLE = 5
 ROWS, BANDS = 5, 24  # an overlap of 0.8 meets in some band with probability 0.9999
 REGISTERS = ROWS * BANDS
 THRESHOLD = 0.8
+MERGING = 0.002  # whole documents are worth more draws before the exact join
 
 
 def _uniform(x: np.ndarray) -> np.ndarray:
@@ -160,7 +161,7 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
             small_side(wanted.select("doc")), "doc", "left_semi")
         return _bags(docs).join(wanted, ["doc", "d1"]).select("id", "s").dropDuplicates(["id"])
 
-    linked = link(buckets, features, THRESHOLD)
+    linked = link(buckets, features, THRESHOLD, MERGING)
     named = linked.join(marks.select(F.col("node").alias("id"), F.col("id").alias("rep"), "d1"), "id")
     least = named.groupBy("root").agg(F.min("rep").alias("class_id"))
     named = named.join(least, "root").select("rep", "d1", "class_id")

@@ -3,8 +3,8 @@
 1. Every member of a bucket is paired with one member of it, drawn by a hash,
    and the pair is verified exactly: linear in the bucket.
 2. Verified pairs give components. Buckets whose members fall in several
-   components get one more such round with a new draw, over pairs of different
-   components only.
+   components are drawn again, over pairs of different components only, for as
+   long as a draw still merges a notable share of them.
 3. What still mixes components is joined exactly: tokens are ordered from rare
    to frequent, and two sets whose similarity reaches the threshold must share
    one of their first few tokens at places that leave room for the overlap
@@ -26,7 +26,6 @@ from citypulse.llm.components import components
 from citypulse.llm.stage import staged
 
 Features = Callable[[DataFrame], DataFrame]
-DRAWS = 2
 
 
 def _mask(draw: int) -> Column:
@@ -44,9 +43,12 @@ def _pair(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def link(buckets: DataFrame, features: Features, threshold: float) -> DataFrame:
+def link(buckets: DataFrame, features: Features, threshold: float, merging: float = 0.02) -> DataFrame:
     """``buckets`` (bucket, id) -> (id, root) of every linked id, roots included.
-    ``features`` takes ids and returns (id, s): their token sets."""
+    ``features`` takes ids and returns (id, s): their token sets. Draws go on
+    while one links more than the share ``merging`` of the members that are
+    left; the result does not depend on it, only what the exact join is left
+    with."""
     # nearly every bucket has one member, so combining before the shuffle gains
     # nothing: one shuffle by bucket serves both the draw and the join
     buckets = buckets.repartition("bucket")
@@ -64,20 +66,24 @@ def link(buckets: DataFrame, features: Features, threshold: float) -> DataFrame:
     roots = components(links)
     # a bucket of two has no pair left
     mixed = members.where("n > 2").select("bucket", "id")
-    for draw in range(1, DRAWS + 1):
-        mixed = staged(_mixed(mixed, roots), "mixed")
-        if draw < DRAWS:
-            hubs = _drawn(mixed, draw)
-            rooted = mixed.join(hubs, "bucket")
-            hub_roots = mixed.select(F.col("bucket"), F.col("id").alias("hub"), F.col("root").alias("hub_root"))
+    draw, more = 0, True
+    while True:
+        mixed = staged(_mixed(mixed.select("bucket", "id"), roots), "mixed")
+        if more:
+            draw += 1
+            rooted = mixed.join(_drawn(mixed, draw), "bucket")
+            hub_roots = mixed.select("bucket", F.col("id").alias("hub"), F.col("root").alias("hub_root"))
             pairs = rooted.join(hub_roots, ["bucket", "hub"]).where("root != hub_root").select(
                 *_pair("id", "hub")).distinct()
         else:
             pairs = _rare_pairs(mixed.select("id", "root").distinct(), sets, threshold)
         found = staged(verified(pairs), "links")
-        if not found.isEmpty():
+        n = found.count()
+        if n:
             roots = _merged(roots, found)
-        mixed = mixed.select("bucket", "id")
+        if not more:
+            break
+        more = n > merging * mixed.count()
     own = roots.select(F.col("root").alias("id")).distinct().withColumn("root", F.col("id"))
     return roots.unionByName(own)
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import atexit
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +33,26 @@ def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch() -> Iterator[list[str]]:
+    """The paths that operators stage inside the block, for ``remove``."""
+    start = len(_MADE)
+    paths: list[str] = []
+    try:
+        yield paths
+    finally:
+        paths += [p for _, p in _MADE[start:]]
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes stages whose readers are done."""
+    for path in paths:
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+        jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+    gone = set(paths)
+    _MADE[:] = [x for x in _MADE if x[1] not in gone]
+
+
 # A staged table of keys up to this many rows (tens of MB) is broadcast;
 # beyond it the same join shuffles.
 BROADCAST_ROWS = 1_000_000
