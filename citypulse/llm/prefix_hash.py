@@ -19,6 +19,7 @@ characters use one span; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 from collections.abc import Iterator
 
@@ -32,6 +33,7 @@ from citypulse.llm.stage import staged
 
 WIDTH = 8
 SKETCH = 32
+ROWS = 512  # result rows held before they are handed on
 # two primes below 2**31: products of residues fit in 62 bits
 PRIMES = (2147483647, 2147483629)
 BASES = (1000003, 998244353)
@@ -114,19 +116,21 @@ def sketch(windows: np.ndarray) -> np.ndarray:
 
 
 def encode(n: int, whole: int, least: np.ndarray) -> str:
-    return f"{n:x}.{whole:016x}." + "".join(f"{int(v):012x}" for v in least)
+    """Length, whole-text hash, and the sketch as six bytes a hash in base 64."""
+    raw = least.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+    return f"{n:x}.{whole:016x}." + base64.urlsafe_b64encode(raw).decode()
 
 
 def likeness(a: str, b: str) -> float:
     """Jaccard estimate from two fingerprints; 1 when they are equal."""
     if a == b:
         return 1.0
-    x, y = (f.rsplit(".", 1)[1] for f in (a, b))
-    sx, sy = ({s[i:i + 12] for i in range(0, len(s), 12)} for s in (x, y))
+    raw = (base64.urlsafe_b64decode(f.rsplit(".", 1)[1]) for f in (a, b))
+    sx, sy = ({r[i:i + 6] for i in range(0, len(r), 6)} for r in raw)
     union = sorted(sx | sy)[:SKETCH]
     if not union:
         return 0.0
-    return min(sum(v in sx and v in sy for v in union) / len(union), 1.0)
+    return sum(v in sx and v in sy for v in union) / len(union)
 
 
 class Text:
@@ -180,7 +184,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         first = last = None
-        for b in batches:
+        for b in (b.slice(k, ROWS) for b in batches for k in range(0, b.num_rows, ROWS)):
             ids, rows = [], []
             for i, t in zip(b.column("id").to_pylist(), b.column("text")):
                 this = (i, Text(t.as_py()))
