@@ -2,9 +2,11 @@
 
 1. Every member of a bucket is paired with one member of it, drawn by a hash,
    and the pair is verified exactly: linear in the bucket.
-2. Verified pairs give components. Buckets whose members fall in several
-   components are drawn again, over pairs of different components only, for as
-   long as a draw still merges a notable share of them.
+2. Verified pairs give components. Where a bucket's members fall in several
+   components, a bucket of at most ``FEW`` members, whose pairs are bounded, has
+   its pairs of different components verified; a larger one is drawn again, over
+   pairs of different components only, for as long as a draw still merges a
+   notable share of them.
 3. What still mixes components is joined exactly: tokens are ordered from rare
    to frequent, and two sets whose similarity reaches the threshold must share
    one of their first few tokens at places that leave room for the overlap
@@ -25,6 +27,7 @@ from pyspark.sql import functions as F
 from citypulse.llm.components import components
 from citypulse.llm.stage import staged
 
+FEW = 8  # members of a bucket whose pairs are verified directly
 Features = Callable[[DataFrame], DataFrame]
 
 
@@ -64,9 +67,15 @@ def link(buckets: DataFrame, features: Features, threshold: float, merging: floa
 
     links = staged(verified(members.where("id != hub").select(*_pair("id", "hub")).distinct()), "links")
     roots = components(links)
-    # a bucket of two has no pair left
-    mixed = members.where("n > 2").select("bucket", "id")
-    draw, more = 0, True
+    # a bucket of two has no pair left; one of a few members has a few pairs
+    mixed = staged(_mixed(members.where("n > 2").select("bucket", "id", "n"), roots), "mixed")
+    few = mixed.where(F.col("n") <= FEW)
+    other = few.select("bucket", F.col("id").alias("b"), F.col("root").alias("b_root"))
+    pairs = few.join(other, "bucket").where("id < b and root != b_root").select(F.col("id").alias("a"), "b").distinct()
+    found = staged(verified(pairs), "links")
+    if not found.isEmpty():
+        roots = _merged(roots, found)
+    mixed, more, draw = mixed.where(F.col("n") > FEW), True, 0
     while True:
         mixed = staged(_mixed(mixed.select("bucket", "id"), roots), "mixed")
         if more:
@@ -89,8 +98,8 @@ def link(buckets: DataFrame, features: Features, threshold: float, merging: floa
 
 
 def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """(bucket, id, root) of the buckets that hold several components."""
-    rooted = members.join(roots, "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("root"))
+    """Members of the buckets that hold several components, with their roots."""
+    rooted = members.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     several = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     return rooted.join(several.where("low < high").select("bucket"), "bucket")
 
