@@ -44,7 +44,7 @@ SHINGLE = 5
 ROWS, BANDS = 5, 24  # an overlap of 0.8 meets in some band with probability 0.9999
 REGISTERS = ROWS * BANDS
 THRESHOLD = 0.8
-MERGING = 0.002  # whole documents are worth more draws before the exact join
+MERGING = 0.02  # whole documents are worth more draws before the exact join
 
 
 def _uniform(x: np.ndarray) -> np.ndarray:

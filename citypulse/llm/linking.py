@@ -46,7 +46,7 @@ def _pair(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def link(buckets: DataFrame, features: Features, threshold: float, merging: float = 0.02) -> DataFrame:
+def link(buckets: DataFrame, features: Features, threshold: float, merging: float = 0.1) -> DataFrame:
     """``buckets`` (bucket, id) -> (id, root) of every linked id, roots included.
     ``features`` takes ids and returns (id, s): their token sets. Draws go on
     while one links more than the share ``merging`` of the members that are
