@@ -53,3 +53,13 @@ def test_odd_rows_pass_every_stage(spark, odd_docs):
 def test_run_equals_its_stages(spark):
     sf = "/root/testdata/sf0.001"
     assert C.run(spark, sf).count() > 0
+
+
+def test_leaks_are_dropped_by_row(spark):
+    """Null ids are dropped too; a clean text under the id of a leak stays."""
+    sf = "/root/testdata/sf0.001"
+    item = max((r.text for r in spark.read.parquet(os.path.join(sf, "benchmark.parquet")).collect()), key=len)
+    rows = [(None, f"held here {item} in full"), (None, "nothing of the kind"), (1, f"again {item}"), (1, "own words")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {tuple(r) for r in dict(C.STAGES)["decontaminate"](spark, df, sf).collect()}
+    assert got == {rows[1], rows[3]}
