@@ -14,9 +14,10 @@ from citypulse.functions import scalar as S
 from citypulse.operators import curves as CU
 from citypulse.operators import metrics as MT
 from citypulse.operators import splits as SP
-from citypulse.operators.clean import threshold_band
+from citypulse.operators.clean import resolve_features, threshold_band
 from citypulse.operators.encode import TargetEncoder, pop_standardize
 from citypulse.operators.materialize import materialize, stage
+from citypulse.operators.models import boosting as B
 from citypulse.operators.models import cluster as CL
 from citypulse.operators.models import isoforest as ISO
 from citypulse.operators.models import supervised as SV
@@ -43,6 +44,13 @@ MOB_LOAD_FEATURES = [
 ]
 MOB_CLS_FEATURES = ["zone_encoded", "line_encoded", "mode_encoded", "hour", "rush_hour",
                     "is_weekend", "congestion_index", "charge_estimee"]
+# The reference's boosting parameters.
+ECO_BOOST = dict(rounds=300, depth=4, step=0.03, subsample=0.8, colsample=0.8, min_child_weight=5, gamma=0.05,
+                 reg_alpha=0.3, reg_lambda=1.5)
+ECO_PATIENCE = 30
+LOAD_BOOST = dict(rounds=300, depth=6, step=0.05, subsample=0.8, colsample=0.8, min_child_weight=3, reg_alpha=0.1,
+                  reg_lambda=1.0)
+CANCELLATION_BOOST = dict(rounds=300, depth=5, step=0.05, subsample=0.8, colsample=0.8, min_child_weight=3)
 SAFE_FEATURES = ["zone_encoded", "mode_encoded", "annee", "mois", "volume_crimes",
                  "taux_criminalite", "usagers_vulnerables", "crime_rate_scaled"]
 SAFE_LEAKY = ["has_accident", "gravite_index"]
@@ -87,27 +95,32 @@ def eco_co2_models(features: DataFrame, max_iter: int = 300, min_train: int = 20
     status): a mode with fewer than ``min_train`` training rows or no test row
     is skipped and says so."""
     df = eco_training_frame(features)
-    train, test = df.where(F.col("is_test") == 0), df.where(F.col("is_test") == 1)
-    # the distinct modes form a small dimension: one distributed fit per mode
+    test = df.where(F.col("is_test") == 1)
+    # the distinct modes form a small dimension: one fit per mode, all in shared passes
     sizes = sorted(df.groupBy("mode_sk").agg(F.sum(1 - F.col("is_test")).alias("n_tr"),
                                              F.sum("is_test").alias("n_te")).collect(),
                    key=lambda r: (r["mode_sk"] is None, r["mode_sk"]))
     status = [(r["mode_sk"], int(r["n_tr"]), int(r["n_te"]),
                f"skipped: fewer than {min_train} training rows" if r["n_tr"] < min_train
                else "skipped: no test rows" if r["n_te"] == 0 else "fitted") for r in sizes]
+    modes = [None, *[m for m, _, _, s in status if s == "fitted" and m is not None]]
+
+    def spec(mode) -> B.Fit:
+        mine = F.lit(True) if mode is None else F.col("mode_sk") == mode
+        old = mine & (F.col("is_test") == 0)
+        wanted = ECO_FEATURES_COMBINED if mode is None else ECO_FEATURES_PER_MODE
+        return B.Fit("co2_log", tuple(resolve_features(df, wanted)), old & ~F.col("is_val"), old & F.col("is_val"),
+                     patience=ECO_PATIENCE, **{**ECO_BOOST, "rounds": max_iter})
+
+    models = B.boost(df, [spec(m) for m in modes], "fact_impact_sk")
 
-    def one(mode):
-        every = mode is None
-        rows, held = (train, test) if every else (train.where(F.col("mode_sk") == mode),
-                                                  test.where(F.col("mode_sk") == mode))
-        model = fit(SV.gbt_regressor("co2_log", max_iter, validation_col="is_val"), rows,
-                    ECO_FEATURES_COMBINED if every else ECO_FEATURES_PER_MODE)
+    def scored(mode, model: B.Boosted) -> DataFrame:
+        held = test if mode is None else test.where(F.col("mode_sk") == mode)
         return model.transform(held).select(
-            F.lit("combined" if every else "per_mode").alias("model"), "fact_impact_sk", "zone_sk", "mode_sk", "time_sk",
-            "annee_mois_dt", "co2_kg", F.expm1("prediction").alias("co2_pred"))
+            F.lit("combined" if mode is None else "per_mode").alias("model"), "fact_impact_sk", "zone_sk", "mode_sk",
+            "time_sk", "annee_mois_dt", "co2_kg", F.expm1("prediction").alias("co2_pred"))
 
-    scored = _concurrently(one, [None, *[m for m, _, _, s in status if s == "fitted"]])
-    return _union(scored), status
+    return _union([scored(*x) for x in zip(modes, models)]), status
 
 
 def eco_co2_regression(features: DataFrame, max_iter: int = 300, min_train: int = 20) -> DataFrame:
@@ -140,12 +153,25 @@ def eco_tree_grid(features: DataFrame) -> DataFrame:
     df = eco_training_frame(features)
     train = SP.contiguous_kfold(df.where(F.col("is_test") == 0),
                                 ["zone_sk", "mode_sk", "annee_mois_dt", "time_sk", "fact_impact_sk"], 3)
-    est = SV.gbt_regressor("co2_log")
-    # The grid.
+    # The grid. A fit of fewer rounds is the beginning of a longer one.
     points = [(n, d, lr) for n in (100, 200) for d in (3, 5) for lr in (0.05, 0.1)]
-    grid = [{est.maxIter: n, est.maxDepth: d, est.stepSize: lr} for n, d, lr in points]
-    avg, std = SV.cross_validate_fixed_folds(est, train, ECO_FEATURES_COMBINED, "co2_log", "fold", grid)
-    return SV.grid_table(df.sparkSession, ["n_rounds", "max_depth", "step"], points, avg, std)
+    return _boosted_grid(train, "co2_log", ECO_FEATURES_COMBINED, "fact_impact_sk", ["n_rounds", "max_depth", "step"],
+                         points, lambda p: dict(depth=p[1], step=p[2], subsample=0.8, colsample=0.8), 3)
+
+
+def _boosted_grid(df: DataFrame, label: str, features: list[str], key: str, names: list[str], points: list[tuple],
+                  params, k: int) -> DataFrame:
+    """X7 + X4: every (grid point, fold) in shared passes; ``points`` begin with
+    their rounds, points that differ in them only share a fit."""
+    fits = {p[1:]: max(q[0] for q in points if q[1:] == p[1:]) for p in points}
+    cols = tuple(resolve_features(df, features))
+    specs = [B.Fit(label, cols, F.col("fold") != f, rounds=n, **params((n, *rest)))
+             for rest, n in fits.items() for f in range(k)]
+    models = B.boost(df, specs, key)
+    by_fit = {rest: models[i * k:(i + 1) * k] for i, rest in enumerate(fits)}
+    found = B.cv_rmse(df, {f"p{i}": [m.first(p[0]) for m in by_fit[p[1:]]] for i, p in enumerate(points)}, label)
+    avg, std = zip(*(found[f"p{i}"] for i in range(len(points))))
+    return SV.grid_table(df.sparkSession, names, points, list(avg), list(std))
 
 
 def eco_correlations(features: DataFrame) -> DataFrame:
@@ -279,8 +305,9 @@ def eco_future_predictions(features: DataFrame, max_iter: int = 300) -> DataFram
     glob = features.agg(F.avg("co2_kg").alias("g")).select("g").scalar()
     grid = grid.join(enc, "mode_sk", "left").withColumn("mode_co2_mean", F.coalesce("mode_co2_mean", glob))
     features = stage(features, "eco-features")
-    co2, nrj = _concurrently(lambda t: fit(SV.gbt_regressor(t, max_iter), features, ECO_FEATURES_COMBINED),
-                             ["co2_log", "energie_log"])
+    cols = tuple(resolve_features(features, ECO_FEATURES_COMBINED))
+    co2, nrj = B.boost(features, [B.Fit(t, cols, F.lit(True), **{**ECO_BOOST, "rounds": max_iter})
+                                  for t in ("co2_log", "energie_log")], "fact_impact_sk")
     p = co2.transform(grid).withColumn("co2_predicted", S.round_half_even(F.expm1("prediction"), 2))
     keep = ["zone_sk", "mode_sk", "annee", "mois", "annee_mois_dt", "co2_predicted"]
     p = p.select(*keep, *[c for c in ECO_FEATURES_COMBINED if c not in keep])
@@ -294,35 +321,29 @@ def eco_future_predictions(features: DataFrame, max_iter: int = 300) -> DataFram
 
 # -- mobility -----------------------------------------------------------------
 
-LOAD_ROUNDS, LOAD_DEPTH, LOAD_STEP = 300, 6, 0.05
-
-
-def mob_load_regression(features: DataFrame, max_iter: int = LOAD_ROUNDS) -> DataFrame:
+def mob_load_regression(features: DataFrame, max_iter: int = LOAD_BOOST["rounds"]) -> DataFrame:
     """L1 + X2 + E2 + X4/M3 + M1: boosted load regression with leakage-free
-    encodings; 5-fold contiguous CV RMSE on the training rows, test metrics."""
+    encodings; 5-fold contiguous CV RMSE on the training rows, test metrics.
+    The folds' models and the final one grow in the same passes."""
     enc = stage(M.load_encodings(features), "load")
     train, test = enc.where(F.col("is_test") == 0), enc.where(F.col("is_test") == 1)
-    folds = SP.contiguous_kfold(train, ["fact_mob_sk"], 5)
-    est = SV.gbt_regressor("charge_estimee", max_iter, LOAD_DEPTH, LOAD_STEP, min_rows=3)
-
-    def part(cv: bool):
-        if cv:
-            return SV.cross_validate_fixed_folds(est, folds, MOB_LOAD_FEATURES, "charge_estimee", "fold")
-        return fit(est, train, MOB_LOAD_FEATURES)
-
-    (avg, std), model = _concurrently(part, [True, False])
+    folds = stage(SP.contiguous_kfold(train, ["fact_mob_sk"], 5), "load-folds")
+    params = {**LOAD_BOOST, "rounds": max_iter}
+    cols = tuple(resolve_features(enc, MOB_LOAD_FEATURES))
+    fits = [B.Fit("charge_estimee", cols, F.lit(True) if k < 0 else F.col("fold") != k, **params) for k in (-1, *range(5))]
+    model, *cv = B.boost(folds, fits, "fact_mob_sk")
+    avg, std = B.cv_rmse(folds, {"rmse": cv}, "charge_estimee")["rmse"]
     m = MT.regression_metrics(model.transform(test), "charge_estimee", "prediction")
-    return m.select("n", "rmse", "mae", "r2", F.lit(float(avg[0])).alias("cv_rmse_mean"),
-                    F.lit(float(std[0])).alias("cv_rmse_std"), F.lit(max_iter).alias("rounds"),
-                    F.lit(LOAD_DEPTH).alias("max_depth"))
+    return m.select("n", "rmse", "mae", "r2", F.lit(avg).alias("cv_rmse_mean"), F.lit(std).alias("cv_rmse_std"),
+                    F.lit(max_iter).alias("rounds"), F.lit(params["depth"]).alias("max_depth"))
 
 
-def mob_load_predictions(features: DataFrame, max_iter: int = LOAD_ROUNDS) -> DataFrame:
+def mob_load_predictions(features: DataFrame, max_iter: int = LOAD_BOOST["rounds"]) -> DataFrame:
     """L14 + IO7 + BI5: predicted load of every trip, with its join keys and
     whether the trip was held out of training."""
     enc = stage(M.load_encodings(features), "load")
-    model = fit(SV.gbt_regressor("charge_estimee", max_iter, LOAD_DEPTH, LOAD_STEP, min_rows=3),
-                enc.where(F.col("is_test") == 0), MOB_LOAD_FEATURES)
+    model, = B.boost(enc, [B.Fit("charge_estimee", tuple(resolve_features(enc, MOB_LOAD_FEATURES)), F.col("is_test") == 0,
+                                 **{**LOAD_BOOST, "rounds": max_iter})], "fact_mob_sk")
     return model.transform(enc).select(
         "fact_mob_sk", "time_sk", "zone_sk", "line_sk", "mode_sk", "charge_estimee",
         F.greatest(F.col("prediction"), F.lit(0.0)).alias("charge_predicted"), "is_test")
@@ -331,12 +352,10 @@ def mob_load_predictions(features: DataFrame, max_iter: int = LOAD_ROUNDS) -> Da
 def mob_tree_grid(features: DataFrame) -> DataFrame:
     """Boosted load trees over the reference's 4-point grid, 3 contiguous folds."""
     enc = stage(M.load_encodings(features), "load")
-    folds = SP.contiguous_kfold(enc.where(F.col("is_test") == 0), ["fact_mob_sk"], 3)
-    est = SV.gbt_regressor("charge_estimee", step=0.3)
+    folds = stage(SP.contiguous_kfold(enc.where(F.col("is_test") == 0), ["fact_mob_sk"], 3), "load-folds")
     points = [(n, d) for n in (100, 200) for d in (3, 5)]  # Fixed values: the grid.
-    grid = [{est.maxIter: n, est.maxDepth: d} for n, d in points]
-    avg, std = SV.cross_validate_fixed_folds(est, folds, MOB_LOAD_FEATURES, "charge_estimee", "fold", grid)
-    return SV.grid_table(enc.sparkSession, ["n_rounds", "max_depth"], points, avg, std)
+    return _boosted_grid(folds, "charge_estimee", MOB_LOAD_FEATURES, "fact_mob_sk", ["n_rounds", "max_depth"], points,
+                         lambda p: dict(depth=p[1]), 3)
 
 
 def _cancellation_model(features: DataFrame, max_iter: int):
@@ -345,14 +364,16 @@ def _cancellation_model(features: DataFrame, max_iter: int):
         raise ValueError("no positive rows: cancellation model cannot be trained")
     df = SP.stratified_split(features, "retard_flag", "fact_mob_sk", 0.2, 42)
     df = stage(SV.pos_weight(df, "retard_flag"), "cancellation")
-    return fit(SV.gbt_classifier("retard_flag", "w", max_iter), df.where(F.col("is_test") == 0), MOB_CLS_FEATURES), df
+    model, = B.boost(df, [B.Fit("retard_flag", tuple(resolve_features(df, MOB_CLS_FEATURES)), F.col("is_test") == 0,
+                                weight="w", objective="logistic", **{**CANCELLATION_BOOST, "rounds": max_iter})],
+                     "fact_mob_sk")
+    return model, df
 
 
 def mob_cancellation_predictions(features: DataFrame, max_iter: int = 300) -> DataFrame:
     """L14 + P18 + IO7 + BI5: cancellation probability and risk band of every trip."""
     model, df = _cancellation_model(features, max_iter)
-    scored = positive_probability(model.transform(df))
-    return scored.withColumn("risk_label", threshold_band("proba")).select(
+    return model.transform(df, "proba").withColumn("risk_label", threshold_band("proba")).select(
         "fact_mob_sk", "time_sk", "zone_sk", "line_sk", "mode_sk", "retard_flag", "proba", "risk_label", "is_test")
 
 
@@ -361,7 +382,7 @@ def mob_cancellation(features: DataFrame, max_iter: int = 300) -> DataFrame:
     classifier on a stratified split; AUC, confusion at 0.5, best-F1
     threshold, and the number of trips per risk band."""
     model, df = _cancellation_model(features, max_iter)
-    scored = positive_probability(model.transform(df)).withColumn("risk_label", threshold_band("proba"))
+    scored = model.transform(df, "proba").withColumn("risk_label", threshold_band("proba"))
     scored = stage(scored.select("retard_flag", "is_test", "proba", "risk_label"), "cancellation-scored")
     held = scored.where(F.col("is_test") == 1)
     auc = CU.roc_auc(held, "retard_flag", "proba").select("auc").scalar()
@@ -412,8 +433,9 @@ def mob_ar_boost(features: DataFrame, max_iter: int = 100) -> DataFrame:
     d = SP.tail_holdout(d, ["zone_sk"], ["ds"], horizon=30).dropna(subset=["lag_1", "lag_7"])
     d = d.withColumn("dow", F.dayofweek("ds")).withColumn("zone", F.col("zone_sk").cast("double"))
     cols = ["lag_1", "lag_7", "lag_14", "rolling_7_mean", "dow", "zone"]
+    d = stage(d, "ar-boost")
     train, test = d.where(F.col("is_holdout") == 0), d.where(F.col("is_holdout") == 1)
-    model = fit(SV.gbt_regressor("y", max_iter, 3, 0.3), train, cols)
+    model, = B.boost(train, [B.Fit("y", tuple(cols), F.lit(True), rounds=max_iter, depth=3)], F.xxhash64("zone_sk", "ds"))
     p = model.transform(test)
     m = MT.regression_metrics(p, "y", "prediction")
     mp = MT.mape(p, "y", "prediction").select("mape").scalar()

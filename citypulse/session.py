@@ -37,6 +37,8 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
         .config("spark.default.parallelism", str(cpus))
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        # Python workers of this machine are reached without TCP's acknowledgement delays
+        .config("spark.python.unix.domain.socket.enabled", "true")
         # small local inputs: let AQE keep enough partitions to use every core
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
     )
