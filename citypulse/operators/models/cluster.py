@@ -1,10 +1,10 @@
 """Clustering (L4, L6-L8) and cluster-quality metrics.
 
-K-Means, bisecting K-Means and PCA are MLlib (distributed). Quality metrics
+K-Means and PCA are MLlib (distributed); Ward is in ``models/ward.py``. Quality metrics
 are aggregates: inertia and scatter are sums of distances to the row's
-centroid, Davies-Bouldin joins the k centroids with themselves, and the
-silhouette is MLlib's squared-Euclidean one, O(n*k). No metric compares all
-pairs of rows, so the same code serves ten zones and a billion rows.
+centroid, Davies-Bouldin joins the k centroids with themselves. The silhouette
+is the exact Euclidean one (``models/silhouette.py``, for profiles: quadratic
+work); ``squared_silhouette`` is MLlib's linear form for tables of facts.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml.clustering import BisectingKMeans, KMeans
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from citypulse.operators.materialize import materialize
+from citypulse.operators.models.silhouette import silhouette
+from citypulse.operators.models.ward import ward
 
 
 def _vec(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
@@ -74,8 +76,8 @@ def davies_bouldin(assigned: DataFrame, cols: Sequence[str], label: str = "clust
     return worst.agg(F.avg("r").alias("davies_bouldin"))
 
 
-def silhouette(assigned: DataFrame, cols: Sequence[str], label: str = "cluster_id") -> float | None:
-    """M9: squared-Euclidean silhouette; None where it is undefined (a single
+def squared_silhouette(assigned: DataFrame, cols: Sequence[str], label: str = "cluster_id") -> float | None:
+    """Squared-Euclidean silhouette; None where it is undefined (a single
     cluster, or no row)."""
     if len(assigned.select(label).distinct().limit(2).collect()) < 2:
         return None
@@ -152,14 +154,6 @@ def pca2(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                  .drop("features", "pc"))
 
 
-def hierarchical_clusters(df: DataFrame, cols: Sequence[str], k: int = 3, seed: int = 42) -> DataFrame:
-    """Hierarchical clusters by bisecting K-Means, which like Ward splits
-    by the sum of squared distances but top-down and distributed; labels are
-    numbered by their clusters' first column means."""
-    data = materialize(_vec(df, cols))
-    model = BisectingKMeans(k=k, seed=seed, maxIter=100, featuresCol="features", predictionCol="_c").fit(data)
-    out = model.transform(data).drop("features")
-    order = Window.orderBy(*[f"_m{i}" for i in range(len(cols))])  # k rows
-    means = out.groupBy("_c").agg(*[F.avg(c).alias(f"_m{i}") for i, c in enumerate(cols)])
-    names = means.select("_c", (F.row_number().over(order) - 1).cast("int").alias("ward_cluster"))
-    return out.join(names, "_c").drop("_c")
+def hierarchical_clusters(df: DataFrame, cols: Sequence[str], k: int = 3) -> DataFrame:
+    """``df`` with its Ward cluster of ``k``."""
+    return ward(df, cols, k)[0]

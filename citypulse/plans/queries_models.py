@@ -160,12 +160,18 @@ def safe_zone_clusters(w):
     return TR.safe_zone_clusters(_safe(w))
 
 
-@register("safe_ward_clusters", "L6", "zone_sk:i ward_cluster:i")
+@register("safe_ward_clusters", "L6", "zone_sk:i ward_cluster:i merge_height:f")
 def safe_ward_clusters(w):
-    """Hierarchical (bisecting) clusters of the zone risk profile (3 clusters)."""
+    """Ward clusters of the zone risk profile (3 clusters)."""
     return TR.safe_ward(_safe(w))
 
 
+@register("safe_ward_merges", "L6", "step:i left:i right:i height:f size:i")
+def safe_ward_merges(w):
+    """Merge table of the Ward hierarchy over the zone risk profile."""
+    return TR.safe_ward_merges(_safe(w))
+
+
 @register("safe_isolation_forest", "L10 E1",
           "zone_sk:i time_sk:i annee:i mois:i anomaly_score:f is_anomaly:i anomaly_label:s")
 def safe_isolation_forest(w):

@@ -23,6 +23,7 @@ from citypulse.operators.models import isoforest as ISO
 from citypulse.operators.models import supervised as SV
 from citypulse.operators.models.common import fit, importances, positive_probability
 from citypulse.operators.models.svm_rff import RFFSVM
+from citypulse.operators.models.ward import ward
 from citypulse.plans import ecology as E
 from citypulse.plans import mobility as M
 from citypulse.plans import safety as SF
@@ -549,10 +550,18 @@ def safe_zone_clusters(features: DataFrame, k: int = 3, n_init: int = 20) -> Dat
 
 
 def safe_ward(features: DataFrame, k: int = 3) -> DataFrame:
-    """Hierarchical clusters of the scaled zone risk profile."""
-    prof = pop_standardize(SF.zone_risk_profile(features), SAFE_CLUSTER)
-    cols = [f"{c}_scaled" for c in SAFE_CLUSTER]
-    return CL.hierarchical_clusters(prof, cols, k).select("zone_sk", "ward_cluster")
+    """Ward clusters of the scaled zone risk profile; ``merge_height`` is the
+    height at which a zone's cluster meets another one."""
+    prof = materialize(pop_standardize(SF.zone_risk_profile(features), SAFE_CLUSTER))
+    out, merges = ward(prof, [f"{c}_scaled" for c in SAFE_CLUSTER], k)
+    last = merges.orderBy(F.desc("step")).limit(max(k - 1, 1)).agg(F.min("height").alias("h"))
+    return out.select("zone_sk", "ward_cluster", last.select("h").scalar().alias("merge_height"))
+
+
+def safe_ward_merges(features: DataFrame) -> DataFrame:
+    """The merge table of the zone risk profile's Ward hierarchy."""
+    prof = materialize(pop_standardize(SF.zone_risk_profile(features), SAFE_CLUSTER))
+    return ward(prof, [f"{c}_scaled" for c in SAFE_CLUSTER])[1]
 
 
 def safe_anomalies(features: DataFrame, n_trees: int = 300) -> DataFrame:
