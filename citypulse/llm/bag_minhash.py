@@ -22,8 +22,9 @@ shingles of candidate documents only.
 Cases: a text with fewer than five words has one shingle of all its words; a
 text without words (null, empty, punctuation only) is compared by equality,
 null and blank texts being in no class but their own; rows of one id are
-told apart by their digest; the class is named by its least doc_id; ties keep
-the least doc_id; clashing extra columns are ignored; an empty table gives an
+told apart by their digest; the class is named by its least doc_id, null where
+none of its rows has an id; ``keep`` marks the rows of that id, more than one
+where rows share it (``one_of_each`` picks one); clashing extra columns are ignored; an empty table gives an
 empty result.
 """
 
@@ -106,8 +107,10 @@ def _bag(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray,
 
 
 def signatures(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, d1, d2, n_words, bands array) per row; map only."""
-    source = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    """(id, mark, d1, d2, n_words, bands array) per row; map only. ``mark`` is the
+    digest of the text itself."""
+    source = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
+                       F.xxhash64(F.col(text_col)).alias("mark"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -130,26 +133,26 @@ def signatures(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.arange(n + 1, dtype=np.int32) * BANDS), flat)
                 yield pa.RecordBatch.from_arrays(
-                    [some.column("id"), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)),
+                    [some.column("id"), some.column("mark"), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)),
                      pa.array(size.astype(np.int64)), lists],
-                    ["id", "d1", "d2", "n_words", "bands"])
+                    ["id", "mark", "d1", "d2", "n_words", "bands"])
 
-    return source.mapInArrow(run, "id long, d1 long, d2 long, n_words long, bands array<long>")
+    return source.mapInArrow(run, "id long, mark long, d1 long, d2 long, n_words long, bands array<long>")
 
 
-def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``df``: (doc_id, class_id, copy_of, n_words, keep).
-    ``copy_of`` is the least id with the same words; ``keep`` marks the one
-    row of each class that stays."""
+def _members(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, mark, n_words, copy_of, class_id, root) per row; ``root`` tells
+    classes apart whatever their ids."""
     sig = staged(signatures(df, id_col, text_col), "op4-signatures")
     # null and blank texts (d2 = 0 and no words) stay alone
     lone = (F.col("n_words") == 0) & (F.col("d2") == 0)
     rep = sig.where(~lone).groupBy("d1", "d2").agg(F.min("id").alias("rep"))
-    member = staged(sig.where(~lone).select("id", "d1", "d2", "n_words").join(rep, ["d1", "d2"]), "op4-members")
-    # an id may occur on several rows with different texts: the node is (id, digest)
+    member = staged(sig.where(~lone).select("id", "mark", "d1", "d2", "n_words").join(rep, ["d1", "d2"]), "op4-members")
+    # texts of the same words are one node, named by the digest; the row that stands for it is the least id's
+    reps = member.where("id <=> rep").select(F.col("id").alias("r"), F.col("d1").alias("r1"), F.col("d2").alias("r2")).distinct()
     marks = sig.where(~lone & (F.col("n_words") > 0)).join(
-        member.where("id = rep").select("id", "d1", "d2").distinct(), ["id", "d1", "d2"], "left_semi")
-    marks = marks.dropDuplicates(["d1", "d2"]).withColumn("node", F.xxhash64("id", "d1"))
+        reps, F.col("id").eqNullSafe(F.col("r")) & (F.col("d1") == F.col("r1")) & (F.col("d2") == F.col("r2")), "left_semi")
+    marks = marks.dropDuplicates(["d1", "d2"]).withColumn("node", F.xxhash64("d1", "d2"))
     marks = staged(marks.select("node", "id", "d1", "bands"), "op4-nodes")
     buckets = marks.select(F.explode("bands").alias("bucket"), F.col("node").alias("id"))
 
@@ -157,22 +160,50 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         wanted = staged(marks.select(F.col("node").alias("id"), F.col("id").alias("doc"), "d1").join(
             ids, "id"), "op4-wanted")
         # only the documents of some bucket are shingled again; texts stay where they are
+        side = small_side(wanted.select(F.col("doc").alias("w")).distinct())
         docs = df.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).join(
-            small_side(wanted.select("doc")), "doc", "left_semi")
-        return _bags(docs).join(wanted, ["doc", "d1"]).select("id", "s").dropDuplicates(["id"])
+            side, F.col("doc").eqNullSafe(F.col("w")), "left_semi")
+        named = wanted.withColumnsRenamed({"doc": "w", "d1": "w1"})
+        found = _bags(docs).join(named, F.col("doc").eqNullSafe(F.col("w")) & (F.col("d1") == F.col("w1")))
+        return found.select("id", "s").dropDuplicates(["id"])
 
     linked = link(buckets, features, THRESHOLD, MERGING)
-    named = linked.join(marks.select(F.col("node").alias("id"), F.col("id").alias("rep"), "d1"), "id")
+    named = linked.join(marks.select(F.col("node").alias("id"), F.col("id").alias("rep")), "id")
     least = named.groupBy("root").agg(F.min("rep").alias("class_id"))
-    named = named.join(least, "root").select("rep", "d1", "class_id")
-    out = member.join(named, ["rep", "d1"], "left").select(
-        "id", "n_words", F.col("rep").alias("copy_of"), F.coalesce("class_id", "rep").alias("class_id"))
-    alone = sig.where(lone).select("id", "n_words", F.col("id").alias("copy_of"), F.col("id").alias("class_id"))
-    return out.unionByName(alone).select(
+    named = named.join(least, "root").select(F.col("id").alias("node"), "root", "class_id")
+    out = member.withColumn("node", F.xxhash64("d1", "d2")).join(named, "node", "left").select(
+        "id", "mark", "n_words", F.col("rep").alias("copy_of"),
+        F.when(F.col("root").isNull(), F.col("rep")).otherwise(F.col("class_id")).alias("class_id"),
+        F.coalesce("root", "node").alias("root"))
+    alone = sig.where(lone).select("id", "mark", "n_words", F.col("id").alias("copy_of"), F.col("id").alias("class_id"),
+                                   F.lit(None).cast("long").alias("root"))
+    return out.unionByName(alone)
+
+
+def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``df``: (doc_id, class_id, copy_of, n_words, keep).
+    ``copy_of`` is the least id with the same words."""
+    return _members(df, id_col, text_col).select(
         F.col("id").alias(id_col), "class_id", "copy_of", "n_words",
         F.col("id").eqNullSafe(F.col("class_id")).alias("keep"))
 
 
+def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``df`` with one row of each class: that of its least (id, text digest),
+    rows without an id last; null and blank texts stay."""
+    rows = staged(_members(df, id_col, text_col).select("id", "mark", "root"), "op4-rows")
+    counted = rows.where(F.col("root").isNotNull()).groupBy("root", "id", "mark").agg(F.count(F.lit(1)).alias("n"))
+    first = counted.groupBy("root").agg(
+        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark", "n")).alias("x")).select("x.id", "x.mark", "x.n")
+    alone = rows.where(F.col("root").isNull()).select("id", "mark").distinct().withColumn("n", F.lit(1).cast("long"))
+    stay = staged(first.unionByName(alone).select(F.col("id").alias("__id"), F.col("mark").alias("__mark"), "n"), "op4-stay")
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(F.col(text_col)) == F.col("__mark"))
+    once = df.join(stay.where("n = 1"), same, "left_semi")
+    # equal rows: one of them
+    again = df.join(stay.where("n > 1"), same, "left_semi").dropDuplicates([id_col, text_col])
+    return once.unionByName(again)
+
+
 def _bags(docs: DataFrame) -> DataFrame:
     """(doc, d1, s): each multiset as a set of (shingle, k-th occurrence) codes,
     so that its weighted overlap is the plain overlap of the codes."""

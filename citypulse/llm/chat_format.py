@@ -137,26 +137,33 @@ def canonical(df: DataFrame, record_col: str = "record", id_col: str | None = No
             out: list[tuple] = []
             for i, raw in zip(b.column("id").to_pylist(), b.column("record")):
                 raw = raw.as_py()
+                mark = None
                 try:
                     record = json.loads(raw) if raw is not None else None
-                except ValueError:
-                    record = None
-                mark, m = None, None
-                if isinstance(record, dict):
-                    names = paths(record)
-                    mark = fingerprint(names)
-                    if mark not in chosen:
-                        if len(chosen) > 10_000:
-                            chosen.clear()
-                        chosen[mark] = choose(names)
-                    m = chosen[mark]
+                    m = None
+                    if isinstance(record, dict):
+                        names = paths(record)
+                        mark = fingerprint(names)
+                        if mark not in chosen:
+                            if len(chosen) > 10_000:
+                                chosen.clear()
+                            chosen[mark] = choose(names)
+                        m = chosen[mark]
+                    turns = apply_mapping(m, record) if m else []
+                    key = i
+                    if m and key is None:
+                        key = next((v for v in (_get(record, k) for k in m.key)
+                                    if isinstance(v, int) and not isinstance(v, bool)), None)
+                    for number in (key, *(turn for turn, _, _ in turns)):
+                        if number is not None and not -2 ** 63 <= number < 2 ** 63:
+                            raise OverflowError(number)
+                # no JSON, a turn that is no number, a number beyond 64 bits, too deep a nesting
+                except (ValueError, TypeError, OverflowError, RecursionError):
+                    m = None
                 if m is None:
                     out.append((i, None, "", raw or "", "unmapped", mark))
                     continue
-                if i is None:
-                    i = next((int(v) for v in (_get(record, k) for k in m.key)
-                              if isinstance(v, int) and not isinstance(v, bool)), None)
-                out += [(i, turn, role, text, m.name, mark) for turn, role, text in apply_mapping(m, record)]
+                out += [(key, turn, role, text, m.name, mark) for turn, role, text in turns]
             cols = list(zip(*out)) if out else [()] * 6
             types = [pa.int64(), pa.int64(), *[pa.string()] * 4]
             yield pa.RecordBatch.from_arrays(

@@ -179,7 +179,10 @@ def _columns(rows: list[tuple]) -> list[pa.Array]:
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fingerprints of the text and of its edited text, likenesses)."""
     source = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    ordered = source.repartitionByRange("id").sortWithinPartitions("id", "text")
+    # an id that stands on many rows is split: by its texts' digests, and equal
+    # texts, whose order doesn't matter, by their place in the input
+    source = source.withColumns({"digest": F.xxhash64("text"), "place": F.monotonically_increasing_id()})
+    ordered = source.repartitionByRange("id", "digest", "place").sortWithinPartitions("id", "digest", "place").select("id", "text")
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()

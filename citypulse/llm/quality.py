@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citypulse.llm.kernels import BASE, BASE_INV, U, mix, powers, row_of, slices, spans, utf8
+from citypulse.llm.stage import small_side
 
 BUCKETS = 1 << 16
 DIM = 16
@@ -114,14 +115,20 @@ def train(samples: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = 8, ra
 def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id",
           text_col: str = "text", max_rows: int = 2500) -> Model:
     """Model from the rows of ``docs`` that ``labels`` marks 0 or 1."""
+    # a label that stands on several rows counts once, so one id can't fill the sample
     marked = labels.where(F.col(label).isin(0, 1)).select(
-        F.col(id_col).alias("id"), F.col(label).cast("int").alias("y"))
+        F.col(id_col).alias("id"), F.col(label).cast("int").alias("y")).distinct()
     n = marked.count()
     if n > max_rows:
-        draw = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
+        draw = F.pmod(F.xxhash64("id", "y"), F.lit(1 << 30)) / float(1 << 30)
         marked = marked.where(draw < max_rows / n)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
-        F.broadcast(marked), "id").select("id", "y", "text")  # at most the bounded sample
+        small_side(marked), "id").select("id", "y", "text")
+    # an id may stand on many documents: drawn again by text, equal texts once
+    found = rows.select("id", "y", F.xxhash64("text").alias("mark")).distinct().count()
+    if found > 2 * max_rows:
+        rows = rows.where(F.pmod(F.xxhash64("text", "id"), F.lit(1 << 30)) / float(1 << 30) < 2 * max_rows / found)
+        rows = rows.dropDuplicates(["id", "y", "text"])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
