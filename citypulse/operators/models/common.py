@@ -81,11 +81,14 @@ def positive_probability(df: DataFrame, prob_col: str = "probability", out: str
 
 
 def importances(model: PipelineModel, cols: Sequence[str], top: int | None = None) -> DataFrame:
-    """Impurity importances named by feature, sorted descending."""
+    """Impurity importances sorted descending, named by the features that
+    the model was fitted on; a wanted feature that was absent then has 0."""
     from pyspark.sql import SparkSession
     vals = model.stages[-1].featureImportances.toArray().tolist()
+    fitted = [c.removesuffix("__imp") for c in model.stages[-2].getInputCols()]
+    of = dict.fromkeys(cols, 0.0) | dict(zip(fitted, vals))
     sess = SparkSession.getActiveSession()
-    df = sess.createDataFrame([(c, float(v)) for c, v in zip(cols, vals)], "feature string, importance double")
+    df = sess.createDataFrame([(c, float(v)) for c, v in of.items()], "feature string, importance double")
     df = df.orderBy(F.col("importance").desc(), "feature")
     return df.limit(top) if top else df
 

@@ -4,7 +4,7 @@ two facts, row-level security, drill-through, referential checks."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The report's KPI targets (punctuality above 80 %, carbon
@@ -53,6 +53,36 @@ def secure_view(table: DataFrame, entitlements: DataFrame, principal: str) -> Da
     return table.join(allowed, "zone_sk", "left_semi")
 
 
+PRINCIPAL = "citypulse_principal"  # session variable that names who asks
+
+
+def act_as(spark: SparkSession, principal: str | None) -> None:
+    """BI1: sets the session's principal; without one it is ``current_user()``."""
+    spark.sql(f"DECLARE OR REPLACE VARIABLE {PRINCIPAL} STRING DEFAULT NULL")
+    if principal is not None:
+        quoted = principal.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"SET VARIABLE {PRINCIPAL} = '{quoted}'")
+
+
+def role_entitlements(zone_dim: DataFrame, grants: DataFrame) -> DataFrame:
+    """BI1: (principal, zone_sk) of all roles of a principal. ``grants`` has rows
+    (principal, kind, value): a static role names a zone, a dynamic one a region,
+    whose zones follow the dimension as it stands."""
+    zones = zone_dim.select("zone_sk", "ville")
+    dynamic = grants.where("kind = 'region'").join(zones, F.col("value") == F.col("ville")).select("principal", "zone_sk")
+    static = grants.where("kind = 'zone'").select("principal", F.col("value").try_cast("int").alias("zone_sk")).join(
+        zones.select("zone_sk"), "zone_sk", "left_semi").select("principal", "zone_sk")
+    return dynamic.unionByName(static).distinct()
+
+
+def secured(table: DataFrame, entitlements: DataFrame) -> DataFrame:
+    """BI1: the rows of ``table`` that the session's principal may see. The
+    semi join stands on the rows, so whatever is grouped later sees no others."""
+    who = F.coalesce(F.expr(PRINCIPAL), F.current_user())
+    allowed = entitlements.where(F.col("principal") == who).select("zone_sk")
+    return table.join(allowed, "zone_sk", "left_semi")
+
+
 def drill_through(table: DataFrame, **filters) -> DataFrame:
     """BI2: the detail rows behind a report cell (equality filters)."""
     out = table

@@ -124,6 +124,33 @@ def bi_row_level_security(w):
     return view.withColumn("principal", F.lit("EUROPE"))
 
 
+@register("bi_dynamic_security", "BI1 J8",
+          "principal:s n_trips:i n_cancelled:i n_zones:i",
+          with_views("""
+WITH p(principal) AS (VALUES ('alice'), ('bob'), ('carol')),
+e AS (SELECT 'alice' AS principal, zone_sk FROM zone_dim WHERE ville = 'EUROPE'
+      UNION SELECT 'bob', zone_sk FROM zone_dim WHERE ville = 'ASIA' OR zone_sk = 3)
+SELECT p.principal, count(m.fact_mob_sk) AS n_trips, coalesce(sum(m.annule), 0) AS n_cancelled,
+       count(DISTINCT m.zone_sk) AS n_zones
+FROM p LEFT JOIN e USING (principal) LEFT JOIN mob_clean m ON m.zone_sk = e.zone_sk GROUP BY p.principal""",
+                     "zone_dim", "mob_clean"))
+def bi_dynamic_security(w):
+    """Row-level security by the session's principal: what alice (a region), bob
+    (a region and a zone) and carol (no right) see of the same trips."""
+    grants = w.spark.createDataFrame([("alice", "region", "EUROPE"), ("bob", "region", "ASIA"), ("bob", "zone", "3")],
+                                     "principal string, kind string, value string")
+    trips = M.clean_mobility(w)
+    ent = B.role_entitlements(w.zone_dim, grants)
+    seen = []
+    for who in ("alice", "bob", "carol"):
+        B.act_as(w.spark, who)
+        seen.append(B.secured(trips, ent).agg(
+            F.count(F.lit(1)).alias("n_trips"), F.coalesce(F.sum("annule"), F.lit(0)).alias("n_cancelled"),
+            F.countDistinct("zone_sk").alias("n_zones")).withColumn("principal", F.lit(who)))
+    B.act_as(w.spark, None)
+    return seen[0].unionByName(seen[1]).unionByName(seen[2])
+
+
 @register("ref_orphan_parts", "J11 IO5",
           "n_lines:i n_orphans:i",
           """
