@@ -127,6 +127,22 @@ def cluster_davies_bouldin_fixed(w):
     return CL.davies_bouldin(a, ["co2_kg", "pm25"])
 
 
+@register("cluster_silhouette_fixed", "M9", "silhouette:f n_zones:i", with_views("""
+WITH z AS (SELECT zone_sk, zone_sk % 3 AS c, avg(co2_kg) AS x, avg(pm25) AS y FROM eco_features GROUP BY zone_sk),
+d AS (SELECT a.zone_sk, a.c AS own, b.c AS other, sum(sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2)) AS s, count(*) AS n
+      FROM z a CROSS JOIN z b GROUP BY 1, 2, 3),
+w AS (SELECT zone_sk, max(CASE WHEN own = other AND n > 1 THEN s / (n - 1) END) AS a,
+             min(CASE WHEN own <> other THEN s / n END) AS b FROM d GROUP BY 1)
+SELECT avg(CASE WHEN a IS NULL OR b IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END) AS silhouette,
+       count(*) AS n_zones FROM w""", "eco_features"))
+def cluster_silhouette_fixed(w):
+    """Euclidean silhouette of a fixed assignment of the zones' mean profile."""
+    prof = E.engineer_features(E.clean_territorial(w)).groupBy("zone_sk").agg(
+        F.avg("co2_kg").alias("x"), F.avg("pm25").alias("y"))
+    prof = prof.withColumn("cluster_id", F.pmod("zone_sk", F.lit(3)))
+    return w.spark.createDataFrame([(CL.silhouette(prof, ["x", "y"]), prof.count())], "silhouette double, n_zones long")
+
+
 @register("cluster_names_fixed", "L8", "zone_sk:i cluster_label:s", with_views("""
 WITH z AS (SELECT zone_sk, avg(co2_kg) / 100 AS c, avg(pm25) / 20 AS p FROM eco_features GROUP BY 1)
 SELECT zone_sk, CASE WHEN c > 0.4 AND p > 0.4 THEN 'High Emission & High Pollution'
