@@ -71,29 +71,48 @@ def _fit(t_days, y, scale, yearly, weekly, hol, n_cp=25, rounds=40):
         width = np.abs(beta[change])
         variance = max(float(np.mean((z - x @ beta) ** 2)), 1e-8)
     sigma = float(np.sqrt(variance) * ys) if m > 1 else 0.0
-    return (t0, span, cps, beta, ys, sigma, yearly, weekly)
+    return (t0, span, cps, beta, ys, sigma, yearly, weekly, (xx, xz, float(z @ z), m, prior))
+
+
+def _spread(state) -> tuple[float, np.ndarray]:
+    """(mean size of a slope change, covariance of the coefficients) given the
+    history: the sparse mode shrinks changes, so their size is estimated by
+    expectation maximisation over all of them."""
+    k, (xx, xz, zz, m, prior) = len(state[2]), state[8]
+    change = slice(2, 2 + k)
+    prior, width, variance = prior.copy(), 0.1, max((state[5] / state[4]) ** 2, 1e-8)
+    for _ in range(60):
+        prior[change] = 1.0 / width
+        cov = np.linalg.inv(xx / variance + np.diag(prior))
+        mean = cov @ xz / variance
+        width = max(float(np.mean(mean[change] ** 2 + np.diag(cov)[change])), 1e-10) if k else width
+        left = zz - 2 * mean @ xz + mean @ xx @ mean + float((xx * cov).sum())
+        variance = max(left / m, 1e-8)
+    return float(np.sqrt(width / 2)), (cov + cov.T) / 2
 
 
 def _predict(state, t_days, hol, last=None, draws=500):
     """(value, lower, upper): the 80 % interval holds the noise and, after the
-    ``last`` day of the history, slope changes to come, drawn at the rate and
-    with the mean size of the fitted ones, so it widens with the horizon."""
-    t0, span, cps, beta, ys, sigma, yearly, weekly = state
+    ``last`` day of the history, the coefficients' uncertainty and slope changes
+    to come, drawn at the rate and with the mean size of those in the history,
+    so it widens with the horizon."""
+    t0, span, cps, beta, ys, sigma, yearly, weekly = state[:8]
     x = _design(t_days, t0, span, cps, yearly, weekly, hol)
     yhat = x @ beta * ys
     lo, hi = yhat - Z80 * sigma, yhat + Z80 * sigma
     future = np.flatnonzero(t_days > last) if last is not None else []
-    if len(future) and len(cps):
+    if len(future):
         rng = np.random.default_rng(7)  # fixed: the same series has the same interval
         t = (t_days[future] - t0) / span
         steps = np.diff(t, prepend=(last - t0) / span)
-        size = float(np.mean(np.abs(beta[2:2 + len(cps)])))
+        size, cov = _spread(state)
         n = rng.poisson(len(cps) / 0.8 * steps, (draws, len(t)))
         # the sum of n Laplace draws is a difference of two gamma draws
         turn = (rng.gamma(np.maximum(n, 1e-9)) - rng.gamma(np.maximum(n, 1e-9))) * size * (n > 0)
-        slope = np.cumsum(turn, axis=1)
-        drift = np.cumsum(slope * steps, axis=1) * ys
-        paths = yhat[future] + drift + rng.normal(0, sigma, drift.shape)
+        drift = np.cumsum(np.cumsum(turn, axis=1) * steps, axis=1)
+        values, vectors = np.linalg.eigh(cov)
+        off = rng.normal(size=(draws, len(beta))) @ (vectors * np.sqrt(np.maximum(values, 0))).T @ x[future].T
+        paths = yhat[future] + (drift + off) * ys + rng.normal(0, sigma, drift.shape)
         lo[future], hi[future] = np.quantile(paths, [0.1, 0.9], axis=0)
     return yhat, lo, hi
 
