@@ -73,7 +73,7 @@ def eco_forecast_summary(w):
     return TR.eco_forecast_summary(E.clean_territorial(w))
 
 
-@register("eco_sarima", "Y7", "zone_sk:i step:i forecast:f holdout_mae:f holdout_mape:f status:s")
+@register("eco_sarima", "Y7", "zone_sk:i step:i forecast:f holdout_mae:f holdout_mape:f ar:f ma:f seasonal_ar:f status:s")
 def eco_sarima(w):
     """Seasonal AR(1)(1)12 + MA(1) forecasts of monthly AQI, 3 steps."""
     return TR.eco_sarima(E.clean_territorial(w))

@@ -29,7 +29,8 @@ from citypulse.plans import mobility as M
 from citypulse.plans import safety as SF
 from citypulse.sources.warehouse import TERRITORIAL_ORDER
 from citypulse.timeseries.forecast import forecast_series
-from citypulse.timeseries.stationarity import seasonal_ar_forecast, stationarity_tests
+from citypulse.timeseries.seasonal_arima import seasonal_arima_forecast
+from citypulse.timeseries.stationarity import stationarity_tests
 
 # The reference's model feature lists.
 ECO_FEATURES_COMBINED = [
@@ -268,20 +269,20 @@ def eco_forecast_summary(clean: DataFrame) -> DataFrame:
 
 
 def eco_sarima(clean: DataFrame) -> DataFrame:
-    """3-step seasonal AR forecasts of each zone's monthly AQI."""
+    """3-step seasonal ARIMA forecasts of each zone's monthly AQI."""
     m = E.zone_month_targets(clean)
-    return seasonal_ar_forecast(m, ["zone_sk"], "annee_mois_dt", "aqi_index", steps=3, season=12)
+    return seasonal_arima_forecast(m, ["zone_sk"], "annee_mois_dt", "aqi_index", steps=3, season=12)
 
 
 def eco_forecast_comparison(clean: DataFrame) -> DataFrame:
     """M14 + Y12: MAE and MAPE on the last three months of each zone's AQI, for
-    the additive forecaster, the seasonal AR and the last value, averaged over
+    the additive forecaster, the seasonal ARIMA and the last value, averaged over
     the zones that the model could hold out."""
     m = E.zone_month_targets(clean).select("zone_sk", "annee_mois_dt", "aqi_index")
     additive = forecast_series(m, ["zone_sk"], "annee_mois_dt", "aqi_index", freq="MS", horizon=1,
                                scales=[0.05, 0.3], holdout="fixed3", min_points=18)
     additive = additive.groupBy("zone_sk").agg(F.max("holdout_mae").alias("mae"), F.max("holdout_mape").alias("mape"))
-    seasonal = seasonal_ar_forecast(m, ["zone_sk"], "annee_mois_dt", "aqi_index", steps=1, season=12)
+    seasonal = seasonal_arima_forecast(m, ["zone_sk"], "annee_mois_dt", "aqi_index", steps=1, season=12)
     seasonal = seasonal.select("zone_sk", F.col("holdout_mae").alias("mae"), F.col("holdout_mape").alias("mape"))
     from pyspark.sql import Window
     back = Window.partitionBy("zone_sk").orderBy(F.col("annee_mois_dt").desc())  # one row per month
@@ -290,7 +291,7 @@ def eco_forecast_comparison(clean: DataFrame) -> DataFrame:
     gap = F.abs(F.col("aqi_index") - F.col("last"))
     naive = known.where("k <= 3").groupBy("zone_sk").agg(
         F.avg(gap).alias("mae"), F.avg(F.when(F.col("aqi_index") > 0, gap / F.col("aqi_index") * 100)).alias("mape"))
-    named = [d.withColumn("model", F.lit(n)) for n, d in (("additive", additive), ("seasonal_ar", seasonal),
+    named = [d.withColumn("model", F.lit(n)) for n, d in (("additive", additive), ("seasonal_arima", seasonal),
                                                           ("last_value", naive))]
     ok = _union(named).where(F.col("mae").isNotNull() & ~F.isnan("mae"))
     return ok.groupBy("model").agg(F.avg("mae").alias("mae"), F.avg("mape").alias("mape"),

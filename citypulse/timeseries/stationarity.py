@@ -1,4 +1,4 @@
-"""Y7 seasonal AR forecast and Y8 augmented Dickey-Fuller per series in
+"""Y8 augmented Dickey-Fuller per series in
 grouped-map tasks, Y9 KPSS in SQL expressions (a series is one row per period,
 bounded by the calendar). Statistics follow their published definitions: ADF with AIC lag
 selection over ``12 (n/100)^(1/4)`` lags and MacKinnon (2010) response-
@@ -137,67 +137,3 @@ def stationarity_tests(df: DataFrame, keys: Sequence[str], ds: str, y: str, min_
     unit_root = series.groupBy(*keys).applyInPandas(run, schema)
     level = kpss(series, keys, ds, y).where(F.col("n") >= min_points).drop("n")
     return null_safe_join(unit_root, level, keys, "left")
-
-
-def seasonal_ar_forecast(df: DataFrame, keys: Sequence[str], ds: str, y: str, steps: int = 3,
-                         season: int = 12, holdout: int = 3) -> DataFrame:
-    """SARIMA(1,1,1)(1,0,0,s)-shaped forecast by two-stage least squares
-    (Hannan-Rissanen): a long AR gives residual estimates, then the
-    differenced series is regressed on lags 1, s, s+1 and the lagged
-    residual; forecasts are iterated and integrated. Reports the MAE on the
-    last ``holdout`` points (fitted without them) and the ``steps``-ahead
-    forecast from the full history; a series that is too short for the
-    seasonal lags gives one row with NULLs and its status."""
-    keys = list(keys)
-    schema = (", ".join(f"{k} long" for k in keys) +
-              ", step long, forecast double, holdout_mae double, holdout_mape double, status string")
-    short = "too short for the seasonal lags"
-
-    def fit_forecast(v: np.ndarray, h: int) -> np.ndarray | None:
-        z = np.diff(v)
-        m = min(len(z) // 3, season + 1)
-        n_need = season + 2
-        if len(z) <= n_need + m:
-            return None
-        xa = np.column_stack([z[m - j - 1:len(z) - j - 1] for j in range(m)] + [np.ones(len(z) - m)])
-        ba, *_ = np.linalg.lstsq(xa, z[m:], rcond=None)
-        e = np.zeros(len(z))
-        e[m:] = z[m:] - xa @ ba
-        t0 = max(season + 1, m + 1)
-        rows = range(t0, len(z))
-        x = np.array([[z[t - 1], z[t - season], z[t - season - 1], e[t - 1], 1.0] for t in rows])
-        b, *_ = np.linalg.lstsq(x, z[t0:], rcond=None)
-        zz, ee, out = list(z), list(e), []
-        for _ in range(h):
-            t = len(zz)
-            nxt = b @ np.array([zz[t - 1], zz[t - season], zz[t - season - 1], ee[t - 1], 1.0])
-            zz.append(float(nxt))
-            ee.append(0.0)
-            out.append(float(nxt))
-        return v[-1] + np.cumsum(out)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        key_vals = {k: int(pdf[k].iloc[0]) if pd.notna(pdf[k].iloc[0]) else None for k in keys}
-        v = pdf.dropna(subset=[y]).sort_values(ds)[y].to_numpy(dtype=float)
-        fc = fit_forecast(v, steps) if len(v) else None
-        back = fit_forecast(v[:-holdout], holdout) if len(v) > holdout else None
-        mae = float(np.mean(np.abs(back - v[-holdout:]))) if back is not None else None
-        mape = None
-        if back is not None and (v[-holdout:] > 0).any():
-            on = v[-holdout:] > 0
-            mape = float(np.mean(np.abs(back - v[-holdout:])[on] / v[-holdout:][on]) * 100)
-        if fc is None:  # the series stays in the output, without a forecast
-            res = pd.DataFrame({"step": [None], "forecast": [None], "holdout_mae": [mae], "holdout_mape": [mape],
-                                "status": [short]})
-        else:
-            res = pd.DataFrame({"step": np.arange(1, steps + 1), "forecast": fc})
-            res["holdout_mae"] = mae
-            res["holdout_mape"] = mape
-            res["status"] = "fitted" if mae is not None else "fitted; too short to hold out"
-        for k, val in key_vals.items():
-            res.insert(0, k, val)
-        return res
-
-    return (df.select(*[F.col(k).cast("long").alias(k) for k in keys], ds,
-                      F.col(y).cast("double").alias(y))
-              .groupBy(*keys).applyInPandas(run, schema))

@@ -13,7 +13,8 @@ from citypulse.operators.splits import hash_unit, stratified_split
 from citypulse.plans.training import fold_f1
 from citypulse.sources.sinks import build_report
 from citypulse.timeseries.forecast import forecast_series
-from citypulse.timeseries.stationarity import seasonal_ar_forecast, stationarity_tests
+from citypulse.timeseries.seasonal_arima import seasonal_arima_forecast
+from citypulse.timeseries.stationarity import stationarity_tests
 
 
 @pytest.fixture(scope="module")
@@ -121,7 +122,7 @@ def test_seasonal_forecast_follows_the_season_and_keeps_short_series(spark):
     t = np.arange(96)
     y = 10 + 0.1 * t + 4 * np.sin(2 * np.pi * t / 12) + np.random.RandomState(5).normal(0, .05, 96)
     df = _series(spark, y, 1, freq="MS").unionByName(_series(spark, y[:9], 2, freq="MS"))
-    out = seasonal_ar_forecast(df, ["zone_sk"], "ds", "y").collect()
+    out = seasonal_arima_forecast(df, ["zone_sk"], "ds", "y").collect()
     good = sorted((r.step, r.forecast) for r in out if r.zone_sk == 1)
     want = [10 + 0.1 * k + 4 * np.sin(2 * np.pi * k / 12) for k in (96, 97, 98)]
     assert np.allclose([f for _, f in good], want, atol=0.5)
