@@ -8,3 +8,4 @@ from citypulse.plans import queries_timeseries  # noqa: F401
 from citypulse.plans import queries_models  # noqa: F401
 from citypulse.plans import queries_bi  # noqa: F401
 from citypulse.plans import queries_checked  # noqa: F401
+from citypulse.plans import queries_artifacts  # noqa: F401
