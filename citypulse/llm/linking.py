@@ -29,6 +29,7 @@ from citypulse.llm.stage import staged
 
 FEW = 8  # members of a bucket whose pairs are verified directly
 Features = Callable[[DataFrame], DataFrame]
+Tokens = Callable[[Column], Column]
 
 
 def _mask(draw: int) -> Column:
@@ -42,13 +43,29 @@ def _drawn(buckets: DataFrame, draw: int, *extra: Column) -> DataFrame:
     return groups.withColumn("hub", F.col("hub").bitwiseXOR(_mask(draw)))
 
 
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _similar(x: Column, y: Column, tokens: Tokens, threshold: float) -> Column:
+    """Whether the token sets made of ``x`` and ``y`` reach the similarity."""
+    def reached(p: Column) -> Column:
+        return _bind(F.size(F.array_intersect(p["x"], p["y"])),
+                     lambda n: n >= threshold * (F.size(p["x"]) + F.size(p["y"]) - n))
+    return _bind(F.struct(tokens(x).alias("x"), tokens(y).alias("y")), reached)
+
+
 def _pair(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def link(buckets: DataFrame, features: Features, threshold: float, merging: float = 0.1) -> DataFrame:
+def link(buckets: DataFrame, features: Features, threshold: float, merging: float = 0.1,
+         tokens: Tokens | None = None) -> DataFrame:
     """``buckets`` (bucket, id) -> (id, root) of every linked id, roots included.
-    ``features`` takes ids and returns (id, s): their token sets. Draws go on
+    ``features`` takes ids and returns (id, s): their token sets, or, with
+    ``tokens``, what that function makes the distinct tokens of: texts are moved
+    then instead of sets several times their size. Draws go on
     while one links more than the share ``merging`` of the members that are
     left; the result does not depend on it, only what the exact join is left
     with."""
@@ -62,6 +79,8 @@ def link(buckets: DataFrame, features: Features, threshold: float, merging: floa
     def verified(pairs: DataFrame) -> DataFrame:
         both = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(
             sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
+        if tokens:
+            return both.where(_similar(F.col("sa"), F.col("sb"), tokens, threshold)).select("a", "b")
         common = F.size(F.array_intersect("sa", "sb"))
         return both.where(common >= threshold * (F.size("sa") + F.size("sb") - common)).select("a", "b")
 
@@ -85,7 +104,7 @@ def link(buckets: DataFrame, features: Features, threshold: float, merging: floa
             pairs = rooted.join(hub_roots, ["bucket", "hub"]).where("root != hub_root").select(
                 *_pair("id", "hub")).distinct()
         else:
-            pairs = _rare_pairs(mixed.select("id", "root").distinct(), sets, threshold)
+            pairs = _rare_pairs(mixed.select("id", "root").distinct(), sets, threshold, tokens)
         found = staged(verified(pairs), "links")
         n = found.count()
         if n:
@@ -114,9 +133,12 @@ def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
     return staged(moved.unionByName(higher.select(F.col("root").alias("id"), F.col("top").alias("root"))), "roots")
 
 
-def _rare_pairs(nodes: DataFrame, sets: DataFrame, t: float) -> DataFrame:
+def _rare_pairs(nodes: DataFrame, sets: DataFrame, t: float, made: Tokens | None = None) -> DataFrame:
     """(a, b) of different roots that can reach similarity ``t``."""
-    tokens = sets.join(nodes, "id").select("id", "root", F.size("s").alias("n"), F.explode("s").alias("token"))
+    sets = sets.join(nodes, "id")
+    if made:
+        sets = sets.withColumn("s", made(F.col("s")))
+    tokens = sets.select("id", "root", F.size("s").alias("n"), F.explode("s").alias("token"))
     tokens = staged(tokens, "tokens")
     often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("often"))
     ranked = tokens.join(often, "token").groupBy("id", "root", "n").agg(
