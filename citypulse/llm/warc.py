@@ -144,26 +144,54 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, segment_byte
         "maxRecordsPerFile", per_file).text(path)
 
 
-def records(data: bytes) -> Iterator[tuple[dict[str, str], memoryview]]:
-    """(headers, block) of each record; gzip members are opened first."""
-    if data[:2] == b"\x1f\x8b":
-        opened = []
-        while data:
-            member = zlib.decompressobj(31)
-            opened.append(member.decompress(data))
-            data = member.unused_data
-        data = b"".join(opened)
+def opened(data: bytes) -> tuple[bytes, str | None]:
+    """What the gzip members hold, as far as they can be read, and the problem."""
+    if data[:2] != b"\x1f\x8b":
+        return data, None
+    parts = []
+    while data:
+        member = zlib.decompressobj(31)
+        try:
+            parts.append(member.decompress(data))
+        except zlib.error as e:
+            return b"".join(parts), f"gzip: {e}"
+        if not member.eof:
+            return b"".join(parts), "gzip: a member is cut short"
+        data = member.unused_data
+    return b"".join(parts), None
+
+
+def records(data: bytes) -> Iterator[tuple[dict[str, str], memoryview, str | None]]:
+    """(headers, block, problem) of each record; gzip members are opened first.
+    Bytes that are no record end the file: the rest of it is one item without
+    headers, whose problem says where it starts and why."""
+    data, problem = opened(data)
     view, at = memoryview(data), 0
     while at < len(data):
-        if data[at:at + 5] != b"WARC/":
-            raise ValueError(f"no record at byte {at}")
-        head = data.index(b"\r\n\r\n", at)
+        head = data.find(b"\r\n\r\n", at)
+        if data[at:at + 5] != b"WARC/" or head < 0:
+            yield {}, view[at:], f"no record at byte {at}"
+            break
         lines = data[at:head].decode("utf-8", "replace").split("\r\n")[1:]
         fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
+        length = fields.get("content-length", "")
+        if not (length.isascii() and length.isdigit()):
+            yield {}, view[at:], f"no length of the record at byte {at}"
+            break
         start = head + 4
-        stop = start + int(fields["content-length"])
-        yield fields, view[start:stop]
+        if len(data) - start < int(length):
+            yield {}, view[at:], f"the record at byte {at} is cut short"
+            break
+        stop = start + int(length)
+        yield fields, view[start:stop], None
         at = stop + 4
+    if problem:
+        yield {}, view[len(data):], problem
+
+
+def _number(text: str | None) -> int | None:
+    """A header's count, or None where there is none or it isn't one."""
+    return int(text) if text and len(text) < 19 and text.isascii() and text.isdigit() else None
 
 
 def payload(block: bytes) -> bytes:
@@ -199,17 +227,22 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """(name, kind, refers, n_bytes, digest, error): one row per written record,
-    continuations reassembled. ``name`` is the record id."""
-    files = spark.read.format("binaryFile").load(path).select("content")
+    continuations reassembled. ``name`` is the record id. What can't be read of a
+    file is one row of kind ``unreadable`` (one more for a broken gzip member),
+    named by the file, with its problem; the records before it are kept."""
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for data in b.column("content"):
+            for file, data in zip(b.column("path").to_pylist(), b.column("content")):
                 out, held = [], 0
-                for f, block in records(data.as_py()):
+                for f, block, problem in records(data.as_py()):
+                    if problem:
+                        out.append((file, "unreadable", None, None, None, None, None, problem, None))
+                        continue
                     kind = f.get("warc-type", "")
-                    number = int(f["warc-segment-number"]) if "warc-segment-number" in f else None
-                    total = int(f["warc-segment-total-length"]) if "warc-segment-total-length" in f else None
+                    number = _number(f.get("warc-segment-number"))
+                    total = _number(f.get("warc-segment-total-length"))
                     digest = f.get("warc-payload-digest", "").removeprefix("sha1:") or None
                     name = f.get("warc-segment-origin-id") or f.get("warc-record-id")
                     if number is not None:

@@ -57,6 +57,31 @@ def test_damaged_archives_are_reported(spark, tmp_path):
     assert rows["<urn:page:6:E>"].error == "digest differs" and rows["<urn:page:6:E>"].n_bytes == 900
 
 
+def test_foreign_files_end_no_job(spark, tmp_path):
+    good = b"".join(W.page_records(5, "u", "text", "D", None, False, 300, 100))
+    files = {"noise": b"\x00\xff no archive", "tail": good + b"<html>", "nolength": good + b"WARC/1.1\r\nA: b\r\n\r\nxx",
+             "cut": good[:-30], "headless": good + b"WARC/1.1\r\nContent-Length: 3", "empty": b"",
+             "badgzip": gzip.compress(good) + b"padding", "cutgzip": gzip.compress(good)[:-12],
+             "minus": good + b"WARC/1.1\r\nContent-Length: -3\r\n\r\nxyz"}
+    for name, data in files.items():
+        (tmp_path / name).write_bytes(data)
+    rows = W.read_archives(spark, str(tmp_path)).collect()
+    bad = {r.name.rsplit("/", 1)[1]: r.error for r in rows if r.kind == "unreadable"}
+    assert set(bad) == set(files) - {"empty"}
+    assert bad["noise"] == "no record at byte 0" and bad["cut"] == "the record at byte 0 is cut short"
+    assert bad["tail"] == f"no record at byte {len(good)}" and bad["minus"].startswith("no length")
+    assert bad["badgzip"].startswith("gzip:") and bad["cutgzip"].startswith("gzip:")
+    whole = [r for r in rows if r.kind == "response"]  # the digest D is not theirs
+    assert len(whole) >= 5 and {r.n_bytes for r in whole} == {4}
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.binary(max_size=200))
+def test_any_bytes_are_read_without_raising(data):
+    for raw in (data, b"WARC/1.0\r\n" + data, b"\x1f\x8b" + data, gzip.compress(data)[:-3]):
+        list(W.records(raw))
+
+
 @settings(max_examples=50, deadline=None)
 @given(st.binary(max_size=200), st.integers(1, 50))
 def test_chunked(body, size):
