@@ -3,8 +3,8 @@
 1. Every member of a bucket is paired with one member of it, drawn by a hash,
    and the pair is verified exactly: linear in the bucket.
 2. Verified pairs give components. Where a bucket's members fall in several
-   components, a bucket of at most ``FEW`` members, whose pairs are bounded, has
-   its pairs of different components verified; a larger one is drawn again, over
+   components, a bucket of at most ``FEW`` members (``OUTLINED`` where sets have
+   outlines), whose pairs are bounded, has its pairs of different components verified; a larger one is drawn again, over
    pairs of different components only, for as long as a draw still merges a
    notable share of them.
 3. What still mixes components is joined exactly: tokens are ordered from rare
@@ -25,10 +25,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citypulse.llm.components import components
-from citypulse.llm.stage import staged
+from citypulse.llm.stage import released
 
 FEW = 8  # members of a bucket whose pairs are verified directly
+# The same where outlines tell most pairs apart inside the join: what a member then
+# costs at most, a few thousand words compared, is less than one pair verified.
+OUTLINED = 8192
 Features = Callable[[DataFrame], DataFrame]
+# ``s`` as an array of distinct tokens: (frame, columns) -> frame
+Tokens = Callable[[DataFrame, list[str]], DataFrame]
 
 
 def _mask(draw: int) -> Column:
@@ -46,9 +51,16 @@ def _pair(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def link(buckets: DataFrame, features: Features, threshold: float, merging: float = 0.1) -> DataFrame:
+def _as_they_are(df: DataFrame, columns: list[str]) -> DataFrame:
+    return df
+
+
+def link(buckets: DataFrame, features: Features, threshold: float, merging: float = 0.1,
+         tokens: Tokens = _as_they_are, outlines: Features | None = None) -> DataFrame:
     """``buckets`` (bucket, id) -> (id, root) of every linked id, roots included.
-    ``features`` takes ids and returns (id, s): their token sets. Draws go on
+    ``features`` takes ids and returns (id, s): their token sets, or something
+    smaller to move that ``tokens`` makes into sets where a pair meets. ``outlines``
+    takes these and returns (id, n, b0, b1, ...), see ``_near``. Draws go on
     while one links more than the share ``merging`` of the members that are
     left; the result does not depend on it, only what the exact join is left
     with."""
@@ -56,28 +68,40 @@ def link(buckets: DataFrame, features: Features, threshold: float, merging: floa
     # nothing: one shuffle by bucket serves both the draw and the join
     buckets = buckets.repartition("bucket")
     groups = _drawn(buckets, 0, F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = staged(buckets.join(groups, "bucket"), "members")
-    sets = staged(features(members.select("id").distinct()), "sets")
+    members = released(buckets.join(groups, "bucket"), "members")
+    sets = released(features(members.select("id").distinct()), "sets")
 
-    def verified(pairs: DataFrame) -> DataFrame:
+    marks = released(outlines(sets), "outlines") if outlines else None
+
+    def verified(pairs: DataFrame, near: bool = False) -> DataFrame:
+        if marks is not None and not near:
+            pairs = released(_near(pairs, marks, threshold), "near")
         both = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(
             sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
-        common = F.size(F.array_intersect("sa", "sb"))
-        return both.where(common >= threshold * (F.size("sa") + F.size("sb") - common)).select("a", "b")
-
-    links = staged(verified(members.where("id != hub").select(*_pair("id", "hub")).distinct()), "links")
+        # each step is a projection of its own, so nothing is evaluated twice; the
+        # verdict is written with its pair, for a filter would be pushed below them
+        both = tokens(both, ["sa", "sb"]).select(
+            "a", "b", F.size(F.array_intersect("sa", "sb")).alias("common"), (F.size("sa") + F.size("sb")).alias("n"))
+        alike = both.select("a", "b", (F.col("common") >= threshold * (F.col("n") - F.col("common"))).alias("alike"))
+        return released(alike, "links").where("alike").select("a", "b")
+
+    links = verified(members.where("id != hub").select(*_pair("id", "hub")).distinct())
     roots = components(links)
     # a bucket of two has no pair left; one of a few members has a few pairs
-    mixed = staged(_mixed(members.where("n > 2").select("bucket", "id", "n"), roots), "mixed")
-    few = mixed.where(F.col("n") <= FEW)
-    other = few.select("bucket", F.col("id").alias("b"), F.col("root").alias("b_root"))
-    pairs = few.join(other, "bucket").where("id < b and root != b_root").select(F.col("id").alias("a"), "b").distinct()
-    found = staged(verified(pairs), "links")
+    mixed = released(_mixed(members.where("n > 2").select("bucket", "id", "n"), roots), "mixed")
+    bound = FEW if marks is None else OUTLINED
+    few = mixed.where(F.col("n") <= bound).drop("n")
+    if marks is None:
+        other = few.select("bucket", F.col("id").alias("b"), F.col("root").alias("b_root"))
+        pairs = few.join(other, "bucket").where("id < b and root != b_root").select(F.col("id").alias("a"), "b").distinct()
+    else:
+        pairs = released(_near_mates(few, marks, threshold), "near")
+    found = verified(pairs, near=True)
     if not found.isEmpty():
         roots = _merged(roots, found)
-    mixed, more, draw = mixed.where(F.col("n") > FEW), True, 0
+    mixed, more, draw = mixed.where(F.col("n") > bound), True, 0
     while True:
-        mixed = staged(_mixed(mixed.select("bucket", "id"), roots), "mixed")
+        mixed = released(_mixed(mixed.select("bucket", "id"), roots), "mixed")
         if more:
             draw += 1
             rooted = mixed.join(_drawn(mixed, draw), "bucket")
@@ -85,8 +109,8 @@ def link(buckets: DataFrame, features: Features, threshold: float, merging: floa
             pairs = rooted.join(hub_roots, ["bucket", "hub"]).where("root != hub_root").select(
                 *_pair("id", "hub")).distinct()
         else:
-            pairs = _rare_pairs(mixed.select("id", "root").distinct(), sets, threshold)
-        found = staged(verified(pairs), "links")
+            pairs = _rare_pairs(mixed.select("id", "root").distinct(), sets, threshold, tokens)
+        found = verified(pairs)
         n = found.count()
         if n:
             roots = _merged(roots, found)
@@ -97,6 +121,40 @@ def link(buckets: DataFrame, features: Features, threshold: float, merging: floa
     return roots.unionByName(own)
 
 
+def _near(pairs: DataFrame, marks: DataFrame, t: float) -> DataFrame:
+    """The pairs that their outlines let reach similarity ``t``. An outline has a
+    bit set for every token's hash, so each bit in which two of them differ stands
+    for at least one token of one side alone, and at similarity t no more than
+    (1 - t) / (1 + t) of both sizes are such tokens; ``n`` is at least the size.
+    No pair that reaches ``t`` goes."""
+    both = pairs.join(_side(marks, "a"), "a").join(_side(marks, "b"), "b")
+    return both.where(_reach(marks, t)).select("a", "b")
+
+
+def _near_mates(members: DataFrame, marks: DataFrame, t: float) -> DataFrame:
+    """As ``_near``, of the pairs of one bucket and two roots; only those that
+    remain leave the join."""
+    outlined = members.join(marks, "id").withColumnRenamed("id", "a")
+    x = _side(outlined.withColumnsRenamed({"a": "id", "root": "a_root"}), "a")
+    y = _side(outlined.withColumnsRenamed({"a": "id", "root": "b_root"}), "b")
+    return x.join(y, "bucket").where((F.col("a") < F.col("b")) & (F.col("a_root") != F.col("b_root")) & _reach(marks, t)).select(
+        "a", "b").distinct()
+
+
+def _outline(marks: DataFrame) -> list[str]:
+    return [c for c in marks.columns if c != "id"]
+
+
+def _side(df: DataFrame, end: str) -> DataFrame:
+    return df.withColumnsRenamed({"id": end} | {c: f"{end}_{c}" for c in df.columns if c == "n" or c[0] == "b" and c[1:].isdigit()})
+
+
+def _reach(marks: DataFrame, t: float) -> Column:
+    words = [c for c in _outline(marks) if c != "n"]
+    apart = sum((F.bit_count(F.col(f"a_{w}").bitwiseXOR(F.col(f"b_{w}"))) for w in words), F.lit(0))
+    return apart * (1 + t) <= (F.col("a_n") + F.col("b_n")) * (1 - t) + 1e-6
+
+
 def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
     """Members of the buckets that hold several components, with their roots."""
     rooted = members.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
@@ -109,22 +167,22 @@ def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
     at = lambda c: roots.select(F.col("id").alias(c), F.col("root").alias(f"r{c}"))
     ends = links.join(at("a"), "a", "left").join(at("b"), "b", "left").select(
         F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
-    higher = staged(components(ends), "roots").select(F.col("id").alias("root"), F.col("root").alias("top"))
+    higher = released(components(ends), "roots").select(F.col("id").alias("root"), F.col("root").alias("top"))
     moved = roots.join(higher, "root", "left").select("id", F.coalesce("top", "root").alias("root"))
-    return staged(moved.unionByName(higher.select(F.col("root").alias("id"), F.col("top").alias("root"))), "roots")
+    return released(moved.unionByName(higher.select(F.col("root").alias("id"), F.col("top").alias("root"))), "roots")
 
 
-def _rare_pairs(nodes: DataFrame, sets: DataFrame, t: float) -> DataFrame:
+def _rare_pairs(nodes: DataFrame, sets: DataFrame, t: float, tokens: Tokens) -> DataFrame:
     """(a, b) of different roots that can reach similarity ``t``."""
-    tokens = sets.join(nodes, "id").select("id", "root", F.size("s").alias("n"), F.explode("s").alias("token"))
-    tokens = staged(tokens, "tokens")
-    often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("often"))
-    ranked = tokens.join(often, "token").groupBy("id", "root", "n").agg(
+    found = tokens(sets.join(nodes, "id"), ["s"]).select("id", "root", F.size("s").alias("n"), F.explode("s").alias("token"))
+    found = released(found, "tokens")
+    often = found.groupBy("token").agg(F.count(F.lit(1)).alias("often"))
+    ranked = found.join(often, "token").groupBy("id", "root", "n").agg(
         F.sort_array(F.collect_list(F.struct("often", "token"))).alias("order"))
     first = F.col("n") - F.ceil(F.col("n") * t) + 1
     head = ranked.select("id", "root", "n", F.posexplode(F.slice("order", F.lit(1), first)).alias("at", "x")).where(
         "x.often > 1").select("id", "root", "n", "at", F.col("x.token").alias("token"))
-    head = staged(head, "heads")
+    head = released(head, "heads")
     x = head.select("token", *[F.col(c).alias(f"x_{c}") for c in ("id", "root", "n", "at")])
     y = head.select("token", *[F.col(c).alias(f"y_{c}") for c in ("id", "root", "n", "at")])
     need = F.ceil((F.col("x_n") + F.col("y_n")) * F.lit(round(t / (1 + t) - 1e-9, 9)))

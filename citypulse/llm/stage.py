@@ -33,6 +33,23 @@ def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Spark's own setting: the shuffle files of a query go when the query ends.
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def released(df: DataFrame, name: str = "stage") -> DataFrame:
+    """``staged``, and the shuffle files that the write needed are removed at its
+    end instead of at some later garbage collection of the driver: the table
+    that replaces them is written by then."""
+    spark = df.sparkSession
+    before = spark.conf.get(RELEASE, "false")
+    spark.conf.set(RELEASE, "true")
+    try:
+        return staged(df, name)
+    finally:
+        spark.conf.set(RELEASE, before)
+
+
 @contextmanager
 def scratch() -> Iterator[list[str]]:
     """The paths that operators stage inside the block, for ``remove``."""
