@@ -1,8 +1,8 @@
 """Ecology plan: territorial impact facts -> carbon KPIs, regression
 features, pollution profiles, forecast inputs and the future scenario grid.
 
-Every function is DataFrame -> DataFrame and lazy; the caller persists the
-feature table once and reuses it for training, evaluation and export.
+Every function is DataFrame -> DataFrame; the clean facts are written once as a
+stage, everything after them is lazy.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from citypulse.operators import clean as C
 from citypulse.operators.dedup import keep_first
 from citypulse.operators.encode import dense_codes, group_mean_column, pop_standardize
 from citypulse.operators.joins import join_dimension, names_with_default
-from citypulse.operators.materialize import materialize
+from citypulse.operators.materialize import materialize, stage
 from citypulse.operators.ordered import exact_quantiles
 from citypulse.sources.warehouse import TERRITORIAL_ORDER, Warehouse
 
@@ -51,7 +51,8 @@ def clean_territorial(w: Warehouse, order: list[str] | None = None) -> DataFrame
     df = C.select_existing(df, CLEAN_KEEP)
     df = C.coerce_numeric(df, ["co2_kg", "energie_kwh", "aqi_index", "pm25", "no2"])
     C.require_columns(df, ["annee", "mois"], "clean facts")
-    return df.where(F.col("co2_kg") > 0)
+    # every later step reads the few kept rows, not the fact joins, again
+    return stage(df.where(F.col("co2_kg") > 0), "clean-territorial")
 
 
 def carbon_intensity_rows(clean: DataFrame) -> DataFrame:

@@ -37,10 +37,10 @@ def territorial_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_shipdate")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    # Big-big join on the order key (sort-merge, AQE may re-plan), then the
-    # customer side; no hand-placed broadcast: customer grows with the data.
-    j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
-           .join(cust, F.col("o_custkey") == F.col("c_custkey")))
+    # Orders meet their customers first, so the lineitems move once, by the order
+    # key; no hand-placed broadcast: both sides grow with the data.
+    bought = orders.join(cust, F.col("o_custkey") == F.col("c_custkey"))
+    j = li.join(bought, li.l_orderkey == F.col("o_orderkey"))
     pk, sk = F.col("l_partkey"), F.col("l_suppkey")
     return j.select(
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("fact_impact_sk"),

@@ -38,3 +38,21 @@ def test_stratified_split_keeps_class_shares(spark):
     s = stratified_split(df, "y", "id", 0.2).groupBy("y", "is_test").count().toPandas()
     pos_test = int(s[(s.y == 1) & (s.is_test == 1)]["count"].iloc[0])
     assert pos_test == 20
+
+
+def test_keep_first_null_order_and_keys_without_a_sort_of_the_rows(spark):
+    """A null leads the order, null keys are a key, and whole rows are compared
+    only where they hold their key's least leading value."""
+    rows = [(1, "a", 5, "x", 1.0), (1, "a", None, "y", 2.0), (1, "a", None, "w", 3.0), (None, "a", 4, "z", 4.0),
+            (None, "a", 3, None, 5.0), (None, "a", 3, "q", 6.0), (2, None, 7, "p", 7.0)]
+    df = spark.createDataFrame(rows, "k1 int, k2 string, a long, b string, v double")
+    out = keep_first(df, ["k1", "k2"], ["a", "b"])
+    assert out.columns == df.columns
+    assert sorted(r["v"] for r in out.collect()) == [3.0, 5.0, 7.0]
+    # over a join, rows are ruled out before they move
+    names = spark.createDataFrame([(1, "one"), (2, "two")], "k1 int, name string")
+    joined = df.select("k1", "k2", (df["a"] * 2).alias("a"), "b", "v").join(names, "k1")
+    out = keep_first(joined, ["name"], ["a", "b"])
+    assert {r["name"]: r["v"] for r in out.collect()} == {"one": 3.0, "two": 7.0}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Inner") < plan.index("ExistenceJoin"), plan
