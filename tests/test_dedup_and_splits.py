@@ -56,3 +56,25 @@ def test_keep_first_null_order_and_keys_without_a_sort_of_the_rows(spark):
     assert {r["name"]: r["v"] for r in out.collect()} == {"one": 3.0, "two": 7.0}
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Inner") < plan.index("ExistenceJoin"), plan
+
+
+def test_stratified_split_moves_no_class_to_one_task(spark):
+    from pyspark.sql import functions as F
+
+    from citypulse.operators.splits import stratified_split
+    df = spark.range(1000).select(F.col("id"), F.when(F.col("id") < 10, 1).when(F.col("id") < 980, 0).alias("y"))
+    out = stratified_split(df, "y", "id", 0.2, 42)
+    assert {(r["y"], r["n"]) for r in out.where("is_test = 1").groupBy("y").agg(F.count("*").alias("n")).collect()} == {
+        (1, 2), (0, 194), (None, 4)}
+    assert out.columns == ["id", "y", "is_test", "split_mode"]
+    joins = [x for x in out._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join" in x]
+    assert joins and all("_cp_blk" in x for x in joins), joins
+
+
+def test_balanced_weights_without_a_join(spark):
+    from citypulse.operators.models.supervised import balanced_weights
+    df = spark.createDataFrame([(1, 0), (2, 0), (3, 0), (4, 1), (5, None)], "id int, y int")
+    out = balanced_weights(df, "y")
+    assert out.columns == ["y", "id", "w"]
+    assert {r["id"]: round(r["w"], 6) for r in out.collect()} == {k: round(5 / 9, 6) for k in (1, 2, 3)} | {4: round(5 / 3, 6)}
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
