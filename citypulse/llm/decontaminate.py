@@ -1,14 +1,14 @@
 """Operator 10: benchmark decontamination by latent semantic retrieval.
 
 1. Document frequencies of hashed words over all documents (2**18 counters).
-2. A latent space: TF-IDF vectors of the benchmark's passages together with a
-   hash-drawn sample of at most about ``SAMPLE`` passages of the corpus, over
-   the benchmark's and the corpus' most frequent word buckets (``VOCABULARY``);
-   a distributed randomised SVD (random projection, power iterations, a small
-   solve) keeps ``rank`` directions, far fewer than there are passages. Words
-   that occur in the same passages lie close, so a paraphrase by other words is
-   near its original. Rows stay in Spark; what reaches the driver is
-   vocabulary x rank.
+2. A latent space: TF-IDF vectors of the benchmark's passages together with
+   every distinct passage of the corpus, over the benchmark's and the corpus'
+   most frequent word buckets (``VOCABULARY``); a distributed randomised SVD
+   (random projection, power iterations, a small solve) keeps ``rank``
+   directions, far fewer than there are passages. Words that occur in the same
+   passages lie close, so a paraphrase by other words is near its original. The
+   passages are written once, two bytes a word; rows stay in Spark, and what
+   reaches the driver is vocabulary x rank.
 3. Every document is cut into windows of the passage length at half its step;
    their folded-in latent vectors (scaled by the inverse roots of the singular
    values: what all texts of a language share counts less, the noise of rare
@@ -42,8 +42,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citypulse.llm.kernels import BASE, BASE_INV, U, mix, powers, row_of, slices, words
-from citypulse.llm.stage import staged
+from citypulse.llm.kernels import BASE, BASE_INV, U, mix, powers, row_of, slices, utf8, words
+from citypulse.llm.stage import released, staged
 
 BITS = 18
 PASSAGE = 32
@@ -52,9 +52,9 @@ SHORT = (8, 16)  # window lengths for benchmark passages of at most as many word
 BLOCK = 256  # short passages that share a matrix
 TOGETHER = 4096  # passages that a pass over the documents searches for
 CHAIN = 4  # passes over a document before its row is written
-SAMPLE = 16_384  # corpus passages that the latent space is learnt from, about
 VOCABULARY = 16_384  # word buckets of the latent space
 BANDS = 1024  # vocabulary rows per partial product
+ENTRIES = 1 << 18  # matrix entries that are multiplied together
 
 
 def bucket(h: np.ndarray) -> np.ndarray:
@@ -144,65 +144,158 @@ def benchmark_rows(items: DataFrame, weight: np.ndarray, id_col: str, text_col:
         run, "item_id long, words array<long>, answer array<long>, features array<long>, values array<double>")
 
 
-def corpus_rows(docs: DataFrame, text_col: str, weight: np.ndarray, share: float) -> DataFrame:
-    """(features, values) of a hash-drawn share of the documents' passages, equal
-    ones once: documents are drawn by their text, then passages by theirs."""
-    some = min(1.0, 8 * share)
-    share = share / some
-    docs = docs.where(F.pmod(F.xxhash64(F.col(text_col)), F.lit(1 << 30)) < int(some * (1 << 30)))
+def _places(vocabulary: np.ndarray, words: int = 1 << BITS) -> np.ndarray:
+    """The place in the vocabulary of every word bucket, -1 for the others."""
+    place = np.full(words, -1, np.int32)
+    place[vocabulary] = np.arange(len(vocabulary), dtype=np.int32)
+    return place
+
+
+def _place_type(vocabulary: np.ndarray) -> np.dtype:
+    return np.dtype("<u2" if len(vocabulary) <= 1 << 16 else "<u4")
+
+
+def corpus_rows(docs: DataFrame, text_col: str, weight: np.ndarray, share: float = 1.0,
+                vocabulary: np.ndarray | None = None) -> DataFrame:
+    """(places, norm) of the documents' passages, equal ones once: the places in
+    the vocabulary of a passage's words, ascending, and the length of its whole
+    TF-IDF vector. A ``share`` below 1 draws passages by a hash of their words."""
+    vocabulary = np.arange(1 << BITS) if vocabulary is None else vocabulary
+    shared = docs.sparkSession.sparkContext.broadcast((weight, vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weight, vocabulary = shared.value
+        place, stored = _places(vocabulary), _place_type(vocabulary)
+        square = weight.astype(np.float64) ** 2
         for b in batches:
             for some in slices(b, "text"):
                 h, off = words(some.column("text"))
                 _, start, stop = passages(off, PASSAGE, PASSAGE)
-                whole = stop - start == PASSAGE
-                start = start[whole]
-                digest = run_digest(h, start, PASSAGE)
-                drawn = (digest >> U(11)).astype(np.float64) * 2.0 ** -53 < share
-                rows = [_tfidf(bucket(h[s:s + PASSAGE]), weight) for s in start[drawn]]
+                digest = run_digest(h, start, stop - start)
+                _, drawn = np.unique(digest, return_index=True)
+                if share < 1:
+                    drawn = drawn[(digest[drawn] >> U(11)).astype(np.float64) * 2.0 ** -53 < share]
+                start, n = start[drawn], (stop - start)[drawn]
+                row = np.repeat(np.arange(len(n)), n)
+                at = start[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+                word = np.sort(row << BITS | bucket(h[at])) & ((1 << BITS) - 1)
+                # words of a passage count by the root of their number: their squares add up
+                norm = np.sqrt(np.bincount(row, square[word], len(n)))
+                mine = place[word]
+                known = mine >= 0
+                cut = np.concatenate([[0], np.cumsum(np.bincount(row[known], minlength=len(n)))]) * stored.itemsize
+                data = np.sort((row[known] << BITS) | mine[known]) & ((1 << BITS) - 1)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(digest[drawn].view(np.int64)), pa.array([at.tolist() for at, _ in rows], pa.list_(pa.int64())),
-                     pa.array([v.astype(float).tolist() for _, v in rows], pa.list_(pa.float64()))],
-                    ["digest", "features", "values"])
+                    [pa.array(digest[drawn].view(np.int64)),
+                     pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(cut.astype(np.int32)),
+                                                                 pa.py_buffer(data.astype(stored))]),
+                     pa.array(np.maximum(norm, 1e-9))], ["digest", "places", "norm"])
+
+    drawn = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "digest long, places binary, norm double")
+    return drawn.dropDuplicates(["digest"]).select("places", "norm")
+
+
+Matrix = tuple[np.ndarray, np.ndarray, np.ndarray]  # entries by row: first entry of each row, place, value
+
+
+def _listed(b: pa.RecordBatch, place: np.ndarray) -> Matrix:
+    """Rows (features, values)."""
+    f, v = b.column("features"), b.column("values")
+    row = row_of(f.offsets.to_numpy())
+    at, v = place[f.flatten().to_numpy()], v.flatten().to_numpy()
+    known = at >= 0
+    return np.searchsorted(row[known], np.arange(len(f) + 1)), at[known], v[known]
 
-    drawn = docs.select(F.col(text_col).alias("text")).mapInArrow(
-        run, "digest long, features array<long>, values array<double>")
-    return drawn.dropDuplicates(["digest"]).select("features", "values")
 
+def _stored(b: pa.RecordBatch, weight: np.ndarray, stored: np.dtype) -> Matrix:
+    """Rows (places, norm); ``weight`` by place."""
+    data, off = utf8(b.column("places"))
+    at = data.view(stored).astype(np.int64)
+    off //= stored.itemsize
+    row = row_of(off)
+    new = np.ones(len(at), bool)
+    new[1:] = (at[1:] != at[:-1]) | (row[1:] != row[:-1])
+    first = np.flatnonzero(new)
+    count = np.diff(np.append(first, len(at)))
+    v = weight[at[first]] * np.sqrt(count) / b.column("norm").to_numpy()[row[first]]
+    return np.searchsorted(first, off), at[first], v
 
-def _latent(rows: DataFrame, vocabulary: np.ndarray, rank: int, rounds: int = 2, seed: int = 5
-            ) -> tuple[np.ndarray, np.ndarray]:
+
+def _sums(source: np.ndarray, at: np.ndarray, v: np.ndarray, off: np.ndarray, size: int) -> np.ndarray:
+    """For each segment of ``off`` the sum of its entries' values times their rows
+    of ``source``, by products of blocks of ``size`` entries."""
+    n = np.diff(off)
+    blocks = -(-n // size)
+    of = np.repeat(np.arange(len(n)), blocks)
+    begin = off[of] + size * (np.arange(len(of)) - np.repeat(np.cumsum(blocks) - blocks, blocks))
+    left = off[of + 1] - begin
+    part = np.empty((len(of), source.shape[1]), source.dtype)
+    step = max(1, 8192 // size)  # what a step works on stays in the processor's cache
+    rows = np.empty((step, size, source.shape[1]), source.dtype)
+    places = np.arange(size)
+    at, v = np.append(at, np.zeros(size, at.dtype)), np.append(v, np.zeros(size)).astype(source.dtype)
+    for k in range(0, len(of), step):
+        entry = begin[k:k + step, None] + places
+        value = v[entry] * (places < left[k:k + step, None])
+        some = rows[:len(entry)]
+        np.take(source, at[entry], axis=0, out=some, mode="clip")
+        part[k:k + step] = np.matmul(value[:, None, :], some)[:, 0]
+    out = np.zeros((len(n), source.shape[1]), source.dtype)
+    full = np.flatnonzero(n)
+    if len(full):
+        out[full] = np.add.reduceat(part, (np.cumsum(blocks) - blocks)[full], axis=0)
+    return out
+
+
+def _add_gram(total: np.ndarray, q: np.ndarray, matrix: Matrix) -> None:
+    """Adds A'(A q) of some rows to ``total``."""
+    off, at, v = matrix
+    done = 0
+    while done < len(off) - 1:
+        stop = max(done + 1, int(np.searchsorted(off, off[done] + ENTRIES, side="right")) - 1)
+        a, w, cut = at[off[done]:off[stop]], v[off[done]:off[stop]], off[done:stop + 1] - off[done]
+        y = _sums(q, a, w, cut, PASSAGE)
+        order = np.argsort(a.astype(np.uint16) if len(q) <= 1 << 16 else a, kind="stable")
+        a = a[order]
+        first = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]])[:len(a)])
+        total[a[first]] += _sums(y, row_of(cut)[order], w[order], np.append(first, len(a)), PASSAGE)
+        done = stop
+
+
+def _latent(rows: DataFrame, vocabulary: np.ndarray, rank: int, rounds: int = 2, seed: int = 5,
+            corpus: DataFrame | None = None, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(orthonormal vocabulary x rank basis, singular values) of the sparse
-    matrix in ``rows``, by randomised subspace iteration: each round sums
-    A'(A Q) over Spark partitions. Words outside the vocabulary don't count."""
+    matrix in ``rows`` (features, values) and ``corpus`` (places, norm), by
+    randomised subspace iteration: each round sums A'(A Q) over Spark
+    partitions. Words outside the vocabulary don't count."""
     wide = min(rank + 8, len(vocabulary))
     q = np.linalg.qr(np.random.default_rng(seed).standard_normal((len(vocabulary), wide)))[0]
+    mine = weight[vocabulary].astype(np.float64) if weight is not None else None
 
     def gram(q: np.ndarray) -> np.ndarray:
-        shared = rows.sparkSession.sparkContext.broadcast(q)
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            q = shared.value
-            total = np.zeros((len(vocabulary), wide))
-            for b in batches:
-                for f, v in zip(b.column("features"), b.column("values")):
-                    f, v = np.array(f.values), np.array(v.values)
-                    at = np.searchsorted(vocabulary, f)
-                    known = at < len(vocabulary)
-                    known[known] = vocabulary[at[known]] == f[known]
-                    at, v = at[known], v[known]
-                    total[at] += np.outer(v, v @ q[at])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(0, len(vocabulary), BANDS), pa.int64()),
-                 pa.array([total[k:k + BANDS].tobytes() for k in range(0, len(vocabulary), BANDS)], pa.binary())],
-                ["at", "part"])
+        shared = rows.sparkSession.sparkContext.broadcast((q, vocabulary, mine))
+
+        def summing(listed: bool):
+            def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                q, vocabulary, mine = shared.value
+                q = q.astype(np.float32)  # single precision in the products, double in their sum
+                place, stored = _places(vocabulary), _place_type(vocabulary)
+                total = np.zeros((len(vocabulary), wide))
+                for b in batches:
+                    _add_gram(total, q, _listed(b, place) if listed else _stored(b, mine, stored))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(range(0, len(vocabulary), BANDS), pa.int64()),
+                     pa.array([total[k:k + BANDS].tobytes() for k in range(0, len(vocabulary), BANDS)], pa.binary())],
+                    ["at", "part"])
+            return run
 
         def summed(pdf: pd.DataFrame) -> pd.DataFrame:
             whole = sum(np.frombuffer(x) for x in pdf["part"])
             return pd.DataFrame({"at": pdf["at"].iloc[:1], "part": [whole.tobytes()]})
 
-        parts = rows.select("features", "values").mapInArrow(run, "at long, part binary")
+        parts = rows.select("features", "values").mapInArrow(summing(True), "at long, part binary")
+        if corpus is not None:
+            parts = parts.unionByName(corpus.mapInArrow(summing(False), "at long, part binary"))
         found = parts.groupBy("at").applyInPandas(summed, "at long, part binary").collect()  # vocabulary x rank
         shared.destroy()
         out = np.zeros((len(vocabulary), wide))
@@ -215,7 +308,8 @@ def _latent(rows: DataFrame, vocabulary: np.ndarray, rank: int, rounds: int = 2,
     small = q.T @ gram(q)
     values, vectors = np.linalg.eigh((small + small.T) / 2)
     order = np.argsort(values)[::-1][:rank]
-    order = order[values[order] > 1e-9 * max(values.max(), 1e-30)]
+    # below this the products' rounding is all there is
+    order = order[values[order] > 1e-6 * max(values.max(), 1e-30)]
     return q @ vectors[:, order], np.sqrt(values[order])
 
 
@@ -227,17 +321,16 @@ def latent_basis(rows: DataFrame, vocabulary: np.ndarray, rank: int, rounds: int
 def latent_space(docs: DataFrame, text_col: str, rows: DataFrame, weight: np.ndarray, freq: np.ndarray, n_words: int,
                  rank: int) -> tuple[np.ndarray, np.ndarray]:
     """(vocabulary, map): the folding-in map takes TF-IDF weights of the
-    vocabulary's words to latent coordinates."""
-    share = min(1.0, SAMPLE / max(1, n_words // PASSAGE))
-    sample = staged(corpus_rows(docs, text_col, weight, share), "op10-sample")
-    every = sample.unionByName(rows.select("features", "values"))
+    vocabulary's words to latent coordinates. All passages of the ``n_words``
+    words are learnt from."""
     used = rows.select(F.explode("features").alias("b")).distinct().toArrow()["b"].to_numpy()  # at most 2**18
     order = np.argsort(-freq, kind="stable")
     mine = used[np.argsort(-freq[used], kind="stable")][:VOCABULARY]
     others = order[~np.isin(order, mine)][:VOCABULARY - len(mine)]
     vocabulary = np.sort(np.concatenate([mine, others[freq[others] > 0]]))
-    n = every.count()
-    basis, sigma = _latent(every, vocabulary, max(1, min(rank, n // 2, len(vocabulary))))
+    corpus = released(corpus_rows(docs, text_col, weight, vocabulary=vocabulary), "op10-passages") if n_words else None
+    n = rows.count() + (corpus.count() if n_words else 0)
+    basis, sigma = _latent(rows, vocabulary, max(1, min(rank, n // 2, len(vocabulary))), corpus=corpus, weight=weight)
     return vocabulary, (basis / np.sqrt(sigma)).astype(np.float32)
 
 
@@ -336,7 +429,7 @@ def _short(h: np.ndarray) -> np.ndarray:
     return np.maximum((h & U(0xFFFFFFFF)).astype(np.uint32), 2)
 
 
-def run_digest(h: np.ndarray, start: np.ndarray, size: int) -> np.ndarray:
+def run_digest(h: np.ndarray, start: np.ndarray, size: int | np.ndarray) -> np.ndarray:
     """Digest of the ``size`` words from each start."""
     prefix = np.zeros(len(h) + 1, U)
     np.cumsum(h * powers(BASE, len(h)), out=prefix[1:])

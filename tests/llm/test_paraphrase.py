@@ -123,3 +123,45 @@ def test_decisions_against_all_pairs(spark):
     got = {(r.doc_id, k) for r in out for k in r.items}
     assert len(want) > 60 and got <= want
     assert len(got) >= 0.95 * len(want)
+
+
+def test_the_space_is_learnt_from_every_passage(spark):
+    """Singular values of all distinct passages, beyond 16,384 of them, short
+    texts and last words included."""
+    rng = random.Random(7)
+    name = [f"w{k}x" for k in range(120)]
+    text = lambda n: [name[min(rng.randrange(120), rng.randrange(120))] for _ in range(n)]
+    corpus = [(k, text(12)) for k in range(16_000)] + [(20_000 + k, text(70)) for k in range(2000)]
+    items = [(k, text(20)) for k in range(5)]
+    docs, bench = frame(spark, corpus + corpus[:50], "doc_id").repartition(4), frame(spark, items, "item_id")
+    freq, n, n_words = D._frequencies(docs, "text")
+    weight = D.idf(freq, n)
+    rows = D.benchmark_rows(bench, weight, "item_id", "text", None, 6).cache()
+    vocabulary, fold = D.latent_space(docs, "text", rows, weight, freq, n_words, 6)
+    passages = [tuple(w[s:s + 32]) for _, w in corpus for s in ([0, 32, 38] if len(w) == 70 else [0])]
+    matrix = np.zeros((len(set(passages)) + len(items), len(vocabulary)))
+    for k, w in enumerate([*set(passages), *[w for _, w in items]]):
+        at, v = D._tfidf(D.bucket(words(pa.array([" ".join(w)]))[0]), weight)
+        matrix[k, np.searchsorted(vocabulary, at)] = v
+    assert len(matrix) > 20_000
+    _, sigma, directions = np.linalg.svd(matrix, full_matrices=False)
+    found = 1 / (fold ** 2).sum(axis=0)
+    assert np.allclose(found[0], sigma[0], rtol=1e-3) and np.allclose(found, sigma[:6], rtol=0.05)
+    assert abs(directions[0] @ fold[:, 0]) * np.sqrt(found[0]) > 0.999
+
+
+def test_products_of_sparse_rows(monkeypatch):
+    """A'(A q) with empty rows, a place in most rows and cuts between rows."""
+    rng = np.random.default_rng(3)
+    size = rng.integers(0, 33, 300)
+    at = np.concatenate([rng.choice(400, n, replace=False) if n else np.zeros(0, int) for n in size])
+    off = np.concatenate([[0], np.cumsum(size)])
+    at[off[:-1][size > 0]] = 401
+    v, q = rng.random(len(at)), rng.standard_normal((402, 9))
+    dense = np.zeros((300, 402))
+    np.add.at(dense, (np.repeat(np.arange(300), size), at), v)
+    for entries in (10, 700, 1 << 18):
+        monkeypatch.setattr(D, "ENTRIES", entries)
+        total = np.zeros((402, 9))
+        D._add_gram(total, q, (off, at, v))
+        assert np.allclose(total, dense.T @ (dense @ q))
