@@ -54,6 +54,7 @@ TOGETHER = 4096  # passages that a pass over the documents searches for
 CHAIN = 4  # passes over a document before its row is written
 VOCABULARY = 16_384  # word buckets of the latent space
 BANDS = 1024  # vocabulary rows per partial product
+MARKS = 1024  # a word's hash sets one of so many marks of the windows around it
 ENTRIES = 1 << 18  # matrix entries that are multiplied together
 
 
@@ -247,19 +248,22 @@ def _sums(source: np.ndarray, at: np.ndarray, v: np.ndarray, off: np.ndarray, si
     return out
 
 
-def _add_gram(total: np.ndarray, q: np.ndarray, matrix: Matrix) -> None:
-    """Adds A'(A q) of some rows to ``total``."""
+def _add_gram(total: np.ndarray, q: np.ndarray, matrix: Matrix, square: bool = False) -> None:
+    """Adds A'(A q) of some rows to ``total``, or (A q)'(A q) if ``square``."""
     off, at, v = matrix
     done = 0
     while done < len(off) - 1:
         stop = max(done + 1, int(np.searchsorted(off, off[done] + ENTRIES, side="right")) - 1)
         a, w, cut = at[off[done]:off[stop]], v[off[done]:off[stop]], off[done:stop + 1] - off[done]
+        done = stop
         y = _sums(q, a, w, cut, PASSAGE)
+        if square:
+            total += y.T @ y
+            continue
         order = np.argsort(a.astype(np.uint16) if len(q) <= 1 << 16 else a, kind="stable")
         a = a[order]
         first = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]])[:len(a)])
         total[a[first]] += _sums(y, row_of(cut)[order], w[order], np.append(first, len(a)), PASSAGE)
-        done = stop
 
 
 def _latent(rows: DataFrame, vocabulary: np.ndarray, rank: int, rounds: int = 2, seed: int = 5,
@@ -272,7 +276,8 @@ def _latent(rows: DataFrame, vocabulary: np.ndarray, rank: int, rounds: int = 2,
     q = np.linalg.qr(np.random.default_rng(seed).standard_normal((len(vocabulary), wide)))[0]
     mine = weight[vocabulary].astype(np.float64) if weight is not None else None
 
-    def gram(q: np.ndarray) -> np.ndarray:
+    def gram(q: np.ndarray, square: bool = False) -> np.ndarray:
+        height = wide if square else len(vocabulary)
         shared = rows.sparkSession.sparkContext.broadcast((q, vocabulary, mine))
 
         def summing(listed: bool):
@@ -280,12 +285,12 @@ def _latent(rows: DataFrame, vocabulary: np.ndarray, rank: int, rounds: int = 2,
                 q, vocabulary, mine = shared.value
                 q = q.astype(np.float32)  # single precision in the products, double in their sum
                 place, stored = _places(vocabulary), _place_type(vocabulary)
-                total = np.zeros((len(vocabulary), wide))
+                total = np.zeros((height, wide))
                 for b in batches:
-                    _add_gram(total, q, _listed(b, place) if listed else _stored(b, mine, stored))
+                    _add_gram(total, q, _listed(b, place) if listed else _stored(b, mine, stored), square)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(range(0, len(vocabulary), BANDS), pa.int64()),
-                     pa.array([total[k:k + BANDS].tobytes() for k in range(0, len(vocabulary), BANDS)], pa.binary())],
+                    [pa.array(range(0, height, BANDS), pa.int64()),
+                     pa.array([total[k:k + BANDS].tobytes() for k in range(0, height, BANDS)], pa.binary())],
                     ["at", "part"])
             return run
 
@@ -298,14 +303,14 @@ def _latent(rows: DataFrame, vocabulary: np.ndarray, rank: int, rounds: int = 2,
             parts = parts.unionByName(corpus.mapInArrow(summing(False), "at long, part binary"))
         found = parts.groupBy("at").applyInPandas(summed, "at long, part binary").collect()  # vocabulary x rank
         shared.destroy()
-        out = np.zeros((len(vocabulary), wide))
+        out = np.zeros((height, wide))
         for r in found:
             out[r["at"]:r["at"] + BANDS] = np.frombuffer(bytes(r["part"])).reshape(-1, wide)
         return out
 
     for _ in range(rounds):
         q = np.linalg.qr(gram(q))[0]
-    small = q.T @ gram(q)
+    small = gram(q, square=True)
     values, vectors = np.linalg.eigh((small + small.T) / 2)
     order = np.argsort(values)[::-1][:rank]
     # below this the products' rounding is all there is
@@ -455,11 +460,12 @@ def _search(source: DataFrame, index: list[dict], weight: np.ndarray, space: tup
     latent /= np.maximum(np.sqrt((latent ** 2).sum(axis=1, keepdims=True)), 1e-12)
     padded = np.zeros((len(index), PASSAGE), np.uint32)  # 0 stands for no word
     padded[np.arange(PASSAGE) < np.diff(off)[:, None]] = _short(word)
+    marked = np.where(padded > 0, padded % MARKS, MARKS)  # no window has the last mark
     spark = source.sparkSession
     shared = spark.sparkContext.broadcast(
         (weight, _blocks(index), runs, opening, [r["item_id"] for r in index], [r["words"] for r in index],
          [r["answer"] for r in index], [(np.array(r["features"]), np.array(r["values"])) for r in index],
-         place, fold, latent.T.copy(), padded, np.diff(off)))
+         place, fold, latent.T.copy(), padded, marked, np.diff(off)))
 
     def check(w: np.ndarray, start: int, k: int, size: int) -> float | None:
         """Share of passage k that the words around a hit hold in order."""
@@ -480,7 +486,7 @@ def _search(source: DataFrame, index: list[dict], weight: np.ndarray, space: tup
 
     def search(h: np.ndarray, off: np.ndarray) -> tuple[list[dict[int, float]], np.ndarray]:
         """Items found in each row of a slice, and its best cosine."""
-        (weight, blocks, runs, opening, item_of, item_words, _, vectors, place, fold, latent, padded,
+        (weight, blocks, runs, opening, item_of, item_words, _, vectors, place, fold, latent, padded, marked,
          length) = shared.value
         found: list[dict[int, float]] = [{} for _ in range(len(off) - 1)]
         top = np.zeros(len(off) - 1)
@@ -507,15 +513,22 @@ def _search(source: DataFrame, index: list[dict], weight: np.ndarray, space: tup
         for cut in range(0, len(row), step):
             near, which = np.nonzero(unit[cut:cut + step] @ latent >= min_latent)
             near += cut
-            for c in range(0, len(near), 2000):
-                j, k = near[c:c + 2000], which[c:c + 2000]
+            for c in range(0, len(near), 8192):
+                j, k = near[c:c + 8192], which[c:c + 8192]
                 # words of the passage that stand around the window bound the subsequence
-                at = begin[j][:, None] + np.arange(-PASSAGE // 2, PASSAGE + PASSAGE // 2)
-                inside = (at >= off[row[j]][:, None]) & (at < off[row[j] + 1][:, None])
+                window, of = np.unique(j, return_inverse=True)
+                at = begin[window][:, None] + np.arange(-PASSAGE // 2, PASSAGE + PASSAGE // 2)
+                inside = (at >= off[row[window]][:, None]) & (at < off[row[window] + 1][:, None])
                 there = np.where(inside, small[np.clip(at, 0, len(h) - 1)], 1)
-                shared_words = (padded[k][:, :, None] == there[:, None, :]).any(axis=2).sum(axis=1)
-                for x in np.flatnonzero(shared_words >= min_lcs * length[k]):
-                    hit(int(row[j[x]]), int(begin[j[x]]), int(k[x]), PASSAGE)
+                # no fewer of its words have a mark there
+                marks = np.zeros((len(window), MARKS + 1), bool)
+                marks[np.arange(len(window))[:, None], there % MARKS] = True
+                some = np.flatnonzero(marks[of[:, None], marked[k]].sum(axis=1) >= min_lcs * length[k])
+                for d in range(0, len(some), 2000):
+                    x = some[d:d + 2000]
+                    shared_words = (padded[k[x]][:, :, None] == there[of[x]][:, None, :]).any(axis=2).sum(axis=1)
+                    for y in x[shared_words >= min_lcs * length[k[x]]]:
+                        hit(int(row[j[y]]), int(begin[j[y]]), int(k[y]), PASSAGE)
         # short passages in windows of their own length
         square = weight[b].astype(np.float64) ** 2
         full = np.concatenate([[0], np.cumsum(square)])

@@ -165,3 +165,6 @@ def test_products_of_sparse_rows(monkeypatch):
         total = np.zeros((402, 9))
         D._add_gram(total, q, (off, at, v))
         assert np.allclose(total, dense.T @ (dense @ q))
+        total = np.zeros((9, 9))
+        D._add_gram(total, q, (off, at, v), square=True)
+        assert np.allclose(total, (dense @ q).T @ (dense @ q))
